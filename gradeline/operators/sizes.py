@@ -1,0 +1,16 @@
+"""Broadcast behind a check of the size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when the relation has at most ``max_rows`` (narrow) rows.
+
+    Beyond that the relation is returned as it is and Spark shuffles both sides of the join.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gradeline.functions.text import words
 from gradeline.functions.vectors import dot, unit
+from gradeline.operators.sizes import broadcast_if_small
 from gradeline.operators.topk import as_of_top_k, top_k
 
 # Fixed values
@@ -81,8 +82,8 @@ def bm25_scores(documents: DataFrame, questions: DataFrame) -> DataFrame:
     """(entity, doc_id, score) of the documents that contain a word of the question.
 
     Document counts, lengths and word frequencies come from the documents passed in, so a corpus cut
-    at a date has the statistics of that date. Whole texts are read; only words that a question asks
-    for are grouped, after a first count in the scan's own partitions.
+    at a date has the statistics of that date. Whole texts are read. The questions' words are sent
+    to the texts, so only occurrences of those words are grouped and shuffled.
     """
     asked = questions.select("entity", F.explode(F.array_distinct(words("query_text"))).alias("word"))
     tokens = documents.select("doc_id", words("text_content").alias("_words")).select(
@@ -92,7 +93,7 @@ def bm25_scores(documents: DataFrame, questions: DataFrame) -> DataFrame:
     n_docs, mean_length = totals.select("n").scalar(), totals.select("mean").scalar()
     counts = (
         tokens.select("doc_id", "_length", F.explode("_words").alias("word"))
-        .join(asked.select("word").distinct(), "word", "left_semi")
+        .join(broadcast_if_small(asked.select("word").distinct()), "word", "left_semi")
         .groupBy("doc_id", "_length", "word")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -108,39 +109,37 @@ def bm25_scores(documents: DataFrame, questions: DataFrame) -> DataFrame:
     )
 
 
-def _ranks_of(scores: DataFrame, leaders: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Exact rank of each chosen (entity, doc_id) in a score list of any length.
+def _score_key() -> Column:
+    """Orders like ``best_first``: the smaller key is the better row."""
+    return F.struct((-F.col("score")).alias("loss"), F.col("doc_id").alias("doc_id"))
 
-    The list's first rows are known from ``leaders``. For the few others, every row of the list is
-    placed among the chosen scores of its entity and counted there before anything is shuffled.
+
+def _rank_by_counting(scores: DataFrame, some: DataFrame) -> DataFrame:
+    """Exact ranks of some rows (entity, doc_id, score) in a score list of any length.
+
+    The list is not sorted: each of its rows is placed among the few keys of its entity where it is
+    read, and only the counts per place are shuffled.
     """
-    known = chosen.join(leaders.select("entity", "doc_id", "rank"), ["entity", "doc_id"])
-    others = chosen.join(leaders, ["entity", "doc_id"], "left_anti")
-    key = F.struct((-F.col("score")).alias("loss"), F.col("doc_id").alias("doc_id"))
-    marks = (
-        scores.join(others, ["entity", "doc_id"], "left_semi")
-        .select("entity", key.alias("mark"))
-        .groupBy("entity")
-        .agg(F.sort_array(F.collect_list("mark")).alias("marks"))
-    )
-    placed = (
-        scores.select("entity", key.alias("_key"))
-        .join(marks, "entity")
-        .select("entity", "marks", F.size(F.filter("marks", lambda m: m < F.col("_key"))).alias("_place"))
-        .groupBy("entity", "marks", "_place")
+    marks = some.groupBy("entity").agg(F.sort_array(F.collect_list(_score_key())).alias("marks"))
+    place = F.size(F.filter("marks", lambda m: m < F.col("_key")))
+    counts = (
+        scores.select("entity", _score_key().alias("_key"))
+        .join(broadcast_if_small(marks), "entity")
+        .select("entity", place.alias("place"))
+        .groupBy("entity", "place")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "marks")
-        .agg(F.collect_list(F.struct("_place", "n")).alias("_counts"))
+        .groupBy("entity")
+        .agg(F.collect_list(F.struct("place", "n")).alias("counts"))
     )
-    counted = placed.select("entity", "_counts", F.posexplode("marks").alias("_i", "_mark"))
-    # Rows in places 0..i are the mark itself and everything better.
+    # Places 0..i hold the i-th key itself and every row that is better.
     up_to = F.aggregate(
-        F.filter("_counts", lambda c: c["_place"] <= F.col("_i")),
-        F.lit(0).cast("bigint"),
-        lambda total, c: total + c["n"],
+        F.filter("counts", lambda c: c["place"] <= F.col("i")), F.lit(0).cast("bigint"), lambda sum_, c: sum_ + c["n"]
+    )
+    return (
+        marks.select("entity", F.posexplode("marks").alias("i", "mark"))
+        .join(counts, "entity")
+        .select("entity", F.col("mark.doc_id").alias("doc_id"), up_to.cast("int").alias("rank"))
     )
-    found = counted.select("entity", F.col("_mark.doc_id").alias("doc_id"), up_to.cast("int").alias("rank"))
-    return known.unionByName(found)
 
 
 def hybrid_top_k(
@@ -154,27 +153,38 @@ def hybrid_top_k(
 
     A document scores ``1 / (offset + rank)`` in the cosine list and again in the word list if it is
     in it. Below the first ``offset + 2k`` places of both lists a document scores less than the k-th
-    place of one list alone, so those places hold every possible answer; the other rank of each such
-    document is then counted exactly.
+    place of one list alone, so those places hold every possible answer. Where such a document lies
+    deeper in the other list, its rank there is counted exactly.
     """
     eligible = documents.where(F.col("published_date") <= as_of)
     depth = offset + 2 * k
-    lists = {
-        "semantic_rank": cosine_scores(eligible, questions).select("entity", "doc_id", "score"),
-        "lexical_rank": bm25_scores(eligible, questions),
-    }
-    leaders = {name: top_k(scores, ["entity"], best_first(), depth) for name, scores in lists.items()}
-    chosen = reduce(DataFrame.unionAll, [lead.select("entity", "doc_id") for lead in leaders.values()]).distinct()
-    ranks = {
-        name: _ranks_of(scores, leaders[name], chosen).withColumnRenamed("rank", name)
-        for name, scores in lists.items()
-    }
-    fused = chosen
-    for name in lists:
-        fused = fused.join(ranks[name], ["entity", "doc_id"], "left")
-    parts = [F.coalesce(1.0 / (offset + F.col(name)), F.lit(0.0)) for name in lists]
-    score = F.round(parts[0] + parts[1], SCORE_DIGITS)
-    return top_k(fused.withColumn("score", score), ["entity"], best_first(), k)
+
+    by_vector = cosine_scores(eligible, questions).select("entity", "doc_id", "score")
+    by_word = bm25_scores(eligible, questions)
+    first_by_vector = top_k(by_vector, ["entity"], best_first(), depth)
+    first_by_word = top_k(by_word, ["entity"], best_first(), depth)
+
+    id_pair = ["entity", "doc_id"]
+    only_by_word = first_by_word.select(*id_pair).join(first_by_vector, id_pair, "left_anti")
+    only_by_vector = first_by_vector.select(*id_pair).join(first_by_word, id_pair, "left_anti")
+    # Score the few documents again instead of looking them up in a scored copy of the corpus.
+    few = eligible.join(broadcast_if_small(only_by_word.select("doc_id").distinct()), "doc_id", "left_semi")
+    deep_by_vector = cosine_scores(few, questions).join(only_by_word, id_pair, "left_semi")
+    deep_by_word = by_word.join(only_by_vector, id_pair, "left_semi")
+
+    semantic = first_by_vector.select(*id_pair, "rank").unionByName(_rank_by_counting(by_vector, deep_by_vector))
+    lexical = first_by_word.select(*id_pair, "rank").unionByName(_rank_by_counting(by_word, deep_by_word))
+    none = F.lit(None).cast("int")
+    fused = (
+        semantic.select(*id_pair, F.col("rank").alias("semantic_rank"), none.alias("lexical_rank"))
+        .unionByName(lexical.select(*id_pair, none.alias("semantic_rank"), F.col("rank").alias("lexical_rank")))
+        .groupBy(*id_pair)
+        .agg(F.max("semantic_rank").alias("semantic_rank"), F.max("lexical_rank").alias("lexical_rank"))
+    )
+    parts = [F.coalesce(1.0 / (offset + F.col(c)), F.lit(0.0)) for c in ("semantic_rank", "lexical_rank")]
+    return top_k(
+        fused.withColumn("score", F.round(parts[0] + parts[1], SCORE_DIGITS)), ["entity"], best_first(), k
+    )
 
 
 def retrieved_context(

@@ -55,16 +55,18 @@ def upsert_by_day(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = latest_per_key(batch, [day, *keys], newest_first)
-        stored = spark.read.schema(schema).parquet(path) if _exists(spark, path) else None
-        if stored is None:
-            replace_partitions(fresh, path, [day])
-            return
-        days = fresh.select(day).distinct()
-        touched = stored.join(days, day, "left_semi").select(*fresh.columns)
-        both = touched.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
-        merged = latest_per_key(both, [day, *keys], [*newest_first, "_new"]).drop("_new")
-        replace_partitions(merged, path, [day])
+        # Read twice below; without this the stateful steps before it would run twice.
+        fresh = latest_per_key(batch, [day, *keys], newest_first).persist()
+        try:
+            merged = fresh
+            if _exists(spark, path):
+                stored = spark.read.schema(schema).parquet(path)
+                touched = stored.join(fresh.select(day).distinct(), day, "left_semi").select(*fresh.columns)
+                both = touched.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
+                merged = latest_per_key(both, [day, *keys], [*newest_first, "_new"]).drop("_new")
+            replace_partitions(merged, path, [day])
+        finally:
+            fresh.unpersist()
 
     return merge
 
