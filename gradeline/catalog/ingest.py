@@ -10,7 +10,7 @@ from gradeline.catalog.registry import query
 from gradeline.session import shared_folder
 from gradeline.sources.landing import read_records, stamp, unnest, unnest_ranked, write_documents
 
-RECORDS_PER_FILE = 50_000
+RECORDS_PER_FILE = 10_000
 TURNS_PER_PAGE = 20
 CONVERSATIONS_PER_FILE = 500
 

@@ -17,7 +17,7 @@ from gradeline.plans.calls import first_parsed, record_answers, route_answers
 from gradeline.plans.popularity import daily_chart
 from gradeline.session import shared_folder
 from gradeline.sources.schemas import PREDICTION_KEY, PREDICTIONS, SKIPS
-from gradeline.sources.tables import GuardedRefresh, append_rows, read_table, replace_partitions
+from gradeline.sources.tables import GuardedRefresh, append_rows, keep, read_table, replace_partitions
 
 CHANGE_DAY = "1998-01-01"
 CHANGE_TIME = "2024-01-20"
@@ -104,21 +104,21 @@ def route_and_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run of all calls, then a second run of the live ones; each key ends in one log."""
     key = list(PREDICTION_KEY)
     at = moment(INGESTED_AT).cast("timestamp")
-    done, skipped = route_answers(first_parsed(replies(spark, sf_dir), key), at)
-    predictions, skips = record_answers(
-        empty_table(spark, PREDICTIONS).drop("retrieved_doc_ids", "model_endpoint"), empty_table(spark, SKIPS), done, skipped
-    )
+    first = keep(replies(spark, sf_dir), "replies")
     ranked = chart(spark, sf_dir).select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
-        F.col("snapshot_date").alias("prediction_date"), "rank",
+        F.col("snapshot_date").alias("prediction_date"), F.col("rank").alias("place"),
     )
-    readable = F.when(F.col("rank") <= 50, F.lit('{"call": "hold"}')).otherwise(F.lit("no idea"))
-    again = (
-        replies(spark, sf_dir).where(F.col("source") == "live")
-        .join(ranked, ["symbol", "prediction_date"])
-        .withColumn("reply", readable)
+    readable = F.when(F.col("place") <= 50, F.lit('{"call": "hold"}')).otherwise(F.lit("no idea"))
+    second = keep(
+        first.where(F.col("source") == "live").join(ranked, ["symbol", "prediction_date"]).withColumn("reply", readable),
+        "replies",
     )
-    predictions, skips = record_answers(predictions, skips, *route_answers(first_parsed(again, key), at))
+    predictions = empty_table(spark, PREDICTIONS).drop("retrieved_doc_ids", "model_endpoint")
+    skips = empty_table(spark, SKIPS)
+    for run in (first, second):
+        answered = keep(first_parsed(run, key), "answers")
+        predictions, skips = record_answers(predictions, skips, *route_answers(answered, at))
     return (
         predictions.select(F.lit("predictions").alias("log"), *key, "call", "confidence", "reasoning")
         .unionByName(skips.select(F.lit("skips").alias("log"), *key), allowMissingColumns=True)

@@ -82,7 +82,7 @@ def growth_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q14_wilson", """
 WITH g AS (
-  SELECT n_name, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS hits
+  SELECT n_name, count(o_orderkey) AS n, count(*) FILTER (o_orderstatus = 'F') AS hits
   FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1)
 SELECT n_name, n, hits, round(hits / n, 6) AS hit_rate,
   round((hits / n + 1.96::DOUBLE * 1.96 / (2 * n)
@@ -101,8 +101,8 @@ def wilson(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     low, high = wilson_bounds("hits", "n")
-    return nations.join(per_nation, "c_nationkey", "left").select(
-        "n_name", "n", "hits", F.round(F.col("hits") / F.col("n"), 6).alias("hit_rate"),
+    return nations.join(per_nation, "c_nationkey", "left").fillna(0, ["n", "hits"]).select(
+        "n_name", "n", "hits", F.round(F.try_divide("hits", "n"), 6).alias("hit_rate"),
         F.round(low, 6).alias("wilson_lo"), F.round(high, 6).alias("wilson_hi"),
     )
 

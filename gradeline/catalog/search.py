@@ -85,7 +85,7 @@ def hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     embedded = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     documents = (
         table(spark, sf_dir, "documents")
-        .join(embedded, "doc_id", "left")
+        .join(embedded, "doc_id", "full_outer")
         .select("doc_id", F.col("text").alias("text_content"), "embedding", publication_date(F.col("doc_id")).alias("published_date"))
     )
     found = hybrid_top_k(documents, asked, F.lit(AS_OF).cast("date"))
@@ -135,7 +135,7 @@ context AS (
     string_agg('[' || doc_id || '] ' || substr(text, 1, 500), chr(10) || chr(10) ORDER BY rank) AS excerpts
   FROM hits JOIN documents USING (doc_id) GROUP BY 1)
 SELECT p.symbol, p.brand, CAST(p.as_of AS VARCHAR) AS as_of, source, variant,
-  CASE WHEN variant = 'rag' THEN array_to_string(ids, ',') ELSE '' END AS retrieved,
+  CASE WHEN variant = 'rag' THEN coalesce(array_to_string(ids, ','), '') ELSE '' END AS retrieved,
   'Forecast how the popularity of ' || p.brand || ' moves over the next 7 days. Use nothing but the signals below.'
   || chr(10) || chr(10) || 'The popularity score is 101 minus the chart rank, so a higher score is better. The change is the score 7 days after '
   || p.as_of || ' minus the score on ' || p.as_of || '.' || chr(10) || 'RISE means a change above ' || printf('%.2f', rise_above)

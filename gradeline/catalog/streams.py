@@ -25,7 +25,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("x1_tick_landing", """
-SELECT 'U' || user_id AS s, value AS p, epoch_ms(ts) AS t, CAST(event_id AS DOUBLE) AS v, event_type AS c,
+SELECT 'U' || user_id AS s, value AS p, epoch_us(ts) // 1000 AS t, CAST(event_id AS DOUBLE) AS v, event_type AS c,
   strftime(ts, '%Y-%m-%d %H:%M:%S.%g000') AS ts, '2024-02-01 07:00:00.000000' AS _ingested_at,
   CAST(CAST(ts AS DATE) AS VARCHAR) AS day
 FROM events""")
@@ -41,7 +41,7 @@ def tick_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("x2_tick_merge", """
 SELECT 'U' || user_id AS s, value AS p, CAST(event_id AS DOUBLE) AS v, event_type AS c, CAST(day AS VARCHAR) AS day
 FROM (SELECT *, CAST(ts AS DATE) AS day,
-        row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id, event_type ORDER BY epoch_ms(ts) DESC, event_id DESC) AS rn FROM events)
+        row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id, event_type ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1""")
 def tick_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks delivered twice, in two runs of one stream; the newest per symbol, type and day stays."""

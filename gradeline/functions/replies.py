@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,21 +20,20 @@ _REPLY_TYPE = "array<struct<call: string, confidence: string, reasoning: string>
 _RESULT_TYPE = "struct<call: string, confidence: string, reasoning: string>"
 
 
-def _read_block(text: Column, pattern: str) -> Column:
-    block = F.regexp_extract(text, pattern, 0)
-    # Wrapped as a one-element array: text after the object then makes the document invalid.
-    parsed = F.from_json(F.concat(F.lit("["), block, F.lit("]")), _REPLY_TYPE, {"allowSingleQuotes": "false"})
-    first = F.get(parsed, F.lit(0))
-    call = normalised(first["call"])
-    keys = F.json_object_keys(block)
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _result(block: Column, reply: Column) -> Column:
+    call = normalised(reply["call"])
 
     def field(name: str, default: str) -> Column:
-        missing = first[name].isNull() & ~F.coalesce(F.array_contains(keys, name), F.lit(False))
-        return F.when(missing, F.lit(default)).otherwise(first[name])
+        named = F.array_contains(F.json_object_keys(block), name)
+        return F.when(reply[name].isNull() & ~F.coalesce(named, F.lit(False)), F.lit(default)).otherwise(reply[name])
 
-    valid = (F.size(parsed) == 1) & call.isin(*CALLS)
     return F.when(
-        valid,
+        call.isin(*CALLS),
         F.struct(
             call.alias("call"),
             field("confidence", DEFAULT_CONFIDENCE).alias("confidence"),
@@ -41,6 +42,15 @@ def _read_block(text: Column, pattern: str) -> Column:
     )
 
 
+def _read_block(text: Column, pattern: str) -> Column:
+    def read(block: Column) -> Column:
+        # Wrapped as a one-element array: text after the object then makes the document invalid.
+        parsed = F.from_json(F.concat(F.lit("["), block, F.lit("]")), _REPLY_TYPE, {"allowSingleQuotes": "false"})
+        return _bind(parsed, lambda p: F.when(F.size(p) == 1, _result(block, F.get(p, F.lit(0)))))
+
+    return _bind(F.regexp_extract(text, pattern, 0), lambda b: F.when(b != "", read(b)))
+
+
 def parse_reply(text: Column | str) -> Column:
     """Struct (call, confidence, reasoning) of the first block with a valid call, else NULL."""
     text = as_column(text)

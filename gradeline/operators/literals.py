@@ -6,17 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-MAX_LITERAL_ROWS = 10_000
+MAX_LITERAL_ROWS = 1_000
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """Rows typed by a DDL string, marked for broadcast because their number is known here."""
     if len(rows) > MAX_LITERAL_ROWS:
         raise ValueError(f"{len(rows)} literal rows; store more than {MAX_LITERAL_ROWS} as a table")
-    return F.broadcast(spark.createDataFrame(list(rows), ddl))
+    if not rows:
+        return empty_table(spark, ddl)
+    fields = StructType.fromDDL(ddl).fields
+    typed = [
+        F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, fields, strict=True)])
+        for row in rows
+    ]
+    return F.broadcast(spark.range(1).select(F.inline(F.array(*typed))))
 
 
 def empty_table(spark: SparkSession, ddl: str) -> DataFrame:
     """A typed table without rows."""
-    return spark.createDataFrame([], ddl)
+    fields = StructType.fromDDL(ddl).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeline.functions.replies import parse_reply
 from gradeline.functions.scores import HORIZON_DAYS
-from gradeline.operators.merge import delete_keys, upsert
+from gradeline.operators.merge import assert_unique, delete_keys
 from gradeline.plans.popularity import scorable_dates
 from gradeline.sources.schemas import PREDICTION_KEY
 
@@ -162,8 +162,14 @@ def route_answers(answered: DataFrame, created_at: Column) -> tuple[DataFrame, D
 def record_answers(
     predictions: DataFrame, skips: DataFrame, done: DataFrame, skipped: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Both logs after a run: every key is in exactly one of them, also when a run is repeated."""
+    """Both logs after a run: every key is in exactly one of them, also when a run is repeated.
+
+    A key of the run leaves both logs and enters the one it belongs to, which is the upsert into one
+    log and the delete from the other in a single pass over each.
+    """
     key = list(PREDICTION_KEY)
-    predictions = upsert(delete_keys(predictions, skipped, key), done, key)
-    skips = upsert(delete_keys(skips, done, key), skipped, key)
-    return predictions, skips
+    answered = done.select(*key).unionByName(skipped.select(*key))
+    return (
+        delete_keys(predictions, answered, key).unionByName(assert_unique(done, key), allowMissingColumns=True),
+        delete_keys(skips, answered, key).unionByName(assert_unique(skipped, key), allowMissingColumns=True),
+    )

@@ -16,6 +16,7 @@ from gradeline.functions.text import words
 from gradeline.functions.vectors import dot, unit
 from gradeline.operators.sizes import broadcast_if_small
 from gradeline.operators.topk import as_of_top_k, top_k
+from gradeline.sources.tables import keep
 
 # Fixed values
 TOP_K = 5
@@ -78,32 +79,45 @@ def cosine_top_k_as_of(
     )
 
 
-def bm25_scores(documents: DataFrame, questions: DataFrame) -> DataFrame:
-    """(entity, doc_id, score) of the documents that contain a word of the question.
+def asked_words(questions: DataFrame) -> DataFrame:
+    """(entity, word) of every question."""
+    return questions.select("entity", F.explode(F.array_distinct(words("query_text"))).alias("word"))
+
 
-    Document counts, lengths and word frequencies come from the documents passed in, so a corpus cut
-    at a date has the statistics of that date. Whole texts are read. The questions' words are sent
-    to the texts, so only occurrences of those words are grouped and shuffled.
+def word_matches(documents: DataFrame, asked: DataFrame) -> DataFrame:
+    """(doc_id, length, word, tf) of the asked words in whole texts.
+
+    Every text also has one row for the word ``''``, so the number of texts and their mean length
+    come out of the same pass. Other words are dropped before anything is shuffled.
     """
-    asked = questions.select("entity", F.explode(F.array_distinct(words("query_text"))).alias("word"))
-    tokens = documents.select("doc_id", words("text_content").alias("_words")).select(
-        "doc_id", F.size("_words").alias("_length"), "_words"
+    texts = documents.where(F.col("text_content").isNotNull()).select("doc_id", words("text_content").alias("_words"))
+    wanted = asked.select("word").unionByName(asked.sparkSession.range(1).select(F.lit("").alias("word"))).distinct()
+    occurrences = texts.select(
+        "doc_id", F.size("_words").alias("length"), F.explode(F.array_append("_words", F.lit(""))).alias("word")
     )
-    totals = tokens.agg(F.count(F.lit(1)).alias("n"), F.avg("_length").alias("mean"))
-    n_docs, mean_length = totals.select("n").scalar(), totals.select("mean").scalar()
-    counts = (
-        tokens.select("doc_id", "_length", F.explode("_words").alias("word"))
-        .join(broadcast_if_small(asked.select("word").distinct()), "word", "left_semi")
-        .groupBy("doc_id", "_length", "word")
+    return (
+        occurrences.join(broadcast_if_small(wanted), "word", "left_semi")
+        .groupBy("doc_id", "length", "word")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    spread = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+
+
+def bm25_scores(matches: DataFrame, asked: DataFrame) -> DataFrame:
+    """(entity, doc_id, score) of the documents that contain a word of the question.
+
+    Counts, lengths and frequencies are those of the matched documents' corpus, so a corpus cut at a
+    date has the statistics of that date.
+    """
+    totals = matches.where(F.col("word") == "").agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
+    n_docs, mean_length = totals.select("n").scalar(), totals.select("mean").scalar()
+    found = matches.where(F.col("word") != "")
+    spread = found.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     rarity = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = asked.join(spread, "word").select("entity", "word", rarity.alias("idf"))
-    damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("_length") / mean_length)
+    damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length)
     gain = F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damping)
     return (
-        counts.join(weights, "word")
+        found.join(weights, "word")
         .groupBy("entity", "doc_id")
         .agg(F.round(F.sum(gain), SCORE_DIGITS).alias("score"))
     )
@@ -158,19 +172,33 @@ def hybrid_top_k(
     """
     eligible = documents.where(F.col("published_date") <= as_of)
     depth = offset + 2 * k
+    id_pair = ["entity", "doc_id"]
 
-    by_vector = cosine_scores(eligible, questions).select("entity", "doc_id", "score")
-    by_word = bm25_scores(eligible, questions)
-    first_by_vector = top_k(by_vector, ["entity"], best_first(), depth)
-    first_by_word = top_k(by_word, ["entity"], best_first(), depth)
+    questions = keep(questions.select("entity", "query_text", "query_vector"), "questions")
+    asked = keep(asked_words(questions), "asked_words")
+    matches = keep(word_matches(eligible, asked), "word_matches")
+    by_vector = cosine_scores(eligible, questions).select(*id_pair, "score")
+    by_word = bm25_scores(matches, asked)
 
-    id_pair = ["entity", "doc_id"]
+    first = keep(
+        top_k(by_vector, ["entity"], best_first(), depth).withColumn("list", F.lit("vector"))
+        .unionByName(top_k(by_word, ["entity"], best_first(), depth).withColumn("list", F.lit("word"))),
+        "first_places",
+    )
+    first_by_vector = first.where(F.col("list") == "vector").drop("list")
+    first_by_word = first.where(F.col("list") == "word").drop("list")
     only_by_word = first_by_word.select(*id_pair).join(first_by_vector, id_pair, "left_anti")
     only_by_vector = first_by_vector.select(*id_pair).join(first_by_word, id_pair, "left_anti")
     # Score the few documents again instead of looking them up in a scored copy of the corpus.
-    few = eligible.join(broadcast_if_small(only_by_word.select("doc_id").distinct()), "doc_id", "left_semi")
-    deep_by_vector = cosine_scores(few, questions).join(only_by_word, id_pair, "left_semi")
-    deep_by_word = by_word.join(only_by_vector, id_pair, "left_semi")
+    few = eligible.join(only_by_word.select("doc_id").distinct(), "doc_id", "left_semi")
+    deep = keep(
+        cosine_scores(few, questions).select(*id_pair, "score").join(only_by_word, id_pair, "left_semi")
+        .withColumn("list", F.lit("vector"))
+        .unionByName(by_word.join(only_by_vector, id_pair, "left_semi").withColumn("list", F.lit("word"))),
+        "deep_places",
+    )
+    deep_by_vector = deep.where(F.col("list") == "vector").drop("list")
+    deep_by_word = deep.where(F.col("list") == "word").drop("list")
 
     semantic = first_by_vector.select(*id_pair, "rank").unionByName(_rank_by_counting(by_vector, deep_by_vector))
     lexical = first_by_word.select(*id_pair, "rank").unionByName(_rank_by_counting(by_word, deep_by_word))

@@ -52,9 +52,13 @@ def random_call(seed: str | None) -> Column:
     return pick(CALLS, index)
 
 
-def baseline_rows(scored: DataFrame, seed: str | None) -> DataFrame:
-    """Each graded brand-day scored by every baseline, in one pass over the distinct days."""
-    days = scored.select("source", "brand", "prediction_date", "actual_move", "prior_move").distinct()
+def graded_counts(scorecard: DataFrame, seed: str | None) -> DataFrame:
+    """(source, model, n, hits) of the agents and of every baseline, in one pass over the scorecard.
+
+    Agents are graded per prediction, baselines once per brand and day. Predictions are counted per
+    brand, day and variant first; the second grouping puts a day's few variants beside the baselines.
+    """
+    day = ["source", "brand", "prediction_date", "actual_move", "prior_move"]
     actual, prior = F.col("actual_move"), F.col("prior_move")
     rules = {
         "always_hold": actual == HOLD,
@@ -62,11 +66,25 @@ def baseline_rows(scored: DataFrame, seed: str | None) -> DataFrame:
         "persistence": actual == prior,
         "random": actual == random_call(seed),
     }
-    answers = F.array(*[
-        F.struct(F.lit(name).alias("model"), rule.cast("int").alias("hit")) for name, rule in rules.items()
-    ])
+    one = F.lit(1).cast("bigint")
     # Without a prior window persistence has no answer, so its cell counts fewer days.
-    return days.select("source", F.inline(answers)).where(F.col("hit").isNotNull())
+    baselines = F.filter(
+        F.array(*[
+            F.struct(F.lit(name).alias("model"), one.alias("n"), rule.cast("bigint").alias("hits"))
+            for name, rule in rules.items()
+        ]),
+        lambda b: b["hits"].isNotNull(),
+    )
+    return (
+        scorecard.where(actual.isNotNull())
+        .groupBy(*day, F.concat(F.lit(AGENT_PREFIX), "variant").alias("model"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"))
+        .groupBy(*day)
+        .agg(F.collect_list(F.struct("model", "n", "hits")).alias("agents"))
+        .select("source", F.inline(F.concat(F.col("agents"), baselines)))
+        .groupBy("source", "model")
+        .agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    )
 
 
 def summarise(
@@ -81,21 +99,15 @@ def summarise(
 
     ``declared_only`` keeps the report to the declared cells.
     """
-    scored = scorecard.where(F.col("actual_move").isNotNull())
-    agents = scored.select("source", F.concat(F.lit(AGENT_PREFIX), "variant").alias("model"), "hit")
-    counted = (
-        agents.unionByName(baseline_rows(scored, seed))
-        .groupBy("source", "model")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"), F.lit(0).cast("bigint").alias("skipped"))
-    )
+    zero = F.lit(0).cast("bigint")
+    counted = graded_counts(scorecard, seed).withColumn("skipped", zero)
     skipped = (
         skips.groupBy("source", F.concat(F.lit(AGENT_PREFIX), "variant").alias("model"))
-        .agg(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("hits"), F.count(F.lit(1)).alias("skipped"))
+        .agg(F.count(F.lit(1)).alias("skipped"))
+        .withColumns({"n": zero, "hits": zero})
     )
-    spark = scorecard.sparkSession
-    zero = F.lit(0).cast("bigint")
     declared = (
-        spark.range(1)
+        scorecard.sparkSession.range(1)
         .select(F.explode(F.array(*[F.lit(s) for s in sources])).alias("source"))
         .select("source", F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
         .select("source", "model", zero.alias("n"), zero.alias("hits"), zero.alias("skipped"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from gradeline.operators.merge import add_missing_columns
+from gradeline.session import shared_folder
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -36,6 +37,17 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write a step's result to the shared folder and go on from there.
+
+    What follows does not compute the step again, survives lost executors, and Spark knows the
+    result's size, so it broadcasts a small one and shuffles a large one by itself.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def has_rows(df: DataFrame) -> bool:
     """Whether there is a row at all, without counting them."""
     return not df.isEmpty()
