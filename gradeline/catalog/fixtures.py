@@ -23,6 +23,7 @@ from gradeline.functions.picks import pick
 from gradeline.plans.calls import first_parsed, route_answers
 from gradeline.plans.curate import corpus_part
 from gradeline.plans.popularity import daily_chart
+from gradeline.sources.tables import keep
 
 LIVE_FROM_DAY = 16
 FETCHED_AT = "2024-02-01 06:00:00"
@@ -55,9 +56,14 @@ chart AS (
   WHERE rank <= 100)"""
 
 
-def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chart as a stored table, which is what popularity and predictions read in use."""
+    return keep(chart(spark, sf_dir), "history")
+
+
+def popularity(spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None) -> DataFrame:
     """(brand, d, popularity)"""
-    return chart(spark, sf_dir).select(
+    return (ranked or chart(spark, sf_dir)).select(
         F.col("user_id").cast("string").alias("brand"),
         F.col("snapshot_date").alias("d"),
         rank_score("rank").alias("popularity"),
@@ -76,11 +82,11 @@ def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.select(F.concat(F.lit("U"), "brand").alias("symbol"), "brand")
 
 
-def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def replies(spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None) -> DataFrame:
     """One reply per chart row and variant, some of them without an answer in it."""
     day = F.dayofmonth("snapshot_date")
     user = F.col("user_id")
-    rows = chart(spark, sf_dir).select(
+    rows = (ranked or chart(spark, sf_dir)).select(
         F.concat(F.lit("U"), user.cast("string")).alias("symbol"),
         F.col("snapshot_date").alias("prediction_date"),
         F.when(day >= LIVE_FROM_DAY, F.lit("live")).otherwise(F.lit("backfill")).alias("source"),
@@ -101,10 +107,13 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def prediction_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(predictions, skips)"""
+def prediction_log(
+    spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(predictions, skips) out of one kept table of parsed answers."""
     keys = ["symbol", "prediction_date", "source", "variant"]
-    return route_answers(first_parsed(replies(spark, sf_dir), keys), moment(INGESTED_AT))
+    answered = keep(first_parsed(replies(spark, sf_dir, ranked), keys), "answers")
+    return route_answers(answered, moment(INGESTED_AT))
 
 
 REPLY_KEYS_SQL = POPULARITY_SQL + """,
@@ -168,13 +177,15 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(entity, query_vector) per label: the mean of its vectors, six digits of each part."""
+    """(entity, query_vector) per label: the mean of its vectors, six digits of each part.
+
+    Kept as a table, as questions are in use: they are read several times and few.
+    """
     parts = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
     means = parts.groupBy("label", "i").agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("x"))
     ordered = F.sort_array(F.collect_list(F.struct("i", "x")))
-    return means.groupBy("label").agg(F.transform(ordered, lambda p: p["x"]).alias("query_vector")).select(
-        F.col("label").alias("entity"), "query_vector"
-    )
+    vectors_ = means.groupBy("label").agg(F.transform(ordered, lambda p: p["x"]).alias("query_vector"))
+    return keep(vectors_.select(F.col("label").alias("entity"), "query_vector"), "questions")
 
 
 QUESTIONS_SQL = """

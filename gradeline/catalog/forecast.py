@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeline.catalog.fixtures import (
-    INGESTED_AT, POPULARITY_SQL, REPLY_KEYS_SQL, moment, popularity, prediction_log, symbols, table,
+    INGESTED_AT, POPULARITY_SQL, REPLY_KEYS_SQL, history, moment, popularity, prediction_log, symbols, table,
 )
 from gradeline.catalog.measures import RATINGS_SQL, nation_ratings
 from gradeline.catalog.registry import query
@@ -58,10 +58,6 @@ cut AS (
   FROM deltas)"""
 
 
-def frozen_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pop.cutoffs(popularity(spark, sf_dir), moment(INGESTED_AT))
-
-
 @query("q20_cutoffs", "WITH" + MOVES_SQL + """
 SELECT horizon_days, round(fall_below, 9) AS fall_below, round(rise_above, 9) AS rise_above, n_deltas,
   CAST(first_d AS VARCHAR) AS first_d, CAST(last_d AS VARCHAR) AS last_d,
@@ -69,8 +65,9 @@ SELECT horizon_days, round(fall_below, 9) AS fall_below, round(rise_above, 9) AS
 def cutoff_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The terciles, written once: the second attempt, with another horizon, keeps the first row."""
     path = shared_folder(spark, "cutoffs")
-    frozen_cutoffs(spark, sf_dir).write.mode("ignore").parquet(path)
-    pop.cutoffs(popularity(spark, sf_dir), moment(INGESTED_AT), 3).write.mode("ignore").parquet(path)
+    series = popularity(spark, sf_dir)
+    pop.cutoffs(series, moment(INGESTED_AT)).write.mode("ignore").parquet(path)
+    pop.cutoffs(series, moment(INGESTED_AT), 3).write.mode("ignore").parquet(path)
     return spark.read.parquet(path).withColumns(
         {"fall_below": F.round("fall_below", 9), "rise_above": F.round("rise_above", 9)}
     )
@@ -187,8 +184,10 @@ card AS (
 
 def scorecard(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(scorecard, skips)"""
-    predictions, skips = prediction_log(spark, sf_dir)
-    card = grade(predictions, symbols(spark, sf_dir), popularity(spark, sf_dir), frozen_cutoffs(spark, sf_dir))
+    ranked = history(spark, sf_dir)
+    predictions, skips = prediction_log(spark, sf_dir, ranked)
+    series = popularity(spark, sf_dir, ranked)
+    card = grade(predictions, symbols(spark, sf_dir), series, pop.cutoffs(series, moment(INGESTED_AT)))
     return card, skips
 
 

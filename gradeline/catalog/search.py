@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeline.catalog.fixtures import (
-    POPULARITY_SQL, QUESTIONS_SQL, popularity, publication_date, questions, symbols, table, vectors,
+    INGESTED_AT, QUESTIONS_SQL, history, moment, popularity, publication_date, questions, symbols, table, vectors,
 )
-from gradeline.catalog.forecast import MOVES_SQL, frozen_cutoffs
+from gradeline.catalog.forecast import MOVES_SQL
 from gradeline.catalog.registry import query
 from gradeline.functions.dates import month_key
 from gradeline.plans import popularity as pop
@@ -20,11 +20,10 @@ AS_OF = "2024-01-20"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
-def every_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+def every_day(spark: SparkSession, sf_dir: str, asked: DataFrame) -> DataFrame:
     """(entity, as_of): every question on every day that published something."""
-    dated = vectors(spark, sf_dir)
-    days = dated.agg(F.array_sort(F.collect_set("published_date"))).scalar()
-    return questions(spark, sf_dir).select("entity", F.explode(days).alias("as_of"))
+    days = vectors(spark, sf_dir).agg(F.array_sort(F.collect_set("published_date"))).scalar()
+    return asked.select("entity", F.explode(days).alias("as_of"))
 
 
 @query("q16_topk_cosine_asof", "WITH" + QUESTIONS_SQL + """,
@@ -35,7 +34,8 @@ SELECT entity, CAST(as_of AS VARCHAR) AS as_of, doc_id, round(score, 6) AS score
 WHERE rank <= 5""")
 def cosine_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors published by each day, for every question and every day at once."""
-    found = cosine_top_k_as_of(vectors(spark, sf_dir), questions(spark, sf_dir), every_day(spark, sf_dir))
+    asked = questions(spark, sf_dir)
+    found = cosine_top_k_as_of(vectors(spark, sf_dir), asked, every_day(spark, sf_dir, asked))
     return found.select("entity", "as_of", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -158,7 +158,7 @@ LEFT JOIN context c ON c.entity = p.user_id % 10"""
 @query("q29_prompt_rows", "WITH" + PROMPTS_SQL)
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All prompts of one live run and one backfill, with everything known by each call's day."""
-    known, series = symbols(spark, sf_dir), popularity(spark, sf_dir)
+    known, series = symbols(spark, sf_dir), popularity(spark, sf_dir, history(spark, sf_dir))
 
     def day(text: str) -> F.Column:
         return F.lit(text).cast("date")
@@ -190,7 +190,7 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     context = known.select("symbol", entity.alias("entity")).join(found, "entity").select("symbol", "as_of", "chunks")
     rows = prompt_rows(
         plan, pop.recent_popularity(asked, series), pop.latest_sentiment(asked, sentiment), estimates, context,
-        frozen_cutoffs(spark, sf_dir),
+        pop.cutoffs(series, moment(INGESTED_AT)),
     )
     return rows.select(
         "symbol", "brand", "as_of", "source", "variant", F.array_join("retrieved_doc_ids", ",").alias("retrieved"), "prompt"
@@ -210,10 +210,11 @@ SELECT source, count(DISTINCT (entity, prediction_date)) AS calls, count(*) AS d
 FROM cited GROUP BY 1""")
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often retrieval without a date limit would have shown a call its own future."""
-    hits = cosine_top_k(vectors(spark, sf_dir), questions(spark, sf_dir))
+    asked = questions(spark, sf_dir)
+    hits = cosine_top_k(vectors(spark, sf_dir), asked)
     ids = hits.groupBy("entity").agg(F.collect_list("doc_id").alias("retrieved_doc_ids"))
     live = F.dayofmonth("as_of") >= 16
-    calls = every_day(spark, sf_dir).join(ids, "entity").select(
+    calls = every_day(spark, sf_dir, asked).join(ids, "entity").select(
         F.col("entity").cast("string").alias("symbol"), F.col("as_of").alias("prediction_date"),
         F.when(live, F.lit("live")).otherwise(F.lit("backfill")).alias("source"),
         F.lit("rag").alias("variant"), "retrieved_doc_ids",

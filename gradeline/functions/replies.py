@@ -42,16 +42,21 @@ def _result(block: Column, reply: Column) -> Column:
     )
 
 
-def _read_block(text: Column, pattern: str) -> Column:
-    def read(block: Column) -> Column:
-        # Wrapped as a one-element array: text after the object then makes the document invalid.
-        parsed = F.from_json(F.concat(F.lit("["), block, F.lit("]")), _REPLY_TYPE, {"allowSingleQuotes": "false"})
-        return _bind(parsed, lambda p: F.when(F.size(p) == 1, _result(block, F.get(p, F.lit(0)))))
-
-    return _bind(F.regexp_extract(text, pattern, 0), lambda b: F.when(b != "", read(b)))
+def _read_block(block: Column) -> Column:
+    # Wrapped as a one-element array: text after the object then makes the document invalid.
+    parsed = F.from_json(F.concat(F.lit("["), block, F.lit("]")), _REPLY_TYPE, {"allowSingleQuotes": "false"})
+    return _bind(parsed, lambda p: F.when(F.size(p) == 1, _result(block, F.get(p, F.lit(0)))))
 
 
 def parse_reply(text: Column | str) -> Column:
     """Struct (call, confidence, reasoning) of the first block with a valid call, else NULL."""
     text = as_column(text)
-    return F.coalesce(*[_read_block(text, pattern) for pattern in BLOCK_PATTERNS])
+    shortest, longest = (F.regexp_extract(text, pattern, 0) for pattern in BLOCK_PATTERNS)
+    blocks = F.struct(shortest.alias("shortest"), longest.alias("longest"))
+    return _bind(
+        blocks,
+        lambda b: F.coalesce(
+            F.when(b["shortest"] != "", _read_block(b["shortest"])),
+            F.when(b["longest"] != b["shortest"], _read_block(b["longest"])),
+        ),
+    )

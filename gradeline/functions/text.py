@@ -19,7 +19,7 @@ def normalised(text: Column | str) -> Column:
 def words(text: Column | str) -> Column:
     """Lower-case words of the whole text; a NULL text has none."""
     parts = F.split(F.lower(F.coalesce(as_column(text), F.lit(""))), WORD_GAP)
-    return F.filter(parts, lambda w: w != F.lit(""))
+    return F.array_remove(parts, "")
 
 
 def joined(parts: list[Column], separator: str = "", skip_null: bool = False) -> Column:

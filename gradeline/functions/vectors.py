@@ -17,8 +17,10 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def unit(vector: Column | str) -> Column:
-    """The vector at length 1, so a dot product of two is their cosine; NULL for a zero vector."""
-    vector = as_doubles(vector)
-    length = F.sqrt(dot(vector, vector))
-    return F.when(length > 0, F.transform(vector, lambda x: x / length))
+def length(vector: Column) -> Column:
+    return F.sqrt(dot(vector, vector))
+
+
+def cosine(left: Column, left_length: Column, right: Column, right_length: Column) -> Column:
+    """Cosine of two vectors whose lengths are known; lengths are worked out once per vector."""
+    return dot(left, right) / (left_length * right_length)

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeline.functions.text import words
-from gradeline.functions.vectors import dot, unit
-from gradeline.operators.sizes import broadcast_if_small
+from gradeline.functions.vectors import as_doubles, cosine, length
 from gradeline.operators.topk import as_of_top_k, top_k
 from gradeline.sources.tables import keep
 
@@ -41,21 +40,26 @@ def question_blocks(questions: DataFrame, columns: list[Column], block: int = QU
     return [questions.where(part == i).agg(F.collect_list(packed)).scalar() for i in range(2 * n_blocks)]
 
 
+def with_length(rows: DataFrame, vector: str) -> DataFrame:
+    """Vectors as doubles with their length; vectors of length 0 have no direction and drop out."""
+    return (
+        rows.withColumn("vector", as_doubles(vector))
+        .withColumn("length", length(F.col("vector")))
+        .where(F.col("length") > 0)
+    )
+
+
 def cosine_scores(documents: DataFrame, questions: DataFrame) -> DataFrame:
     """(entity, doc_id, published_date, score) of every document for every question."""
-    vectors = questions.select("entity", unit("query_vector").alias("vector")).where(F.col("vector").isNotNull())
-    scored = documents.select("doc_id", "published_date", unit("embedding").alias("_unit")).where(
-        F.col("_unit").isNotNull()
-    )
+    asked = with_length(questions.select("entity", "query_vector"), "query_vector")
+    held = with_length(documents.select("doc_id", "published_date", "embedding"), "embedding")
     passes = []
-    for block in question_blocks(vectors, [F.col("entity"), F.col("vector")]):
-        pairs = scored.select("doc_id", "published_date", "_unit", F.explode(block).alias("_q"))
+    for block in question_blocks(asked, [F.col("entity"), F.col("vector"), F.col("length")]):
+        pairs = held.select("doc_id", "published_date", "vector", "length", F.explode(block).alias("_q"))
+        score = cosine(F.col("vector"), F.col("length"), F.col("_q.vector"), F.col("_q.length"))
         passes.append(
             pairs.select(
-                F.col("_q.entity").alias("entity"),
-                "doc_id",
-                "published_date",
-                F.round(dot(F.col("_unit"), F.col("_q.vector")), SCORE_DIGITS).alias("score"),
+                F.col("_q.entity").alias("entity"), "doc_id", "published_date", F.round(score, SCORE_DIGITS).alias("score")
             )
         )
     return reduce(DataFrame.unionAll, passes)
@@ -92,32 +96,35 @@ def word_matches(documents: DataFrame, asked: DataFrame) -> DataFrame:
     """
     texts = documents.where(F.col("text_content").isNotNull()).select("doc_id", words("text_content").alias("_words"))
     wanted = asked.select("word").unionByName(asked.sparkSession.range(1).select(F.lit("").alias("word"))).distinct()
+    # The outer explode: a plain one adds a filter on the array, and texts are split a second time.
     occurrences = texts.select(
-        "doc_id", F.size("_words").alias("length"), F.explode(F.array_append("_words", F.lit(""))).alias("word")
+        "doc_id", F.size("_words").alias("length"), F.explode_outer(F.array_append("_words", F.lit(""))).alias("word")
     )
     return (
-        occurrences.join(broadcast_if_small(wanted), "word", "left_semi")
+        occurrences.join(wanted, "word", "left_semi")
         .groupBy("doc_id", "length", "word")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
-def bm25_scores(matches: DataFrame, asked: DataFrame) -> DataFrame:
-    """(entity, doc_id, score) of the documents that contain a word of the question.
+def word_weights(matches: DataFrame, asked: DataFrame) -> DataFrame:
+    """(entity, word, idf, mean_length): a row per question word that some document has.
 
-    Counts, lengths and frequencies are those of the matched documents' corpus, so a corpus cut at a
-    date has the statistics of that date.
+    The numbers are those of the matched corpus, so a corpus cut at a date has that date's numbers.
     """
     totals = matches.where(F.col("word") == "").agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
     n_docs, mean_length = totals.select("n").scalar(), totals.select("mean").scalar()
-    found = matches.where(F.col("word") != "")
-    spread = found.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    spread = matches.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     rarity = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = asked.join(spread, "word").select("entity", "word", rarity.alias("idf"))
-    damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length)
+    return asked.join(spread, "word").select("entity", "word", rarity.alias("idf"), mean_length.alias("mean_length"))
+
+
+def bm25_scores(matches: DataFrame, weights: DataFrame) -> DataFrame:
+    """(entity, doc_id, score) of the documents that contain a word of the question."""
+    damping = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.col("mean_length"))
     gain = F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damping)
     return (
-        found.join(weights, "word")
+        matches.join(weights, "word")
         .groupBy("entity", "doc_id")
         .agg(F.round(F.sum(gain), SCORE_DIGITS).alias("score"))
     )
@@ -138,7 +145,7 @@ def _rank_by_counting(scores: DataFrame, some: DataFrame) -> DataFrame:
     place = F.size(F.filter("marks", lambda m: m < F.col("_key")))
     counts = (
         scores.select("entity", _score_key().alias("_key"))
-        .join(broadcast_if_small(marks), "entity")
+        .join(marks, "entity")
         .select("entity", place.alias("place"))
         .groupBy("entity", "place")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -169,6 +176,9 @@ def hybrid_top_k(
     in it. Below the first ``offset + 2k`` places of both lists a document scores less than the k-th
     place of one list alone, so those places hold every possible answer. Where such a document lies
     deeper in the other list, its rank there is counted exactly.
+
+    Questions, their words and the first places are kept as tables: they are needed several times,
+    and Spark then knows they are small enough to broadcast, or that they are not.
     """
     eligible = documents.where(F.col("published_date") <= as_of)
     depth = offset + 2 * k
@@ -178,7 +188,7 @@ def hybrid_top_k(
     asked = keep(asked_words(questions), "asked_words")
     matches = keep(word_matches(eligible, asked), "word_matches")
     by_vector = cosine_scores(eligible, questions).select(*id_pair, "score")
-    by_word = bm25_scores(matches, asked)
+    by_word = bm25_scores(matches, keep(word_weights(matches, asked), "word_weights"))
 
     first = keep(
         top_k(by_vector, ["entity"], best_first(), depth).withColumn("list", F.lit("vector"))

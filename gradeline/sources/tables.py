@@ -28,9 +28,14 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partitions that occur in ``df``: one commit, and safe to run again."""
+    """Overwrite only the partitions that occur in ``df``: one commit, and safe to run again.
+
+    Rows of one partition are brought together before the write, which saves small files; Spark
+    splits a partition that is much larger than the others over several tasks.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

@@ -58,10 +58,13 @@ def upsert_by_day(
         # Read twice below; without this the stateful steps before it would run twice.
         fresh = latest_per_key(batch, [day, *keys], newest_first).persist()
         try:
+            # One value per calendar day of the batch: known days prune the stored table's folders.
+            days = [row[0] for row in fresh.select(day).distinct().collect()]
+            if not days:
+                return
             merged = fresh
             if _exists(spark, path):
-                stored = spark.read.schema(schema).parquet(path)
-                touched = stored.join(fresh.select(day).distinct(), day, "left_semi").select(*fresh.columns)
+                touched = spark.read.schema(schema).parquet(path).where(F.col(day).isin(days)).select(*fresh.columns)
                 both = touched.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
                 merged = latest_per_key(both, [day, *keys], [*newest_first, "_new"]).drop("_new")
             replace_partitions(merged, path, [day])
