@@ -55,6 +55,17 @@ APP_CHART = """
 
 TRADE_TICK = "s string, p double, t bigint, v double, c array<string>"
 
+# Landing files of each raw table
+LANDING_FILES = {
+    "recommendation_trends": "finnhub_recommendation_trends_*.json",
+    "news": "finnhub_company_news_*.json",
+    "estimates": "fmp_analyst_estimates_*.json",
+    "reviews": "tmdb_reviews_*.json",
+    "shows": "tmdb_trending_show_registry.json",
+    "providers": "tmdb_watch_providers.json",
+    "app_chart": "appstore_top_free_100_*.json",
+}
+
 # Columns of the derived tables
 RANK_HISTORY = "id string, _storefront string, name string, rank int, snapshot_date date"
 
@@ -72,3 +83,10 @@ PREDICTIONS = """
 SKIPS = "symbol string, prediction_date date, source string, variant string, created_at timestamp"
 
 PREDICTION_KEY = ("symbol", "prediction_date", "source", "variant")
+
+# Predictions and skips are the rows of this table with and without a call: a key has one row.
+ANSWERS = """
+    symbol string, source string, variant string,
+    call string, confidence string, reasoning string, retrieved_doc_ids array<string>,
+    model_endpoint string, created_at timestamp, prediction_date date
+"""

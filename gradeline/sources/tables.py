@@ -10,8 +10,10 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gradeline.operators.latest import latest_per_key
 from gradeline.operators.merge import add_missing_columns
 from gradeline.session import shared_folder
 
@@ -42,6 +44,25 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
+def merge_partitions(
+    stored: DataFrame | None, batch: DataFrame, keys: Sequence[str], newest_first: Sequence[str], partition: str
+) -> DataFrame | None:
+    """The partitions a batch touches, with its rows merged in; None when the batch is empty.
+
+    A key belongs to one partition. The batch's partition values, one per day or the like, are read
+    first: known values prune the stored table's folders, so a batch costs its own partitions.
+    """
+    fresh = latest_per_key(batch, [partition, *keys], newest_first)
+    values = [row[0] for row in fresh.select(partition).distinct().collect()]
+    if not values:
+        return None
+    if stored is None:
+        return fresh
+    touched = stored.where(F.col(partition).isin(values)).select(*fresh.columns)
+    both = touched.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
+    return latest_per_key(both, [partition, *keys], [*newest_first, "_new"]).drop("_new")
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write a step's result to the shared folder and go on from there.
 
@@ -74,12 +95,26 @@ class Database:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.full_name(table))
 
-    def create_if_absent(self, table: str, ddl: str) -> None:
-        location = self._fresh(table)
+    def create_if_absent(self, table: str, ddl: str, partition_by: str | None = None) -> None:
+        stored_by = f"PARTITIONED BY ({partition_by})" if partition_by else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.full_name(table)} ({ddl}) USING parquet LOCATION '{location}'"
+            f"CREATE TABLE IF NOT EXISTS {self.full_name(table)} ({ddl}) USING parquet {stored_by} "
+            f"LOCATION '{self._fresh(table)}'"
         )
 
+    def replace_partitions(self, table: str, df: DataFrame, partition_by: str) -> None:
+        """Overwrite the partitions that occur in ``df``, in one commit."""
+        ordered = df.select(*self.table(table).columns).hint("rebalance", partition_by)
+        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(self.full_name(table), overwrite=True)
+
+    def merge(
+        self, table: str, batch: DataFrame, keys: Sequence[str], newest_first: Sequence[str], partition_by: str
+    ) -> None:
+        """Upsert a batch into a table stored by a column that is part of the key."""
+        merged = merge_partitions(self.table(table), batch, keys, newest_first, partition_by)
+        if merged is not None:
+            self.replace_partitions(table, merged, partition_by)
+
     def replace(self, table: str, df: DataFrame) -> None:
         """Overwrite the table, schema included."""
         location = self._fresh(table)

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gradeline.operators.latest import latest_per_key
 from gradeline.sources.schemas import TRADE_TICK
-from gradeline.sources.tables import replace_partitions
+from gradeline.sources.tables import merge_partitions, replace_partitions
 
 
 def read_ticks(spark: SparkSession, path: str, schema: str = TRADE_TICK, files_per_batch: int = 1000) -> DataFrame:
@@ -49,27 +48,21 @@ def upsert_by_day(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges a batch into a table stored by day.
 
-    A key belongs to one day. Only days that occur in the batch are read and rewritten, in one
-    commit, so a batch costs its own days and not the table, and a repeated batch changes nothing.
+    Only days that occur in the batch are read and rewritten, in one commit, so a batch costs its
+    own days and not the table, and a repeated batch changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Read twice below; without this the stateful steps before it would run twice.
-        fresh = latest_per_key(batch, [day, *keys], newest_first).persist()
+        # Read more than once below; without this the stateful steps before it would run again.
+        batch = batch.persist()
         try:
-            # One value per calendar day of the batch: known days prune the stored table's folders.
-            days = [row[0] for row in fresh.select(day).distinct().collect()]
-            if not days:
-                return
-            merged = fresh
-            if _exists(spark, path):
-                touched = spark.read.schema(schema).parquet(path).where(F.col(day).isin(days)).select(*fresh.columns)
-                both = touched.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
-                merged = latest_per_key(both, [day, *keys], [*newest_first, "_new"]).drop("_new")
-            replace_partitions(merged, path, [day])
+            stored = spark.read.schema(schema).parquet(path) if _exists(spark, path) else None
+            merged = merge_partitions(stored, batch, keys, newest_first, day)
+            if merged is not None:
+                replace_partitions(merged, path, [day])
         finally:
-            fresh.unpersist()
+            batch.unpersist()
 
     return merge
 
