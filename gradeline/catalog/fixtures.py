@@ -49,7 +49,7 @@ def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CHART_SQL = """
 chart AS (
-  SELECT snapshot_date, user_id, total, rank FROM (
+  SELECT snapshot_date, user_id, total, CAST(rank AS INT) AS rank FROM (
     SELECT *, row_number() OVER (PARTITION BY snapshot_date ORDER BY total DESC, user_id) AS rank
     FROM (SELECT CAST(ts AS DATE) AS snapshot_date, user_id, round(sum(value), 2) AS total
           FROM events GROUP BY 1, 2))

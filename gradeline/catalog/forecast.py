@@ -13,6 +13,7 @@ from gradeline.catalog.registry import query
 from gradeline.functions.replies import parse_reply
 from gradeline.functions.scores import HORIZON_DAYS
 from gradeline.operators.asof import latest_as_of
+from gradeline.operators.topk import top_k
 from gradeline.plans import popularity as pop
 from gradeline.plans.calls import first_parsed
 from gradeline.plans.metrics import analyst_sentiment
@@ -43,7 +44,7 @@ def storefront_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.to_date("o_orderdate").alias("snapshot_date"))
         .agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
-    history = pop.top_k(totals, ["_storefront", "snapshot_date"], [F.col("total").desc(), F.col("name").asc()], 100)
+    history = top_k(totals, ["_storefront", "snapshot_date"], [F.col("total").desc(), F.col("name").asc()], 100)
     pop.brand_popularity(history, "1", ("BUILDING", "MACHINERY")).createOrReplaceTempView("brand_popularity")
     return spark.table("brand_popularity").withColumn("brand", F.concat(F.lit("1:"), "brand"))
 
@@ -134,7 +135,7 @@ def scorable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q21c_signal_pack", "WITH" + RATINGS_SQL + """,
 yearly AS (
-  SELECT c_nationkey AS symbol, year(o_orderdate) AS year, min(o_orderdate) AS loaded, round(sum(o_totalprice), 2) AS revenue
+  SELECT c_nationkey AS symbol, CAST(year(o_orderdate) AS INT) AS year, min(o_orderdate) AS loaded, round(sum(o_totalprice), 2) AS revenue
   FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2),
 requests AS (SELECT DISTINCT c_nationkey AS symbol, last_day(CAST(o_orderdate AS DATE)) AS as_of
   FROM orders JOIN customer ON c_custkey = o_custkey),

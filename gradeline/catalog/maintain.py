@@ -128,7 +128,7 @@ def route_and_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q08_rank_history", "WITH" + CHART_SQL + """,
 newest AS (SELECT max(CAST(ts AS DATE)) AS d FROM events),
 fresh AS (
-  SELECT snapshot_date, user_id, rank FROM (
+  SELECT snapshot_date, user_id, CAST(rank AS INT) AS rank FROM (
     SELECT *, row_number() OVER (PARTITION BY snapshot_date ORDER BY total DESC, user_id) AS rank
     FROM (SELECT CAST(ts AS DATE) AS snapshot_date, user_id, round(sum(value), 2) AS total FROM events
           WHERE event_type <> 'error' AND CAST(ts AS DATE) = (SELECT d FROM newest) GROUP BY 1, 2))

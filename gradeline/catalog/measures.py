@@ -64,7 +64,7 @@ def weighted_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q12_growth_lag", """
 WITH yearly AS (
-  SELECT c_nationkey AS symbol, year(o_orderdate) AS year, round(sum(o_totalprice), 2) AS revenue, count(*) AS n_orders
+  SELECT c_nationkey AS symbol, CAST(year(o_orderdate) AS INT) AS year, round(sum(o_totalprice), 2) AS revenue, count(*) AS n_orders
   FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2)
 SELECT symbol, year, revenue, n_orders,
   round((revenue - lag(revenue) OVER w) / lag(revenue) OVER w * 100, 2) AS revenue_growth_pct,

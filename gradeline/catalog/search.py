@@ -28,7 +28,7 @@ def every_day(spark: SparkSession, sf_dir: str, asked: DataFrame) -> DataFrame:
 
 @query("q16_topk_cosine_asof", "WITH" + QUESTIONS_SQL + """,
 days AS (SELECT DISTINCT published_date AS as_of FROM docs)
-SELECT entity, CAST(as_of AS VARCHAR) AS as_of, doc_id, round(score, 6) AS score, rank FROM (
+SELECT entity, CAST(as_of AS VARCHAR) AS as_of, doc_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (
   SELECT entity, as_of, doc_id, score, row_number() OVER (PARTITION BY entity, as_of ORDER BY score DESC, doc_id) AS rank
   FROM scores JOIN days ON published_date <= as_of)
 WHERE rank <= 5""")
@@ -40,7 +40,7 @@ def cosine_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("q16a_topk_cosine", "WITH" + QUESTIONS_SQL + """
-SELECT entity, doc_id, round(score, 6) AS score, rank FROM (
+SELECT entity, doc_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY entity ORDER BY score DESC, doc_id) AS rank FROM scores)
 WHERE rank <= 5""")
 def cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,8 @@ fused AS (
   SELECT entity, doc_id, semantic_rank, lexical_rank,
     round(coalesce(1.0::DOUBLE / (60 + semantic_rank), 0) + coalesce(1.0::DOUBLE / (60 + lexical_rank), 0), 9) AS score
   FROM semantic FULL OUTER JOIN lexical USING (entity, doc_id))
-SELECT entity, doc_id, semantic_rank, lexical_rank, round(score, 6) AS score, rank FROM (
+SELECT entity, doc_id, CAST(semantic_rank AS INT) AS semantic_rank, CAST(lexical_rank AS INT) AS lexical_rank,
+  round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY entity ORDER BY score DESC, doc_id) AS rank FROM fused)
 WHERE rank <= 5""")
 def hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +206,7 @@ cited AS (
     h.published_date > d.published_date AS late
   FROM hits h CROSS JOIN (SELECT DISTINCT published_date FROM docs) d)
 SELECT source, count(DISTINCT (entity, prediction_date)) AS calls, count(*) AS docs,
-  count(*) FILTER (late) AS late_docs, 0 AS unknown_docs,
+  count(*) FILTER (late) AS late_docs, CAST(0 AS BIGINT) AS unknown_docs,
   count(DISTINCT CASE WHEN late THEN (entity, prediction_date) END) AS calls_affected
 FROM cited GROUP BY 1""")
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ and the target is not shuffled at all, a large one falls back to a sort-merge jo
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,15 +18,17 @@ from gradeline.operators.latest import latest_per_key
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fail the job at run time when two rows share a key; NULL keys are left alone."""
-    window = Window.partitionBy(*keys).orderBy(F.lit(1))
-    not_null = F.lit(True)
-    for key in keys:
-        not_null = not_null & F.col(key).isNotNull()
-    repeated = not_null & (F.row_number().over(window) > 1)
+    """Fail the job at run time when two rows share a key; NULL keys are left alone.
+
+    Rows with a NULL in the key match nothing, so they are spread out instead of meeting in one task.
+    """
+    has_null = reduce(or_, [F.col(key).isNull() for key in keys])
+    spread = F.when(has_null, F.pmod(F.monotonically_increasing_id(), F.lit(1009)))
+    window = Window.partitionBy(*keys, "_spread").orderBy(F.lit(1))
+    repeated = ~has_null & (F.row_number().over(window) > 1)
     message = F.lit(f"two source rows match one target row on {list(keys)}")
     flag = F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return df.withColumn("_unique", flag).where(F.col("_unique")).drop("_unique")
+    return df.withColumn("_spread", spread).withColumn("_unique", flag).where(F.col("_unique")).drop("_unique", "_spread")
 
 
 def upsert(

@@ -71,7 +71,7 @@ def brand_aliases(spark: SparkSession, rows: Sequence[tuple[str, str]] = BRAND_A
 def attach_brand(rows: DataFrame, aliases: DataFrame, name: str = "name") -> DataFrame:
     """Add the brand of a name, NULL where the name is nobody's alias."""
     lookup = aliases.select(F.col("name").alias(name), "brand")
-    return rows.join(F.broadcast(lookup), name, "left")
+    return rows.join(lookup, name, "left")
 
 
 def newest_chart(bronze: DataFrame, aliases: DataFrame) -> DataFrame:
