@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gradeline.functions.dates import as_column
-
-
-def as_doubles(vector: Column | str) -> Column:
-    return as_column(vector).cast("array<double>")
-
 
 def dot(left: Column, right: Column) -> Column:
-    products = F.zip_with(left, right, lambda x, y: x * y)
+    """Dot product in double precision, whatever the element type is."""
+    products = F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
+def has_direction(vector: Column) -> Column:
+    """Whether any part differs from 0; stops at the first that does."""
+    return F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
 def length(vector: Column) -> Column:
     return F.sqrt(dot(vector, vector))
 

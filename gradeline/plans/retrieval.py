@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeline.functions.text import words
-from gradeline.functions.vectors import as_doubles, cosine, length
+from gradeline.functions.vectors import cosine, has_direction, length
 from gradeline.operators.topk import as_of_top_k, top_k
 from gradeline.sources.tables import keep
 
@@ -41,11 +41,11 @@ def question_blocks(questions: DataFrame, columns: list[Column], block: int = QU
 
 
 def with_length(rows: DataFrame, vector: str) -> DataFrame:
-    """Vectors as doubles with their length; vectors of length 0 have no direction and drop out."""
-    return (
-        rows.withColumn("vector", as_doubles(vector))
-        .withColumn("length", length(F.col("vector")))
-        .where(F.col("length") > 0)
+    """Vectors as doubles with their length; those of length 0 have no direction and drop out."""
+    return rows.where(has_direction(F.col(vector))).select(
+        *[c for c in rows.columns if c != vector],
+        F.col(vector).cast("array<double>").alias("vector"),
+        length(F.col(vector)).alias("length"),
     )
 
 
