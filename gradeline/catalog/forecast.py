@@ -13,6 +13,7 @@ from gradeline.catalog.registry import query
 from gradeline.functions.replies import parse_reply
 from gradeline.functions.scores import HORIZON_DAYS
 from gradeline.operators.asof import latest_as_of
+from gradeline.operators.percentiles import percentile_table
 from gradeline.operators.topk import top_k
 from gradeline.plans import popularity as pop
 from gradeline.plans.calls import first_parsed
@@ -74,6 +75,17 @@ def cutoff_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("q20p_percentiles", """
+SELECT p, round(v, 6) AS percentile FROM (
+  SELECT unnest([0.0, 0.333333, 0.5, 0.666667, 0.99, 1.0]::DOUBLE[]) AS p,
+    unnest(quantile_cont(l_extendedprice, [0.0, 0.333333, 0.5, 0.666667, 0.99, 1.0])) AS v FROM lineitem)""")
+def price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of line prices, which have nearly as many distinct values as there are lines."""
+    probabilities = (0.0, *pop.TERCILES, 0.5, 0.99, 1.0)
+    found = percentile_table(table(spark, sf_dir, "lineitem"), "l_extendedprice", probabilities)
+    return found.select("p", F.round("percentile", 6).alias("percentile"))
+
+
 @query("q20b_offset_join", "WITH" + POPULARITY_SQL + """
 SELECT a.brand, CAST(a.d AS VARCHAR) AS d, a.popularity AS pop_then, f.popularity AS pop_future,
   f.popularity - a.popularity AS delta, a.popularity - b.popularity AS prior_delta

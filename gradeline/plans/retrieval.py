@@ -1,7 +1,7 @@
 """Top-k retrieval over the text corpus, limited to what was published by a date.
 
 Questions are few (one per entity) and documents are many, so questions travel to the documents:
-blocks of at most ``QUESTION_BLOCK`` question vectors are a scalar of the plan, each document is
+blocks of up to about ``QUESTION_BLOCK`` question vectors are a scalar of the plan, each document is
 scored where it is read, and only the best rows of every partition are shuffled.
 """
 
@@ -27,7 +27,7 @@ QUESTION_BLOCK = 256
 
 
 def question_blocks(questions: DataFrame, columns: list[Column], block: int = QUESTION_BLOCK) -> list[Column]:
-    """The questions as array scalars of at most ``block`` elements each, however many there are.
+    """The questions as array scalars, in one block or in hashed blocks of half ``block`` on average.
 
     The number of questions is read first; it only sets how many blocks, and so how many passes over
     the documents, are planned.
@@ -71,7 +71,7 @@ def best_first() -> list[Column]:
 
 def cosine_top_k(documents: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
     """The ``k`` nearest documents of every question, whatever their date."""
-    return top_k(cosine_scores(documents, questions), ["entity"], best_first(), k)
+    return top_k(cosine_scores(documents, questions), ["entity"], best_first(), k, spread_by="doc_id")
 
 
 def cosine_top_k_as_of(
@@ -191,8 +191,8 @@ def hybrid_top_k(
     by_word = bm25_scores(matches, keep(word_weights(matches, asked), "word_weights"))
 
     first = keep(
-        top_k(by_vector, ["entity"], best_first(), depth).withColumn("list", F.lit("vector"))
-        .unionByName(top_k(by_word, ["entity"], best_first(), depth).withColumn("list", F.lit("word"))),
+        top_k(by_vector, ["entity"], best_first(), depth, spread_by="doc_id").withColumn("list", F.lit("vector"))
+        .unionByName(top_k(by_word, ["entity"], best_first(), depth, spread_by="doc_id").withColumn("list", F.lit("word"))),
         "first_places",
     )
     first_by_vector = first.where(F.col("list") == "vector").drop("list")

@@ -13,7 +13,7 @@ from gradeline.operators.merge import (
     add_missing_columns, append_evolving, delete_keys, replace_slice, upsert,
 )
 from gradeline.operators.offsets import offset_values
-from gradeline.operators.percentiles import value_counts, weighted_percentiles
+from gradeline.operators.percentiles import percentile_table, value_counts, weighted_percentiles
 from gradeline.operators.topk import as_of_top_k, top_k
 
 START = dt.date(2024, 1, 1)
@@ -162,6 +162,21 @@ def test_percentiles_interpolate(spark, rows):
     assert even.agg(*weighted_percentiles("v", "n", (0.25,))).first()[0] == pytest.approx(1.25)
 
 
+@pytest.mark.parametrize("parts", [None, 1, 20])
+def test_percentile_table_is_exact(spark, rows, parts):
+    rng = random.Random(5)
+    # A third of the values is the same one.
+    values = [7.5 if rng.random() < 0.34 else rng.choice([-1e9, 1e9, rng.random() * 100]) for _ in range(1001)] + [0.25]
+    probabilities = (0.0, 0.1, 1 / 3, 0.5, 2 / 3, 0.999, 1.0)
+    got = percentile_table(rows("v double", *[(v,) for v in values], (None,)), "v", probabilities, parts)
+    ordered, expected = sorted(values), {}
+    for p in probabilities:
+        at = p * (len(values) - 1)
+        low, high = ordered[int(at)], ordered[min(int(at) + 1, len(values) - 1)]
+        expected[p] = low + (high - low) * (at - int(at))
+    assert {r.p: r.percentile for r in got.collect()} == pytest.approx(expected)
+
+
 def test_top_k_in_parts_is_the_same(spark):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), "id", F.pmod(F.hash("id"), F.lit(50)).alias("score"))
     order = [F.col("score").desc(), F.col("id")]
