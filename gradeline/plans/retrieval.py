@@ -49,12 +49,17 @@ def with_length(rows: DataFrame, vector: str) -> DataFrame:
     )
 
 
-def cosine_scores(documents: DataFrame, questions: DataFrame) -> DataFrame:
-    """(entity, doc_id, published_date, score) of every document for every question."""
+def vector_blocks(questions: DataFrame) -> list[Column]:
+    """The questions' vectors, ready to be scored against."""
     asked = with_length(questions.select("entity", "query_vector"), "query_vector")
+    return question_blocks(asked, [F.col("entity"), F.col("vector"), F.col("length")])
+
+
+def cosine_scores(documents: DataFrame, blocks: list[Column]) -> DataFrame:
+    """(entity, doc_id, published_date, score) of every document for every question in the blocks."""
     held = with_length(documents.select("doc_id", "published_date", "embedding"), "embedding")
     passes = []
-    for block in question_blocks(asked, [F.col("entity"), F.col("vector"), F.col("length")]):
+    for block in blocks:
         pairs = held.select("doc_id", "published_date", "vector", "length", F.explode(block).alias("_q"))
         score = cosine(F.col("vector"), F.col("length"), F.col("_q.vector"), F.col("_q.length"))
         passes.append(
@@ -71,16 +76,15 @@ def best_first() -> list[Column]:
 
 def cosine_top_k(documents: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
     """The ``k`` nearest documents of every question, whatever their date."""
-    return top_k(cosine_scores(documents, questions), ["entity"], best_first(), k, spread_by="doc_id")
+    return top_k(cosine_scores(documents, vector_blocks(questions)), ["entity"], best_first(), k, spread_by="doc_id")
 
 
 def cosine_top_k_as_of(
     documents: DataFrame, questions: DataFrame, requests: DataFrame, k: int = TOP_K
 ) -> DataFrame:
     """The ``k`` nearest documents published by each requested (entity, as_of)."""
-    return as_of_top_k(
-        cosine_scores(documents, questions), requests, "entity", "published_date", "as_of", best_first(), k
-    )
+    scores = cosine_scores(documents, vector_blocks(questions))
+    return as_of_top_k(scores, requests, "entity", "published_date", "as_of", best_first(), k)
 
 
 def asked_words(questions: DataFrame) -> DataFrame:
@@ -187,7 +191,8 @@ def hybrid_top_k(
     questions = keep(questions.select("entity", "query_text", "query_vector"), "questions")
     asked = keep(asked_words(questions), "asked_words")
     matches = keep(word_matches(eligible, asked), "word_matches")
-    by_vector = cosine_scores(eligible, questions).select(*id_pair, "score")
+    blocks = vector_blocks(questions)
+    by_vector = cosine_scores(eligible, blocks).select(*id_pair, "score")
     by_word = bm25_scores(matches, keep(word_weights(matches, asked), "word_weights"))
 
     first = keep(
@@ -202,7 +207,7 @@ def hybrid_top_k(
     # Score the few documents again instead of looking them up in a scored copy of the corpus.
     few = eligible.join(only_by_word.select("doc_id").distinct(), "doc_id", "left_semi")
     deep = keep(
-        cosine_scores(few, questions).select(*id_pair, "score").join(only_by_word, id_pair, "left_semi")
+        cosine_scores(few, blocks).select(*id_pair, "score").join(only_by_word, id_pair, "left_semi")
         .withColumn("list", F.lit("vector"))
         .unionByName(by_word.join(only_by_vector, id_pair, "left_semi").withColumn("list", F.lit("word"))),
         "deep_places",
@@ -225,15 +230,12 @@ def hybrid_top_k(
     )
 
 
-def retrieved_context(
-    hits: DataFrame, documents: DataFrame, keys: list[str], max_chars: int | None = None
-) -> DataFrame:
+def retrieved_context(hits: DataFrame, documents: DataFrame, keys: list[str]) -> DataFrame:
     """Per question the hits in rank order: ids, and (doc_id, text) pairs for the prompt.
 
     Texts are joined after the top k, so only k texts per question leave the corpus.
     """
-    text = F.col("text_content") if max_chars is None else F.substring("text_content", 1, max_chars)
-    with_text = hits.join(documents.select("doc_id", text.alias("text")), "doc_id")
+    with_text = hits.join(documents.select("doc_id", F.col("text_content").alias("text")), "doc_id")
     ordered = F.sort_array(F.collect_list(F.struct("rank", "doc_id", "text")))
     return (
         with_text.groupBy(*keys)

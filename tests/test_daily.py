@@ -67,12 +67,11 @@ def land(folder, n):
 def warehouse(spark, tmp_path_factory):
     landing = tmp_path_factory.mktemp("landing")
     wh = daily.Warehouse.at(spark, str(tmp_path_factory.mktemp("tables")), "daily_test")
-    for n in range(16):
+    for n in (0, 7, 14):
         land(landing, n)
-        if n in (0, 1, 7, 8, 15):
-            daily.ingest(wh, str(landing), at(n))
-            daily.clean(wh)
-            daily.aggregate(wh)
+        daily.ingest(wh, str(landing), at(n))
+        daily.clean(wh)
+        daily.aggregate(wh)
     daily.aggregate(wh)  # a rerun of the last day
     return wh
 
@@ -80,31 +79,31 @@ def warehouse(spark, tmp_path_factory):
 def test_layers(spark, warehouse):
     wh = warehouse
     for layer in ("bronze", "silver", "gold"):
-        daily.check(wh, layer, at(15, 8))
+        daily.check(wh, layer, at(14, 8))
     # Appended every day, current once.
-    assert wh.bronze.table("estimates").count() == 5 * 6 and wh.silver.table("estimates").count() == 6
+    assert wh.bronze.table("estimates").count() == 3 * 6 and wh.silver.table("estimates").count() == 6
     history = wh.gold.table("rank_history")
-    assert history.count() == 5 * 100 and history.select("snapshot_date").distinct().count() == 5
-    assert bag(history.where("name = 'Netflix'").select("rank")) == [(60,), (74,), (76,), (88,), (90,)]
+    assert history.count() == 3 * 100 and history.select("snapshot_date").distinct().count() == 3
+    assert bag(history.where("name = 'Netflix'").select("rank")) == [(62,), (76,), (90,)]
     # The chart in silver keeps apps that have left it; today's brands carry today's rank.
     assert bag(wh.gold.table("rankings_by_brand").select("brand", "name", "_rank")) == [
-        ("Disney+", "Disney+", 40), ("Disney+", "Hotstar", 50), ("Netflix", "Netflix", 60),
+        ("Disney+", "Disney+", 38), ("Disney+", "Hotstar", 50), ("Netflix", "Netflix", 62),
     ]
     assert bag(wh.gold.table("show_engagement").select("review_count", "avg_rating", "platform")) == [(2, 8.0, "p"), (2, 8.0, "q")]
-    assert wh.gold.table("corpus").count() == 2 * 16 + 1
+    assert wh.gold.table("corpus").count() == 2 * 15 + 1
     sentiment = wh.gold.table("analyst_sentiment").where("symbol = 'NFLX' and period = '2024-01-01'").first()
-    assert sentiment.strongBuy == 16 and sentiment.news_count == 11
+    assert sentiment.strongBuy == 15 and sentiment.news_count == 11
     assert bag(wh.gold.table("forward_estimates").select("revenue_yoy_growth_pct").distinct()) == [(20.0,), (25.0,), (None,)]
 
 
 def test_stale_and_empty_loads(spark, warehouse, tmp_path):
     with pytest.raises(AssertionError, match="app_chart"):
         daily.check(warehouse, "bronze", at(20))
-    land(tmp_path, 15)
+    land(tmp_path, 14)
     write(tmp_path, "finnhub_company_news_all.json", [])
     before = warehouse.bronze.table("news").count()
     with pytest.raises(RuntimeError, match="news"):
-        daily.ingest(warehouse, str(tmp_path), at(15))
+        daily.ingest(warehouse, str(tmp_path), at(14))
     assert warehouse.bronze.table("news").count() == before > 0
 
 
@@ -112,43 +111,43 @@ def test_forecast(spark, rows, warehouse):
     wh = warehouse
     frozen = daily.freeze_cutoffs(wh, at(8)).collect()
     assert daily.freeze_cutoffs(wh, at(9)).collect() == frozen
-    # Days 0->7, 1->8, 8->15 of both brands: +14 for one, -14 for the other.
-    assert frozen[0].n_deltas == 6 and frozen[0].fall_below == pytest.approx(-14.0) and frozen[0].rise_above == pytest.approx(14.0)
+    # Days 0 to 7 and 7 to 14 of both brands: +14 for one, -14 for the other.
+    assert frozen[0].n_deltas == 4 and frozen[0].fall_below == pytest.approx(-14.0) and frozen[0].rise_above == pytest.approx(14.0)
 
     embeddings = wh.gold.table("corpus").select("doc_id", F.array(F.lit(1.0), F.length("doc_id").cast("double")).alias("embedding"))
     questions = rows("entity string, query_text string, query_vector array<double>", ("NFLX", "viewers NFLX", [1.0, 1.0]), ("DIS", "viewers DIS", [1.0, 2.0]))
-    live = daily.ask(wh, day(8), embeddings=embeddings, questions=questions)
-    backfill = daily.ask(wh, day(15), backfill_from=FIRST)
+    live = daily.ask(wh, day(7), embeddings=embeddings, questions=questions)
+    backfill = daily.ask(wh, day(14), backfill_from=FIRST)
     assert bag(live.select("symbol", "variant", F.size("retrieved_doc_ids"))) == [
         (s, v, n) for s in ("DIS", "NFLX") for v, n in (("no_rag", 0), ("rag", 5))
     ]
     published = wh.gold.table("corpus").select("doc_id", "published_date")
     cited = live.select(F.explode("retrieved_doc_ids").alias("doc_id")).join(published, "doc_id")
-    assert cited.agg(F.max("published_date")).first()[0] <= day(8)
+    assert cited.agg(F.max("published_date")).first()[0] <= day(7)
     assert bag(backfill.select("symbol", "as_of", "variant")) == sorted(
-        (s, day(n), "no_rag") for s in ("NFLX", "DIS") for n in (0, 1, 8)
+        (s, day(n), "no_rag") for s in ("NFLX", "DIS") for n in (0, 7)
     )
     prompt = live.where("symbol = 'NFLX' and variant = 'no_rag'").first().prompt
-    # The estimates held now were loaded on day 15, so a call of day 8 must not see them.
-    assert '"snapshot_date":"2024-01-09","popularity_score":27.0' in prompt and '"estimates":null' in prompt
-    assert '"date":"2026-12-31"' in daily.ask(wh, day(15)).where("symbol = 'NFLX' and variant = 'no_rag'").first().prompt
+    # The estimates held now were loaded on day 14, so a call of day 7 must not see them.
+    assert '"snapshot_date":"2024-01-08","popularity_score":25.0' in prompt and '"estimates":null' in prompt
+    assert '"date":"2026-12-31"' in daily.ask(wh, day(14)).where("symbol = 'NFLX' and variant = 'no_rag'").first().prompt
 
     prompts = live.unionByName(backfill)
     answer = F.when((F.col("symbol") == "DIS") & (F.col("variant") == "rag"), F.lit("?")).otherwise(F.lit('{"call": "rise"}'))
     replies = prompts.select("symbol", F.col("as_of").alias("prediction_date"), "source", "variant", F.lit(1).alias("attempt"), answer.alias("reply"))
     for _ in range(2):
-        daily.record(wh, prompts, replies, "model", at(15))
-    assert daily.predictions(wh).count() == 9 and bag(daily.skips(wh).select("symbol", "variant")) == [("DIS", "rag")]
+        daily.record(wh, prompts, replies, "model", at(14))
+    assert daily.predictions(wh).count() == 7 and bag(daily.skips(wh).select("symbol", "variant")) == [("DIS", "rag")]
     # Answered now: the key moves from the skips to the predictions.
-    daily.record(wh, live, replies.withColumn("reply", F.lit('{"call": "hold"}')), "model", at(15, 9))
-    assert daily.skips(wh).count() == 0 and daily.predictions(wh).count() == 10
+    daily.record(wh, live, replies.withColumn("reply", F.lit('{"call": "hold"}')), "model", at(14, 9))
+    assert daily.skips(wh).count() == 0 and daily.predictions(wh).count() == 8
 
     daily.score(wh)
     summary = {(r.source, r.model): r for r in wh.gold.table("scorecard_summary").collect()}
     # Every change equals its cutoff, and edges hold.
     assert (summary[("live", "agent_rag")].n, summary[("live", "agent_rag")].hits) == (2, 2)
-    assert (summary[("backfill", "agent_no_rag")].n, summary[("backfill", "agent_no_rag")].hits) == (6, 0)
-    assert summary[("backfill", "always_hold")].hits == 6
-    # Days 8 has a window before it on day 1; days 0 and 1 have none.
+    assert (summary[("backfill", "agent_no_rag")].n, summary[("backfill", "agent_no_rag")].hits) == (4, 0)
+    assert summary[("backfill", "always_hold")].hits == 4
+    # Day 7 has a window before it, day 0 has none.
     assert summary[("backfill", "persistence")].n == 2
-    daily.check(wh, "predictions", at(15))
+    daily.check(wh, "predictions", at(14))

@@ -198,7 +198,7 @@ def test_many_questions_go_in_blocks(spark, rows):
     rng = random.Random(4)
     asked = rows("entity int, query_vector array<double>", *[(i, [rng.random(), rng.random()]) for i in range(40)])
     docs = rows("doc_id int, published_date date, embedding array<double>", *[(i, day(0), [rng.random(), rng.random()]) for i in range(30)])
-    whole = bag(retrieval.cosine_scores(docs, asked))
+    whole = bag(retrieval.cosine_scores(docs, retrieval.vector_blocks(asked)))
     blocks = retrieval.question_blocks(retrieval.with_length(asked, "query_vector"), [F.col("entity")], 7)
     assert len(blocks) > 1
     found = sorted(e for b in blocks for (e,) in (tuple(r[0]) for r in spark.range(1).select(F.explode(b)).collect()))
