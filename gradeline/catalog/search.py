@@ -15,6 +15,7 @@ from gradeline.plans import popularity as pop
 from gradeline.plans.calls import backfill_plan, live_plan, prompt_rows
 from gradeline.plans.metrics import analyst_sentiment
 from gradeline.plans.retrieval import cosine_top_k, cosine_top_k_as_of, hybrid_top_k, lookahead_audit, retrieved_context
+from gradeline.sources.tables import keep
 
 AS_OF = "2024-01-20"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -164,7 +165,10 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def day(text: str) -> F.Column:
         return F.lit(text).cast("date")
 
-    plan = live_plan(known, day(AS_OF)).unionByName(backfill_plan(known, series, day("2024-01-05"), day("2024-01-12")))
+    # Kept: every kind of signal is looked up for the same planned calls.
+    plan = keep(
+        live_plan(known, day(AS_OF)).unionByName(backfill_plan(known, series, day("2024-01-05"), day("2024-01-12"))), "plan"
+    )
     events = table(spark, sf_dir, "events").withColumn("symbol", F.concat(F.lit("U"), F.col("user_id").cast("string")))
     monthly = events.groupBy("symbol", month_key("ts").alias("period")).agg(
         *[F.count_if(F.col("event_type") == t).alias(t) for t in EVENT_TYPES]

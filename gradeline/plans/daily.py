@@ -137,6 +137,8 @@ def ask(
         plan = calls.backfill_plan(known, popular, as_date(backfill_from), day, horizon, use_rag, model)
     else:
         plan = calls.live_plan(known, day, use_rag, model)
+    # Kept: every kind of signal is looked up for the same planned calls.
+    plan = keep(plan, "plan")
     asked = plan.select("symbol", "brand", "as_of").distinct()
     if backfill_from is None and embeddings is not None and questions is not None:
         documents = gold.table("corpus").join(embeddings, "doc_id", "left")
