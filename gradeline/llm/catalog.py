@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeline.llm import bpe, lines, rules, shards
+from gradeline.llm import bpe, decontaminate, langid, lines, quality, rules, shards, simhash, token_counts
 from gradeline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +16,24 @@ def over_documents(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(table(spark, sf_dir, "documents"))
 
 
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tiles")
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": over_documents(lines.line_report),
     "op3_quality_rules": over_documents(rules.rule_report),
     "op4_sharding": over_documents(shards.assign_shards),
+    "op5_simhash": over_documents(simhash.near_duplicates),
+    "op6_decontamination": leaks,
     "op7_byte_bpe": over_documents(bpe.token_report),
+    "op8_language_id": over_documents(langid.language_report),
+    "op9_token_counts": over_documents(token_counts.count_tokens),
+    "op10_quality_classifier": quality_scores,
 }
 
 ORACLES: dict[str, str] = {

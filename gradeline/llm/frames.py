@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +56,18 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " ", -1), "")
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers that see this file system import the package from where the driver has it.
+
+    On a cluster whose executors do not, pass the package by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def map_batches(
     df: DataFrame, columns: list[str], make: Callable[[pa.RecordBatch], pa.RecordBatch], ddl: str, rows: int = 64
 ) -> DataFrame:
@@ -63,6 +77,7 @@ def map_batches(
     lowered here, since a batch of whole texts may otherwise outgrow a worker.
     """
     spark = df.sparkSession
+    reach_package(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 256:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
 
