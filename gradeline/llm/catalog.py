@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeline.llm import bpe, decontaminate, langid, lines, quality, rules, shards, simhash, token_counts
+from gradeline.llm import bpe, decontaminate, langid, lines, quality, rules, shards, simhash, token_counts, warc
 from gradeline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": lambda spark, sf_dir: warc.archive_report(table(spark, sf_dir, "pages")),
     "op2_line_dedup": over_documents(lines.line_report),
     "op3_quality_rules": over_documents(rules.rule_report),
     "op4_sharding": over_documents(shards.assign_shards),
@@ -37,5 +38,6 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": warc.REPORT_SQL,
     "op2_line_dedup": lines.REPORT_SQL,
 }

@@ -236,6 +236,6 @@ def _search(docs: DataFrame, items: Items, text: str, doc_id: str, coverage: flo
 
 
 def clean_documents(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without a row in ``found``."""
+    """The rows of ``docs`` whose id has no row in ``found``; rows without id can't be named and stay."""
     leaking = found.select(F.col("doc_id").alias(doc_id)).distinct()
     return docs.join(leaking, doc_id, "left_anti")

@@ -27,25 +27,25 @@ def line_key(line: Column) -> Column:
 
 
 def shared_lines(docs: DataFrame, text: str, doc_id: str, min_code_points: int) -> DataFrame:
-    """(_id, _text, _drop): the positions each text loses; texts that lose none are absent.
+    """(__id, __text, __drop): the positions each text loses; texts that lose none are absent.
 
     Documents are identified by id and by the hash of their text, so rows that repeat an id with
     another text are handled apart. Keys are compared by two 64-bit hashes of different seeds.
     """
     located = docs.select(
-        id_key(doc_id).alias("_id"),
-        F.xxhash64(F.col(f"`{text}`")).alias("_text"),
+        id_key(doc_id).alias("__id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("__text"),
         F.posexplode(split_lines(F.col(f"`{text}`"))).alias("_pos", "_line"),
-    ).select("_id", "_text", "_pos", line_key(F.col("_line")).alias("_key"))
+    ).select("__id", "__text", "_pos", line_key(F.col("_line")).alias("_key"))
     hashed = keep(
         located.where(F.char_length("_key") >= min_code_points).select(
-            "_id", "_text", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2")
+            "__id", "__text", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2")
         ),
         "lines",
     )
     # Two ids differ exactly when the smallest and the largest do, which combines before the shuffle.
     keys = hashed.groupBy("_h1", "_h2").agg(
-        F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.count("*").alias("_n")
+        F.min("__id").alias("_first"), F.max("__id").alias("_last"), F.count("*").alias("_n")
     )
     repeated = keep(keys.where(F.col("_first") < F.col("_last")).drop("_last"), "repeated")
     limit = hashed.count() // HOT_SHARE
@@ -54,14 +54,14 @@ def shared_lines(docs: DataFrame, text: str, doc_id: str, min_code_points: int)
     marked = hashed.join(hot, ["_h1", "_h2"], "left")
     other = repeated.where(F.col("_n") <= limit).select("_h1", "_h2", "_first")
     hits = (
-        marked.where(F.col("_hot") < F.col("_id")).select("_id", "_text", "_pos")
+        marked.where(F.col("_hot") < F.col("__id")).select("__id", "__text", "_pos")
         .unionByName(
             marked.where(F.col("_hot").isNull()).join(other, ["_h1", "_h2"])
-            .where(F.col("_first") < F.col("_id")).select("_id", "_text", "_pos")
+            .where(F.col("_first") < F.col("__id")).select("__id", "__text", "_pos")
         )
     )
     # Bounded by the lines of one text; equal rows of one document give each position once.
-    return hits.groupBy("_id", "_text").agg(F.collect_set("_pos").alias("_drop"))
+    return hits.groupBy("__id", "__text").agg(F.collect_set("_pos").alias("__drop"))
 
 
 def dedup_lines(
@@ -76,22 +76,22 @@ def dedup_lines(
     NULL and empty texts have one empty line, which always stays; NULL stays NULL. Rows without id
     count as one document after all others. Rows that repeat an id are one document: its lines are
     never dropped for its own sake. An empty table gives an empty table. Columns named n_lines or
-    n_dropped are replaced; names with a leading underscore such as _drop must be free.
+    n_dropped are replaced; names with two leading underscores must be free.
     """
     drops = shared_lines(docs, text, doc_id, min_code_points)
     t = F.col(f"`{text}`")
-    joined = docs.withColumns({"_id": id_key(doc_id), "_text": F.xxhash64(t)}).join(drops, ["_id", "_text"], "left")
+    joined = docs.withColumns({"__id": id_key(doc_id), "__text": F.xxhash64(t)}).join(drops, ["__id", "__text"], "left")
 
     def rest(lines: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drop"))
         return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
 
     out = joined.withColumns({
         "n_lines": F.size(split_lines(t)).cast("long"),
-        "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("long"),
-        text: F.when(F.col("_drop").isNull(), t).otherwise(bind(split_lines(t), rest)),
+        "n_dropped": F.coalesce(F.size("__drop"), F.lit(0)).cast("long"),
+        text: F.when(F.col("__drop").isNull(), t).otherwise(bind(split_lines(t), rest)),
     })
-    return out.drop("_id", "_text", "_drop")
+    return out.drop("__id", "__text", "__drop")
 
 
 def line_report(docs: DataFrame) -> DataFrame:

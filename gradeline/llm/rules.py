@@ -72,18 +72,18 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """The columns of ``docs`` plus everything the rules look at."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     stop = sorted({form for group in STOP_WORDS.values() for w in group for form in (w, w.capitalize())})
-    split = docs.withColumn("_words", words(F.col(f"`{text}`"))).withColumn(
-        "_lines", F.filter(F.split(t, "\n", -1), lambda line: trim_white(line) != "")
+    split = docs.withColumn("__words", words(F.col(f"`{text}`"))).withColumn(
+        "__lines", F.filter(F.split(t, "\n", -1), lambda line: trim_white(line) != "")
     )
     return split.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
+        "n_words": F.size("__words").cast("long"),
+        "word_chars": F.char_length(F.array_join("__words", "")).cast("long"),
         "n_symbols": (F.char_length(t) - F.char_length(F.regexp_replace(t, SYMBOLS, ""))).cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": repeat_words(F.col("_words")).cast("long"),
-        "n_stop_words": F.size(F.filter("_words", lambda w: w.isin(stop))).cast("long"),
-    }).drop("_words", "_lines")
+        "n_lines": F.size("__lines").cast("long"),
+        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        "n_repeat_words": repeat_words(F.col("__words")).cast("long"),
+        "n_stop_words": F.size(F.filter("__words", lambda w: w.isin(stop))).cast("long"),
+    }).drop("__words", "__lines")
 
 
 def ratio(part: str, whole: str) -> Column:

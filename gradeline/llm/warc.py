@@ -84,7 +84,10 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     )
     opening = F.startswith("raw", F.lit(MAGIC))  # only the piece at the start of a file still has its magic
     cut = read.withColumn("skip", F.when(opening, F.lit(len(MAGIC))).otherwise(F.lit(0)))
-    header = F.when(F.contains("raw", F.lit(END)), F.substring_index("raw", END, 1))
+    # Where a payload begins with the magic, the separator has taken half of the header's end.
+    header = F.when(F.contains("raw", F.lit(END)), F.substring_index("raw", END, 1)).when(
+        F.endswith("raw", F.lit("\r\n")), F.substring("raw", F.lit(1), F.char_length("raw") - 2)
+    )
     sized = cut.withColumns({"header": header, "bytes": F.octet_length("raw").cast("long")})
     body = F.regexp_extract("header", r"(?i)\r\nContent-Length:[ \t]*(\d{1,18})[ \t]*(\r\n|$)", 1)
     parsed = sized.withColumns({
