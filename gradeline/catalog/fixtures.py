@@ -4,7 +4,8 @@
 product table       given table
 ==================  ==========================================================================
 app chart           users ranked per day by the sum of their event values, first 100
-popularity          that chart, brand = user id
+storefront charts   the same in groups of 100 users, so that no user is cut off
+popularity          the storefront charts, brand = user id
 predictions, skips  one reply per chart row and variant, parsed; the unreadable ones are skips
 recommendations     orders per nation and month, counted by priority digit 1 to 5
 estimates           order value per nation and year
@@ -56,21 +57,38 @@ chart AS (
   WHERE rank <= 100)"""
 
 
+STOREFRONT_USERS = 100
+
+
+def storefront_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(snapshot_date, _storefront, user_id, total, rank): every user of a day has a place."""
+    events = table(spark, sf_dir, "events").withColumn("_storefront", F.expr(f"user_id div {STOREFRONT_USERS}"))
+    return daily_chart(events, F.col("ts").cast("date"), "user_id", "value", within=["_storefront"])
+
+
+STOREFRONT_SQL = """
+chart AS (
+  SELECT snapshot_date, storefront, user_id, total,
+    CAST(rank() OVER (PARTITION BY storefront, snapshot_date ORDER BY total DESC, user_id) AS INT) AS rank
+  FROM (SELECT CAST(ts AS DATE) AS snapshot_date, user_id // 100 AS storefront, user_id, round(sum(value), 2) AS total
+        FROM events GROUP BY ALL))"""
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chart as a stored table, which is what popularity and predictions read in use."""
-    return keep(chart(spark, sf_dir), "history")
+    """The storefront charts as a stored table, which is what popularity and predictions read in use."""
+    return keep(storefront_chart(spark, sf_dir), "history")
 
 
 def popularity(spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None) -> DataFrame:
     """(brand, d, popularity)"""
-    return (ranked or chart(spark, sf_dir)).select(
+    return (ranked or storefront_chart(spark, sf_dir)).select(
         F.col("user_id").cast("string").alias("brand"),
         F.col("snapshot_date").alias("d"),
         rank_score("rank").alias("popularity"),
     )
 
 
-POPULARITY_SQL = CHART_SQL + """,
+POPULARITY_SQL = STOREFRONT_SQL + """,
 pop AS (
   SELECT CAST(user_id AS VARCHAR) AS brand, snapshot_date AS d, CAST(101 - rank AS DOUBLE) AS popularity
   FROM chart)"""
@@ -86,7 +104,7 @@ def replies(spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None) -
     """One reply per chart row and variant, some of them without an answer in it."""
     day = F.dayofmonth("snapshot_date")
     user = F.col("user_id")
-    rows = (ranked or chart(spark, sf_dir)).select(
+    rows = (ranked or storefront_chart(spark, sf_dir)).select(
         F.concat(F.lit("U"), user.cast("string")).alias("symbol"),
         F.col("snapshot_date").alias("prediction_date"),
         F.when(day >= LIVE_FROM_DAY, F.lit("live")).otherwise(F.lit("backfill")).alias("source"),

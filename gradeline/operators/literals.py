@@ -12,9 +12,7 @@ MAX_LITERAL_ROWS = 1_000
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    """Rows typed by a DDL string, marked for broadcast because their number is known here."""
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} literal rows; store more than {MAX_LITERAL_ROWS} as a table")
+    """Rows typed by a DDL string; up to MAX_LITERAL_ROWS of them are marked for broadcast."""
     if not rows:
         return empty_table(spark, ddl)
     fields = StructType.fromDDL(ddl).fields
@@ -22,7 +20,8 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFr
         F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, fields, strict=True)])
         for row in rows
     ]
-    return F.broadcast(spark.range(1).select(F.inline(F.array(*typed))))
+    made = spark.range(1).select(F.inline(F.array(*typed)))
+    return F.broadcast(made) if len(rows) <= MAX_LITERAL_ROWS else made
 
 
 def empty_table(spark: SparkSession, ddl: str) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Days are counted from here, and 2**17 days reach past the year 2250
-CALENDAR_START = "1900-01-01"
-CALENDAR_LEVELS = 17
+# The first date there is; the days up to the last one, 9999-12-31, are fewer than 2**22
+CALENDAR_START = "0001-01-01"
+CALENDAR_LEVELS = 22
 
 
 def top_k(

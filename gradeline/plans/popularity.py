@@ -11,8 +11,9 @@ from gradeline.functions.scores import CHART_SIZE, HORIZON_DAYS, rank_score
 from gradeline.operators.asof import latest_as_of, trailing_as_of
 from gradeline.operators.latest import latest_per_key, newest_day
 from gradeline.operators.offsets import offset_values
-from gradeline.operators.percentiles import value_counts, weighted_percentiles
+from gradeline.operators.percentiles import percentile_table
 from gradeline.operators.topk import top_k
+from gradeline.sources.tables import keep
 
 # Fixed values
 STOREFRONT = "us"
@@ -24,11 +25,14 @@ TERCILES = (0.333333, 0.666667)
 
 
 def daily_chart(
-    activity: DataFrame, day: Column, entity: str, amount: str, size: int = CHART_SIZE
+    activity: DataFrame, day: Column, entity: str, amount: str, size: int = CHART_SIZE, within: Sequence[str] = ()
 ) -> DataFrame:
-    """Rank entities by a day's total amount; the chart is the first ``size`` of each day."""
-    totals = activity.groupBy(day.alias("snapshot_date"), F.col(entity)).agg(F.round(F.sum(amount), 2).alias("total"))
-    return top_k(totals, ["snapshot_date"], [F.col("total").desc(), F.col(entity).asc()], size)
+    """Rank entities by a day's total amount; the chart is the first ``size`` of each day, and of each
+    value of the ``within`` columns."""
+    totals = activity.groupBy(day.alias("snapshot_date"), *within, F.col(entity)).agg(
+        F.round(F.sum(amount), 2).alias("total")
+    )
+    return top_k(totals, ["snapshot_date", *within], [F.col("total").desc(), F.col(entity).asc()], size)
 
 
 def chart_snapshot(bronze_chart: DataFrame, ingested_at: str = "_ingested_at") -> DataFrame:
@@ -73,19 +77,18 @@ def cutoffs(
 ) -> DataFrame:
     """One row of thresholds: the terciles of all changes over the horizon, pooled over brands.
 
-    Changes are counted per value first, so the percentile sees one row per distinct change. Both
-    terciles, the count and the dates come out of that one pass.
+    The changes are kept as a table and their percentiles found by ``percentile_table``, which asks
+    nothing of the number of distinct values. Without any change the thresholds are NULL.
     """
-    changes = moves(popularity, horizon_days).where(F.col("delta").isNotNull())
-    counted = value_counts(changes, "delta", F.min("d").alias("first_d"), F.max("d").alias("last_d"))
-    low, high = weighted_percentiles("delta", "n", probabilities)
-    return counted.agg(
-        low.alias("fall_below"),
-        high.alias("rise_above"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_deltas"),
-        F.min("first_d").alias("first_d"),
-        F.max("last_d").alias("last_d"),
-    ).select(F.lit(horizon_days).alias("horizon_days"), "*", frozen_at.alias("frozen_at"))
+    changes = keep(moves(popularity, horizon_days).where(F.col("delta").isNotNull()).select("d", "delta"), "changes")
+    found = percentile_table(changes, "delta", probabilities)
+    low, high = (found.where(F.col("p") == p).select("percentile").scalar() for p in probabilities)
+    return changes.agg(
+        F.count("delta").alias("n_deltas"), F.min("d").alias("first_d"), F.max("d").alias("last_d")
+    ).select(
+        F.lit(horizon_days).alias("horizon_days"), low.alias("fall_below"), high.alias("rise_above"),
+        "n_deltas", "first_d", "last_d", frozen_at.alias("frozen_at"),
+    )
 
 
 def scorable_dates(

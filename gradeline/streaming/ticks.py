@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gradeline.sources.schemas import TRADE_TICK
-from gradeline.sources.tables import merge_partitions, replace_partitions
+from gradeline.sources.tables import keep, merge_partitions, replace_partitions
 
 
 def read_ticks(spark: SparkSession, path: str, schema: str = TRADE_TICK, files_per_batch: int = 1000) -> DataFrame:
@@ -37,32 +37,24 @@ def land_ticks(ticks: DataFrame, path: str, checkpoint: str, ingested_at: Column
     )
 
 
-def drop_repeats(ticks: DataFrame, keys: Sequence[str], delay: str = "1 day") -> DataFrame:
-    """One tick per key. Keys are remembered only as long as a repeat may still come, so the state
-    is bounded by the ticks of ``delay``, not by the length of the stream."""
-    return ticks.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
-
-
 def upsert_by_day(
     path: str, keys: Sequence[str], newest_first: Sequence[str], schema: str, day: str = "day"
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges a batch into a table stored by day.
 
-    Only days that occur in the batch are read and rewritten, in one commit, so a batch costs its
-    own days and not the table, and a repeated batch changes nothing.
+    Only days that occur in the batch are read and rewritten, so a batch costs its own days and not
+    the table. The merge goes by key, so it needs no state of its own: repeats change nothing, and
+    a tick counts however late it comes.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Read more than once below; without this the stateful steps before it would run again.
-        batch = batch.persist()
-        try:
-            stored = spark.read.schema(schema).parquet(path) if _exists(spark, path) else None
-            merged = merge_partitions(stored, batch, keys, newest_first, day)
-            if merged is not None:
-                replace_partitions(merged, path, [day])
-        finally:
-            batch.unpersist()
+        # Read more than once below; a table that all executors see saves reading the files again.
+        batch = keep(batch, "ticks_batch")
+        stored = spark.read.schema(schema).parquet(path) if _exists(spark, path) else None
+        merged = merge_partitions(stored, batch, keys, newest_first, day)
+        if merged is not None:
+            replace_partitions(merged, path, [day])
 
     return merge
 

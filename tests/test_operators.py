@@ -91,8 +91,8 @@ def test_literals(spark):
     assert "Broadcast" in plan_text(spark.range(10).join(pairs, F.col("id") == F.col("n")))
     assert literal_rows(spark, [], "name string, n int").columns == ["name", "n"]
     assert empty_table(spark, "a array<string>, t timestamp").count() == 0
-    with pytest.raises(ValueError, match="store more"):
-        literal_rows(spark, [("a",)] * 1001, "name string")
+    many = literal_rows(spark, [(f"n{i}", i) for i in range(1001)], "name string, n int")
+    assert many.count() == 1001 and "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()
 
 
 def test_diff_sees_moves_of_nulls_and_copies(spark, rows):
@@ -183,6 +183,17 @@ def test_top_k_in_parts_is_the_same(spark):
     assert bag(top_k(df, ["g"], order, 9)) == bag(top_k(df, ["g"], order, 9, spread_by="id", spread=8))
 
 
+def test_as_of_top_k_at_the_ends_of_the_calendar(spark, rows):
+    first, old, last = dt.date(1, 1, 1), dt.date(1899, 12, 31), dt.date(9999, 12, 31)
+    candidates = rows("g string, d date, id int, score int", ("a", first, 1, 5), ("a", old, 2, 9), ("a", last, 3, 7))
+    requests = rows("g string, as_of date", *[("a", d) for d in (first, old, dt.date(2024, 1, 5), last)])
+    got = as_of_top_k(candidates, requests, "g", "d", "as_of", [F.col("score").desc(), F.col("id")], 2)
+    found = {}
+    for r in got.orderBy("as_of", "rank").collect():
+        found.setdefault(r.as_of, []).append(r.id)
+    assert found == {first: [1], old: [2, 1], dt.date(2024, 1, 5): [2, 1], last: [2, 3]}
+
+
 def test_as_of_top_k_against_brute_force(spark, rows):
     rng = random.Random(3)
     # One group holds most of the rows.

@@ -9,7 +9,7 @@ from gradeline.session import shared_folder
 from gradeline.sources import schemas
 from gradeline.sources.landing import read_records, stamp, unnest, unnest_ranked, write_documents
 from gradeline.sources.tables import Database, GuardedRefresh, append_rows, keep, read_table, replace_partitions
-from gradeline.streaming.ticks import drop_repeats, land_ticks, merge_ticks, read_ticks
+from gradeline.streaming.ticks import land_ticks, merge_ticks, read_ticks
 
 NOW = dt.datetime(2024, 2, 1, 7)
 
@@ -146,18 +146,18 @@ def test_repeated_and_late_ticks(spark, tmp_path):
     schema = "s string, p double, t bigint, v double, c array<string>, ts timestamp, day date"
 
     def run():
-        fresh = drop_repeats(read_ticks(spark, str(files)), ["s", "t"], "1 hour")
-        merge_ticks(fresh, out, checkpoint, ["s"], ["t"], schema).awaitTermination()
+        merge_ticks(read_ticks(spark, str(files)), out, checkpoint, ["s"], ["t", "p"], schema).awaitTermination()
         return bag(spark.read.parquet(out).select("s", "p", "day"))
 
     land(files, "one", TICKS)
     day1, day2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
     assert run() == [("A", 2.0, day1), ("B", 3.0, day2)]
-    # A repeat within the delay is dropped, a newer tick replaces, an older one does not.
+    # A newer tick replaces, an older one does not.
     newer = {"s": "B", "p": 5.0, "t": 1704153605000, "v": 1.0}
     repeat = {"s": "B", "p": 9.0, "t": 1704153600000, "v": 1.0}
     land(files, "two", [newer, repeat])
     assert run() == [("A", 2.0, day1), ("B", 5.0, day2)]
-    # Ticks older than the delay are late: the watermark has passed them.
-    land(files, "three", [{"s": "A", "p": 7.0, "t": 1704067300000, "v": 1.0}])
-    assert run() == [("A", 2.0, day1), ("B", 5.0, day2)]
+    # Late ticks of a day and of one not seen yet count, and ticks delivered again change nothing.
+    late = [{"s": "A", "p": 7.0, "t": 1704067300000, "v": 1.0}, {"s": "C", "p": 1.0, "t": 1703980800000, "v": 1.0}]
+    land(files, "three", [*late, newer, *TICKS])
+    assert run() == [("A", 7.0, day1), ("B", 5.0, day2), ("C", 1.0, dt.date(2023, 12, 31))]
