@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeline.catalog.fixtures import (
-    CHART_SQL, CORPUS_SQL, INGESTED_AT, REPLY_KEYS_SQL, chart, corpus, moment, replies, table,
+    CHART_SQL, CORPUS_SQL, INGESTED_AT, REPLY_KEYS_SQL, chart, corpus, moment, replies, storefront_chart, table,
 )
 from gradeline.catalog.registry import query
 from gradeline.operators.diff import snapshot_diff, sync_gate
 from gradeline.operators.latest import newest_day
-from gradeline.operators.literals import empty_table
 from gradeline.operators.merge import add_missing_columns, replace_slice, upsert
-from gradeline.plans.calls import first_parsed, record_answers, route_answers
+from gradeline.plans import daily
+from gradeline.plans.calls import answer_rows
 from gradeline.plans.popularity import daily_chart
 from gradeline.session import shared_folder
-from gradeline.sources.schemas import PREDICTION_KEY, PREDICTIONS, SKIPS
-from gradeline.sources.tables import GuardedRefresh, append_rows, keep, read_table, replace_partitions
+from gradeline.sources.schemas import PREDICTION_KEY
+from gradeline.sources.tables import Database, GuardedRefresh, append_rows, keep, read_table, replace_partitions
 
 CHANGE_DAY = "1998-01-01"
 CHANGE_TIME = "2024-01-20"
@@ -101,11 +103,11 @@ UNION ALL
 SELECT 'skips', symbol, CAST(prediction_date AS VARCHAR), source, variant, NULL, NULL, NULL
 FROM second WHERE unreadable2""")
 def route_and_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first run of all calls, then a second run of the live ones; each key ends in one log."""
+    """The job's own storing: a first run of all calls, then a second run of the live ones; each key is one answer."""
     key = list(PREDICTION_KEY)
     at = moment(INGESTED_AT).cast("timestamp")
     first = keep(replies(spark, sf_dir), "replies")
-    ranked = chart(spark, sf_dir).select(
+    ranked = storefront_chart(spark, sf_dir).select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
         F.col("snapshot_date").alias("prediction_date"), F.col("rank").alias("place"),
     )
@@ -114,14 +116,14 @@ def route_and_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
         first.where(F.col("source") == "live").join(ranked, ["symbol", "prediction_date"]).withColumn("reply", readable),
         "replies",
     )
-    predictions = empty_table(spark, PREDICTIONS).drop("retrieved_doc_ids", "model_endpoint")
-    skips = empty_table(spark, SKIPS)
-    for run in (first, second):
-        answered = keep(first_parsed(run, key), "answers")
-        predictions, skips = record_answers(predictions, skips, *route_answers(answered, at))
+    folder = shared_folder(spark, "answers")
+    gold = Database(spark, f"answers_{uuid.uuid4().hex}", folder)
+    for hour, run in enumerate((first, second)):
+        asked = run.select(*key, F.array().cast("array<string>").alias("retrieved_doc_ids"))
+        daily.store_answers(gold, answer_rows(asked, run, "model", at + F.make_dt_interval(hours=F.lit(hour))))
     return (
-        predictions.select(F.lit("predictions").alias("log"), *key, "call", "confidence", "reasoning")
-        .unionByName(skips.select(F.lit("skips").alias("log"), *key), allowMissingColumns=True)
+        daily.predictions(gold).select(F.lit("predictions").alias("log"), *key, "call", "confidence", "reasoning")
+        .unionByName(daily.skips(gold).select(F.lit("skips").alias("log"), *key), allowMissingColumns=True)
     )
 
 

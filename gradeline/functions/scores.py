@@ -39,10 +39,10 @@ def rank_score(rank: Column | str, chart_size: int = CHART_SIZE) -> Column:
 
 
 def classify_move(delta: Column | str, fall_below: Column, rise_above: Column) -> Column:
-    """Rise and fall are strict, the edges count as hold, an unknown change stays NULL."""
+    """Rise and fall are strict, the edges count as hold; an unknown change or cutoff gives NULL."""
     delta = as_column(delta)
     return (
-        F.when(delta.isNull(), F.lit(None).cast("string"))
+        F.when(delta.isNull() | fall_below.isNull() | rise_above.isNull(), F.lit(None).cast("string"))
         .when(delta > rise_above, F.lit(RISE))
         .when(delta < fall_below, F.lit(FALL))
         .otherwise(F.lit(HOLD))

@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from gradeline.functions.replies import parse_reply
 from gradeline.functions.scores import HORIZON_DAYS
-from gradeline.operators.merge import assert_unique, delete_keys
 from gradeline.plans.popularity import scorable_dates
 from gradeline.sources.schemas import PREDICTION_KEY
 
 # Fixed values
 RAG, NO_RAG, BIG_SUFFIX = "rag", "no_rag", "_big"
+#: How much of each retrieved text a prompt quotes unless told otherwise; search reads whole texts.
 EXCERPT_CHARS = 500
-ATTEMPTS = 2
 
 
 def planned_variants(backfill: bool, use_rag: str = "", model: str = "") -> list[str]:
@@ -65,47 +64,41 @@ def backfill_plan(
 
 
 def signal_json(recent: Column, sentiment: Column, estimates: Column) -> Column:
-    """The signals as one JSON object; what is unknown is printed as null."""
-    signals = F.struct(
-        F.col("brand"),
-        F.col("as_of").alias("as_of_date"),
-        F.transform(
-            recent, lambda r: F.struct(r["d"].alias("snapshot_date"), r["popularity"].alias("popularity_score"))
-        ).alias("recent_popularity_oldest_to_newest"),
-        sentiment.alias("sentiment"),
-        estimates.alias("estimates"),
-    )
+    """The signals as one JSON object under this package's column names; what is unknown is null."""
+    signals = F.struct("brand", "as_of", recent.alias("recent"), sentiment.alias("sentiment"), estimates.alias("estimates"))
     return F.to_json(signals, {"ignoreNullFields": "false"})
 
 
-def prompt_text(signals: Column, cutoffs: DataFrame, chunks: Column) -> Column:
-    """The question put to the model. The retrieved block appears only when something was retrieved."""
-    horizon = cutoffs.select("horizon_days").scalar().cast("string")
-    low = F.format_string("%.2f", cutoffs.select("fall_below").scalar())
-    high = F.format_string("%.2f", cutoffs.select("rise_above").scalar())
-    day = F.col("as_of").cast("string")
-    excerpts = F.array_join(
-        F.transform(
-            chunks, lambda c: F.concat(F.lit("["), c["doc_id"], F.lit("] "), F.substring(c["text"], 1, EXCERPT_CHARS))
-        ),
-        "\n\n",
+def excerpt(chunk: Column, size: int) -> Column:
+    return F.concat_ws("\n", F.concat(F.lit("<<"), chunk["doc_id"], F.lit(">>")), F.substring(chunk["text"], 1, size))
+
+
+def prompt_text(signals: Column, cutoffs: DataFrame, chunks: Column, excerpt_chars: int = EXCERPT_CHARS) -> Column:
+    """What the model is asked: the task, the three answers and their limits, the signals, the form.
+
+    Texts have a section of their own, which is there only when something was retrieved.
+    """
+    horizon = cutoffs.select("horizon_days").scalar()
+    low, high = cutoffs.select("fall_below").scalar(), cutoffs.select("rise_above").scalar()
+    due = F.date_add("as_of", horizon)
+    task = F.format_string(
+        "TASK\nToday is %s. Let P be the popularity of %s: 100 for first place in the chart, one less for each place "
+        "below. Say what P on %s will be compared with P today.", F.col("as_of").cast("string"), F.col("brand"), due.cast("string"),
     )
-    retrieved = F.when(
+    answers = F.format_string(
+        "ANSWERS\nrise: P gains more than %.2f\nfall: P ends below today's value plus %.2f\nhold: every other case", high, low
+    )
+    evidence = F.concat(F.lit("EVIDENCE (JSON, oldest day first)\n"), signals)
+    texts = F.when(
         F.size(chunks) > 0,
-        F.concat(F.lit("\nNews and viewer reviews found for this question:\n"), excerpts,
-                 F.lit("\n\nRefer to them where they support your answer.\n")),
-    ).otherwise(F.lit(""))
-    return F.concat(
-        F.lit("Forecast how the popularity of "), F.col("brand"), F.lit(" moves over the next "), horizon,
-        F.lit(" days. Use nothing but the signals below.\n\nThe popularity score is 101 minus the chart rank, "
-              "so a higher score is better. The change is the score "),
-        horizon, F.lit(" days after "), day, F.lit(" minus the score on "), day,
-        F.lit(".\nRISE means a change above "), high, F.lit(", FALL a change below "), low,
-        F.lit(", HOLD anything else.\n\nSignals, snapshots listed from oldest to newest:\n"),
-        signals, F.lit("\n"), retrieved,
-        F.lit('\nAnswer with one JSON object and no other text:\n{"call": "rise" | "hold" | "fall", '
-              '"confidence": "low" | "medium" | "high", "reasoning": "one or two sentences on the evidence"}\n'),
+        F.concat(F.lit("TEXTS (published by today; name the ones you rely on)\n"),
+                 F.array_join(F.transform(chunks, lambda c: excerpt(c, excerpt_chars)), "\n")),
+    )
+    form = F.lit(
+        "FORM\nReply with a single JSON object that has three fields. call: one of the answers. "
+        "confidence: low, medium or high. reasoning: a short remark on what decided it."
     )
+    return F.concat_ws("\n\n", task, answers, evidence, texts, form)
 
 
 def prompt_rows(
@@ -115,12 +108,16 @@ def prompt_rows(
     estimates: DataFrame,
     context: DataFrame,
     cutoffs: DataFrame,
+    excerpt_chars: int = EXCERPT_CHARS,
 ) -> DataFrame:
     """One prompt per planned call, all in one plan.
 
     Signals are keyed by (symbol or brand, as_of) and context by (symbol, as_of); only the variants
-    with retrieval get context.
+    with retrieval get context. Texts are cut to ``excerpt_chars`` before they are joined.
     """
+    context = context.withColumn("chunks", F.transform("chunks", lambda c: F.struct(
+        c["doc_id"].alias("doc_id"), F.substring(c["text"], 1, excerpt_chars).alias("text")
+    )))
     with_retrieval = F.col("variant").startswith(RAG)
     no_chunks = F.array().cast(context.schema["chunks"].dataType)
     rows = (
@@ -135,18 +132,28 @@ def prompt_rows(
     signals = signal_json(F.coalesce("recent", no_recent), F.col("sentiment"), F.col("estimates"))
     return rows.select(
         "symbol", "brand", "as_of", "source", "variant", "retrieved_doc_ids",
-        prompt_text(signals, cutoffs, F.col("chunks")).alias("prompt"),
+        prompt_text(signals, cutoffs, F.col("chunks"), excerpt_chars).alias("prompt"),
     )
 
 
 def first_parsed(replies: DataFrame, keys: Sequence[str], attempt: str = "attempt", reply: str = "reply") -> DataFrame:
-    """Per key the first of up to two replies that parses, as ``parsed``; NULL when none does."""
-    answer = F.when(F.col(attempt) <= ATTEMPTS, parse_reply(reply))
-    tried = replies.select(*keys, F.col(attempt).alias("_attempt"), answer.alias("_answer"))
+    """Per key the first of all replies that parses, as ``parsed``; NULL when none does."""
+    tried = replies.select(*keys, F.col(attempt).alias("_attempt"), parse_reply(reply).alias("_answer"))
     order = F.when(F.col("_answer").isNotNull(), F.col("_attempt"))
     return tried.groupBy(*keys).agg(F.min_by("_answer", order).alias("parsed"))
 
 
+def answer_rows(asked: DataFrame, replies: DataFrame, model_endpoint: str, created_at: Column) -> DataFrame:
+    """One row per key of ``asked`` (the key, retrieved_doc_ids): the answer, or NULLs for a skip."""
+    key = list(PREDICTION_KEY)
+    done = F.col("parsed").isNotNull()
+    return asked.join(first_parsed(replies, key), key, "left").select(
+        *key, "parsed.call", "parsed.confidence", "parsed.reasoning",
+        F.when(done, F.col("retrieved_doc_ids")).alias("retrieved_doc_ids"),
+        F.when(done, F.lit(model_endpoint)).alias("model_endpoint"), created_at.alias("created_at"),
+    )
+
+
 def route_answers(answered: DataFrame, created_at: Column) -> tuple[DataFrame, DataFrame]:
     """Answers that parsed as prediction rows, the other keys as skip rows."""
     key = list(PREDICTION_KEY)
@@ -157,19 +164,3 @@ def route_answers(answered: DataFrame, created_at: Column) -> tuple[DataFrame, D
     )
     skipped = answered.where(F.col("parsed").isNull()).select(*key, created_at.alias("created_at"))
     return done, skipped
-
-
-def record_answers(
-    predictions: DataFrame, skips: DataFrame, done: DataFrame, skipped: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Both logs after a run: every key is in exactly one of them, also when a run is repeated.
-
-    A key of the run leaves both logs and enters the one it belongs to, which is the upsert into one
-    log and the delete from the other in a single pass over each.
-    """
-    key = list(PREDICTION_KEY)
-    answered = done.select(*key).unionByName(skipped.select(*key))
-    return (
-        delete_keys(predictions, answered, key).unionByName(assert_unique(done, key), allowMissingColumns=True),
-        delete_keys(skips, answered, key).unionByName(assert_unique(skipped, key), allowMissingColumns=True),
-    )

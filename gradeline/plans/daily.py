@@ -22,6 +22,9 @@ from gradeline.sources.landing import read_records, stamp, unnest, unnest_ranked
 from gradeline.sources.tables import Database, GuardedRefresh, keep
 
 
+LOAD_DAY = "_load_day"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The three layers, as databases under one shared folder."""
@@ -49,7 +52,8 @@ def as_date(day: dt.date) -> Column:
 
 
 def ingest(wh: Warehouse, landing: str, now: dt.datetime) -> None:
-    """Land every file into bronze. Two tables append; the others are replaced unless the load is empty."""
+    """Land every file into bronze. Two tables grow by the slice of the load's day, which a rerun replaces;
+    the others are replaced unless the load is empty. A broken file fails before its table is touched."""
     bronze, files = wh.bronze, schemas.LANDING_FILES
 
     def records(table: str, schema: str) -> DataFrame:
@@ -57,7 +61,8 @@ def ingest(wh: Warehouse, landing: str, now: dt.datetime) -> None:
 
     loaded = as_timestamp(now)
     for table, schema in (("recommendation_trends", schemas.RECOMMENDATIONS), ("estimates", schemas.ESTIMATES)):
-        bronze.append(table, stamp(records(table, schema), loaded))
+        rows = stamp(records(table, schema), loaded)
+        bronze.load_slice(table, rows.withColumn(LOAD_DAY, F.to_date("_ingested_at")), LOAD_DAY)
 
     refresh = GuardedRefresh(bronze.replace)
     refresh.load("news", stamp(records("news", schemas.NEWS), loaded))
@@ -74,9 +79,10 @@ def ingest(wh: Warehouse, landing: str, now: dt.datetime) -> None:
 def clean(wh: Warehouse) -> None:
     """Bronze to silver, and the text corpus."""
     bronze, silver = wh.bronze, wh.silver
-    silver.replace("recommendation_trends", curate.current_rows(bronze.table("recommendation_trends"), ["symbol", "period"]))
+    trends, estimates = (bronze.table(name).drop(LOAD_DAY) for name in ("recommendation_trends", "estimates"))
+    silver.replace("recommendation_trends", curate.current_rows(trends, ["symbol", "period"]))
     silver.replace("news", curate.type_news(bronze.table("news")))
-    silver.replace("estimates", curate.type_estimates(bronze.table("estimates")))
+    silver.replace("estimates", curate.type_estimates(estimates))
     silver.replace("shows", curate.current_rows(bronze.table("shows"), ["show_id", "platform"]))
     silver.replace("reviews", curate.name_reviews(bronze.table("reviews"), silver.table("shows")))
     silver.replace("providers", curate.current_rows(bronze.table("providers"), ["provider_id"]))
@@ -112,8 +118,15 @@ def series(wh: Warehouse) -> DataFrame:
 
 
 def freeze_cutoffs(wh: Warehouse, now: dt.datetime) -> DataFrame:
-    """The cutoffs of the first run; later runs read that row."""
-    return wh.gold.freeze("move_cutoffs", lambda: popularity.cutoffs(series(wh), as_timestamp(now)))
+    """The cutoffs of the first run that has changes to measure; later runs read that row."""
+
+    def first() -> DataFrame:
+        row = keep(popularity.cutoffs(series(wh), as_timestamp(now)), "cutoffs")
+        if row.where(F.col("n_deltas") > 0).isEmpty():
+            raise RuntimeError("no brand has two scores a horizon apart yet; there are no cutoffs to freeze")
+        return row
+
+    return wh.gold.freeze("move_cutoffs", first)
 
 
 def ask(
@@ -128,7 +141,7 @@ def ask(
     """Prompts of one live run, or of a backfill when a start is given.
 
     Retrieval needs ``embeddings`` (doc_id, embedding) of the corpus and ``questions``
-    (entity = symbol, query_text, query_vector); without them prompts have no retrieved texts.
+    (entity = symbol, query_text, query_vector); a live run that plans retrieval fails without them.
     """
     gold, known, popular, day = wh.gold, wh.symbols(), series(wh), as_date(as_of)
     cutoffs = gold.table("move_cutoffs")
@@ -137,10 +150,14 @@ def ask(
         plan = calls.backfill_plan(known, popular, as_date(backfill_from), day, horizon, use_rag, model)
     else:
         plan = calls.live_plan(known, day, use_rag, model)
+    with_texts = embeddings is not None and questions is not None
+    variants = calls.planned_variants(backfill_from is not None, use_rag, model)
+    if not with_texts and any(v.startswith(calls.RAG) for v in variants):
+        raise ValueError("a live run with retrieval needs embeddings and questions; pass use_rag=false to do without")
     # Kept: every kind of signal is looked up for the same planned calls.
     plan = keep(plan, "plan")
     asked = plan.select("symbol", "brand", "as_of").distinct()
-    if backfill_from is None and embeddings is not None and questions is not None:
+    if backfill_from is None and with_texts:
         documents = gold.table("corpus").join(embeddings, "doc_id", "left")
         context = retrieved_context(hybrid_top_k(documents, questions, day), documents, ["entity"]).select(
             F.col("entity").alias("symbol"), day.alias("as_of"), "chunks"
@@ -163,33 +180,29 @@ def record(wh: Warehouse, prompts: DataFrame, replies: DataFrame, model_endpoint
     ``replies`` has (symbol, prediction_date, source, variant, attempt, reply). A prompt without a
     readable reply is stored as a skip.
     """
-    key = list(schemas.PREDICTION_KEY)
-    asked = prompts.withColumnRenamed("as_of", "prediction_date").select(*key, "retrieved_doc_ids")
-    parsed = calls.first_parsed(replies, key)
-    ids = F.when(F.col("parsed").isNotNull(), F.col("retrieved_doc_ids"))
-    answers = asked.join(parsed, key, "left").select(
-        *key, "parsed.call", "parsed.confidence", "parsed.reasoning", ids.alias("retrieved_doc_ids"),
-        F.when(F.col("parsed").isNotNull(), F.lit(model_endpoint)).alias("model_endpoint"),
-        as_timestamp(now).alias("created_at"),
-    )
-    wh.gold.create_if_absent("answers", schemas.ANSWERS, partition_by="prediction_date")
-    answers = keep(answers, "answers")
-    wh.gold.merge("answers", answers, ["symbol", "source", "variant"], ["created_at"], "prediction_date")
+    asked = prompts.withColumnRenamed("as_of", "prediction_date").select(*schemas.PREDICTION_KEY, "retrieved_doc_ids")
+    store_answers(wh.gold, calls.answer_rows(asked, replies, model_endpoint, as_timestamp(now)))
+
+
+def store_answers(gold: Database, answers: DataFrame) -> None:
+    """Upsert answers, predictions and skips alike, by key into the table stored by day."""
+    gold.create_if_absent("answers", schemas.ANSWERS, partition_by="prediction_date")
+    gold.merge("answers", keep(answers, "answers"), ["symbol", "source", "variant"], ["created_at"], "prediction_date")
 
 
-def predictions(wh: Warehouse) -> DataFrame:
-    return wh.gold.table("answers").where(F.col("call").isNotNull())
+def predictions(gold: Database) -> DataFrame:
+    return gold.table("answers").where(F.col("call").isNotNull())
 
 
-def skips(wh: Warehouse) -> DataFrame:
-    return wh.gold.table("answers").where(F.col("call").isNull()).select(*schemas.PREDICTION_KEY, "created_at")
+def skips(gold: Database) -> DataFrame:
+    return gold.table("answers").where(F.col("call").isNull()).select(*schemas.PREDICTION_KEY, "created_at")
 
 
 def score(wh: Warehouse, seed: str | None = "baseline") -> None:
     """The scorecard and its summary."""
-    card = scorecard.grade(predictions(wh), wh.symbols(), series(wh), wh.gold.table("move_cutoffs"))
+    card = scorecard.grade(predictions(wh.gold), wh.symbols(), series(wh), wh.gold.table("move_cutoffs"))
     wh.gold.replace("scorecard", card)
-    wh.gold.replace("scorecard_summary", scorecard.summarise(wh.gold.table("scorecard"), skips(wh), seed))
+    wh.gold.replace("scorecard_summary", scorecard.summarise(wh.gold.table("scorecard"), skips(wh.gold), seed))
 
 
 def check(wh: Warehouse, layer: str, now: dt.datetime) -> None:
@@ -199,13 +212,12 @@ def check(wh: Warehouse, layer: str, now: dt.datetime) -> None:
         "silver": lambda: [_suite(layer, wh.silver, quality.SILVER)],
         "gold": lambda: [_suite(layer, wh.gold, quality.GOLD)],
         "predictions": lambda: [
-            quality.run_suite(layer, {"predictions": (predictions(wh), quality.PREDICTIONS["predictions"])}),
-            quality.skip_rate(predictions(wh), skips(wh), as_date(now.date())),
-            quality.call_collapse(predictions(wh), as_date(now.date())),
+            quality.run_suite(layer, {"predictions": (predictions(wh.gold), quality.PREDICTIONS["predictions"])}),
+            quality.skip_rate(predictions(wh.gold), skips(wh.gold), as_date(now.date())),
+            quality.call_collapse(predictions(wh.gold), as_date(now.date())),
         ],
     }
-    for results in layers[layer]():
-        quality.raise_if_failed(results)
+    quality.raise_if_failed(*layers[layer]())
 
 
 def _suite(layer: str, database: Database, rules: dict[str, tuple]) -> DataFrame:

@@ -193,7 +193,7 @@ def call_collapse(
     return top.select("variant", F.col("call").alias("top_call"), "n", "total", share.alias("share"), status.alias("status"))
 
 
-# Suites: table -> rules. The keys are the columns that identify a row of that table.
+# The limits and columns of the product's own suites, table -> rules. The keys are the columns that identify a row of that table.
 BRONZE: dict[str, tuple[Rule, ...]] = {
     "recommendation_trends": (RowCount(), NoNulls(("symbol", "period"))),
     "app_chart": (RowCount(), Unique(("id", "_storefront", "_ingested_at"))),
@@ -220,8 +220,11 @@ PREDICTIONS: dict[str, tuple[Rule, ...]] = {
 }
 
 
-def raise_if_failed(results: DataFrame) -> None:
-    """Fail once with every failed check. A result has one row per check, whatever the data size."""
-    failed = results.where(F.col("status") == FAIL).select(F.to_json(F.struct("*")).alias("row")).collect()
+def raise_if_failed(*results: DataFrame) -> None:
+    """Fail once with every failed check of all results. A result has one row per check, whatever the data size."""
+    failed = [
+        row["row"] for found in results
+        for row in found.where(F.col("status") == FAIL).select(F.to_json(F.struct("*")).alias("row")).collect()
+    ]
     if failed:
-        raise AssertionError(f"{len(failed)} check(s) failed: " + "; ".join(r["row"] for r in failed))
+        raise AssertionError(f"{len(failed)} check(s) failed: " + "; ".join(failed))

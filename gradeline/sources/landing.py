@@ -8,19 +8,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_records(spark: SparkSession, path: str | Sequence[str], schema: str, pretty: bool = True) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str | Sequence[str], schema: str, pretty: bool = True, source_file: str | None = None
+) -> DataFrame:
     """Rows of all files that a path or wildcard names, under a declared schema.
 
+    A file that is cut off or does not fit the schema fails the read, and the error names the file: half
+    a file must not replace a good table. ``source_file`` adds the path of each row's file.
+
     Pretty-printed files hold one document each and are read whole, one file per task, so they have
     to be landed in bounded sizes. Files with one document per line (``pretty=False``) are split.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("multiLine", pretty)
         .option("recursiveFileLookup", True)
+        .option("mode", "FAILFAST")
         .json(paths)
     )
+    return rows.withColumn(source_file, F.col("_metadata.file_path")) if source_file else rows
 
 
 def stamp(df: DataFrame, ingested_at: Column) -> DataFrame:

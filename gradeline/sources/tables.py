@@ -30,7 +30,10 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partitions that occur in ``df``: one commit, and safe to run again.
+    """Overwrite only the partitions that occur in ``df``; safe to run again.
+
+    Spark moves the new folders into place one by one at the end, so a failure in that moment can leave
+    a partition missing until the rerun. ``Database.replace_partitions`` has no such gap.
 
     Rows of one partition are brought together before the write, which saves small files; Spark
     splits a partition that is much larger than the others over several tasks.
@@ -84,7 +87,7 @@ class Database:
 
     def __init__(self, spark: SparkSession, name: str, folder: str):
         self.spark, self.name, self.folder = spark, name, folder
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{folder}/{name}.db'")
 
     def full_name(self, table: str) -> str:
         return f"`{self.name}`.`{table}`"
@@ -103,9 +106,39 @@ class Database:
         )
 
     def replace_partitions(self, table: str, df: DataFrame, partition_by: str) -> None:
-        """Overwrite the partitions that occur in ``df``, in one commit."""
-        ordered = df.select(*self.table(table).columns).hint("rebalance", partition_by)
-        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(self.full_name(table), overwrite=True)
+        """Overwrite the partitions that occur in ``df``.
+
+        The new files are written beside the old ones, then each partition's entry is moved to its new
+        folder. A failure before that changes nothing; a failure during it leaves every partition
+        either old or new, and a rerun finishes the rest. Old folders are left for ``vacuum``.
+        """
+        location = self._fresh(table)
+        columns = self.table(table).columns
+        df.select(*columns).hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(location)
+        written = self.spark.read.schema(self.table(table).schema).parquet(location)
+        for (value,) in written.select(F.col(partition_by).cast("string")).distinct().collect():
+            if value is None:
+                raise ValueError(f"{table}: a row without {partition_by} has no partition")
+            part, folder = f"PARTITION (`{partition_by}` = '{value}')", f"'{location}/{partition_by}={value}'"
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {part} LOCATION {folder}")
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} {part} SET LOCATION {folder}")
+        self.spark.catalog.refreshTable(self.full_name(table))
+
+    def load_slice(self, table: str, df: DataFrame, partition_by: str) -> None:
+        """Replace the slices that occur in ``df``, with columns the table does not have yet added to it."""
+        if not self.exists(table):
+            kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+            self.create_if_absent(table, kinds, partition_by)
+        self._add_columns(table, df)
+        fields = self.table(table).schema
+        self.replace_partitions(table, add_missing_columns(df, {f.name: f.dataType.simpleString() for f in fields}), partition_by)
+
+    def _add_columns(self, table: str, df: DataFrame) -> None:
+        known = {f.name.lower() for f in self.table(table).schema}
+        added = [f for f in df.schema if f.name.lower() not in known]
+        if added:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD COLUMNS ({columns})")
 
     def merge(
         self, table: str, batch: DataFrame, keys: Sequence[str], newest_first: Sequence[str], partition_by: str
@@ -123,9 +156,12 @@ class Database:
         if self.exists(table) and self._same_columns(self.table(table).schema, schema):
             self.spark.sql(f"ALTER TABLE {self.full_name(table)} SET LOCATION '{location}'")
         else:
-            # The table is external: dropping the entry deletes no files.
+            # The tables are external: entries go and come, files stay. The new entry is made and read
+            # before the old one goes, so only the renaming lies between the two.
+            fresh = f"`{self.name}`.`{table}_{uuid.uuid4().hex[:8]}`"
+            self.spark.sql(f"CREATE TABLE {fresh} USING parquet LOCATION '{location}'")
             self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(table)}")
-            self.spark.sql(f"CREATE TABLE {self.full_name(table)} USING parquet LOCATION '{location}'")
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.full_name(table)}")
         self.spark.catalog.refreshTable(self.full_name(table))
 
     def append(self, table: str, df: DataFrame) -> None:
@@ -133,12 +169,7 @@ class Database:
         if not self.exists(table):
             self.replace(table, df)
             return
-        current = self.table(table)
-        known = {f.name.lower() for f in current.schema}
-        added = [f for f in df.schema if f.name.lower() not in known]
-        if added:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD COLUMNS ({columns})")
+        self._add_columns(table, df)
         fields = self.table(table).schema
         rows = add_missing_columns(df, {f.name: f.dataType.simpleString() for f in fields})
         rows.select(*fields.names).write.insertInto(self.full_name(table))

@@ -7,7 +7,8 @@ import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
-from gradeline.plans import daily
+from gradeline.plans import daily, quality
+from gradeline.sources import schemas
 
 FIRST = dt.date(2024, 1, 1)
 BRANDS = {"Netflix": "1", "Disney+": "2", "Hotstar": "3"}
@@ -69,7 +70,8 @@ def warehouse(spark, tmp_path_factory):
     wh = daily.Warehouse.at(spark, str(tmp_path_factory.mktemp("tables")), "daily_test")
     for n in (0, 7, 14):
         land(landing, n)
-        daily.ingest(wh, str(landing), at(n))
+        for _ in range(2):
+            daily.ingest(wh, str(landing), at(n))
         daily.clean(wh)
         daily.aggregate(wh)
     daily.aggregate(wh)  # a rerun of the last day
@@ -80,7 +82,7 @@ def test_layers(spark, warehouse):
     wh = warehouse
     for layer in ("bronze", "silver", "gold"):
         daily.check(wh, layer, at(14, 8))
-    # Appended every day, current once.
+    # A slice every day, current once; a load that is run again replaces its slice.
     assert wh.bronze.table("estimates").count() == 3 * 6 and wh.silver.table("estimates").count() == 6
     history = wh.gold.table("rank_history")
     assert history.count() == 3 * 100 and history.select("snapshot_date").distinct().count() == 3
@@ -107,6 +109,31 @@ def test_stale_and_empty_loads(spark, warehouse, tmp_path):
     assert warehouse.bronze.table("news").count() == before > 0
 
 
+def test_a_half_written_file_replaces_nothing(spark, warehouse, tmp_path):
+    land(tmp_path, 14)
+    whole = (tmp_path / "finnhub_company_news_all.json").read_text()
+    (tmp_path / "finnhub_company_news_all.json").write_text(whole[: len(whole) // 2])
+    before = bag(warehouse.bronze.table("news"))
+    with pytest.raises(Exception, match="finnhub_company_news_all.json"):
+        daily.ingest(warehouse, str(tmp_path), at(14))
+    assert bag(warehouse.bronze.table("news")) == before
+
+
+def test_checks_fail_together(spark, warehouse):
+    with pytest.raises(AssertionError, match="(?s)row_count.*app_chart|app_chart.*row_count"):
+        empty = warehouse.silver.table("news").limit(0)
+        stale = daily._freshness(warehouse, daily.as_timestamp(at(30)))
+        quality.raise_if_failed(quality.run_suite("s", {"news": (empty, quality.SILVER["news"])}), stale)
+
+
+def test_nothing_is_frozen_without_changes(spark, tmp_path):
+    wh = daily.Warehouse.at(spark, str(tmp_path), "no_changes")
+    wh.gold.create_if_absent("rank_history", schemas.RANK_HISTORY, partition_by="snapshot_date")
+    with pytest.raises(RuntimeError, match="no cutoffs"):
+        daily.freeze_cutoffs(wh, at(0))
+    assert not wh.gold.exists("move_cutoffs")
+
+
 def test_forecast(spark, rows, warehouse):
     wh = warehouse
     frozen = daily.freeze_cutoffs(wh, at(8)).collect()
@@ -117,6 +144,8 @@ def test_forecast(spark, rows, warehouse):
     embeddings = wh.gold.table("corpus").select("doc_id", F.array(F.lit(1.0), F.length("doc_id").cast("double")).alias("embedding"))
     questions = rows("entity string, query_text string, query_vector array<double>", ("NFLX", "viewers NFLX", [1.0, 1.0]), ("DIS", "viewers DIS", [1.0, 2.0]))
     live = daily.ask(wh, day(7), embeddings=embeddings, questions=questions)
+    with pytest.raises(ValueError, match="needs embeddings"):
+        daily.ask(wh, day(7))
     backfill = daily.ask(wh, day(14), backfill_from=FIRST)
     assert bag(live.select("symbol", "variant", F.size("retrieved_doc_ids"))) == [
         (s, v, n) for s in ("DIS", "NFLX") for v, n in (("no_rag", 0), ("rag", 5))
@@ -129,18 +158,18 @@ def test_forecast(spark, rows, warehouse):
     )
     prompt = live.where("symbol = 'NFLX' and variant = 'no_rag'").first().prompt
     # The estimates held now were loaded on day 14, so a call of day 7 must not see them.
-    assert '"snapshot_date":"2024-01-08","popularity_score":25.0' in prompt and '"estimates":null' in prompt
-    assert '"date":"2026-12-31"' in daily.ask(wh, day(14)).where("symbol = 'NFLX' and variant = 'no_rag'").first().prompt
+    assert '"d":"2024-01-08","popularity":25.0' in prompt and '"estimates":null' in prompt
+    assert '"date":"2026-12-31"' in daily.ask(wh, day(14), use_rag="false").where("symbol = 'NFLX' and variant = 'no_rag'").first().prompt
 
     prompts = live.unionByName(backfill)
     answer = F.when((F.col("symbol") == "DIS") & (F.col("variant") == "rag"), F.lit("?")).otherwise(F.lit('{"call": "rise"}'))
     replies = prompts.select("symbol", F.col("as_of").alias("prediction_date"), "source", "variant", F.lit(1).alias("attempt"), answer.alias("reply"))
     for _ in range(2):
         daily.record(wh, prompts, replies, "model", at(14))
-    assert daily.predictions(wh).count() == 7 and bag(daily.skips(wh).select("symbol", "variant")) == [("DIS", "rag")]
+    assert daily.predictions(wh.gold).count() == 7 and bag(daily.skips(wh.gold).select("symbol", "variant")) == [("DIS", "rag")]
     # Answered now: the key moves from the skips to the predictions.
     daily.record(wh, live, replies.withColumn("reply", F.lit('{"call": "hold"}')), "model", at(14, 9))
-    assert daily.skips(wh).count() == 0 and daily.predictions(wh).count() == 8
+    assert daily.skips(wh.gold).count() == 0 and daily.predictions(wh.gold).count() == 8
 
     daily.score(wh)
     summary = {(r.source, r.model): r for r in wh.gold.table("scorecard_summary").collect()}

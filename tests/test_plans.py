@@ -238,12 +238,14 @@ def test_prompts(spark, rows):
     prompts = {(r.symbol, r.as_of, r.variant): r for r in got.collect()}
     rag = prompts[("S", day(9), "rag")]
     assert rag.retrieved_doc_ids == ["d1", "d2"]
-    assert "[d1] " + "x" * 500 + "\n\n[d2] short" in rag.prompt and "x" * 501 not in rag.prompt
-    assert '"recent_popularity_oldest_to_newest":[{"snapshot_date":"2024-01-04","popularity_score":53.0}' in rag.prompt
-    assert '"sentiment":{"score":null},"estimates":null' in rag.prompt and "above 7.00" in rag.prompt
+    assert "<<d1>>\n" + "x" * 500 + "\n<<d2>>\nshort" in rag.prompt and "x" * 501 not in rag.prompt
+    assert '"recent":[{"d":"2024-01-04","popularity":53.0}' in rag.prompt
+    assert '"sentiment":{"score":null},"estimates":null' in rag.prompt and "more than 7.00" in rag.prompt
     plain = prompts[("S", day(9), "no_rag")]
-    assert plain.retrieved_doc_ids == [] and "reviews" not in plain.prompt
-    assert '"recent_popularity_oldest_to_newest":[]' in prompts[("T", day(9), "rag")].prompt
+    assert plain.retrieved_doc_ids == [] and "TEXTS" not in plain.prompt
+    longer = calls.prompt_rows(plan, popularity.recent_popularity(asked, pop), sentiment, estimates, context, cutoffs, 600)
+    assert longer.where(F.col("prompt").contains("x" * 600)).count() == 1
+    assert '"recent":[]' in prompts[("T", day(9), "rag")].prompt
     # Nothing dated after the call is in its prompt.
     assert "2024-01-03" not in prompts[("S", day(1), "no_rag")].prompt
 
@@ -252,24 +254,18 @@ def test_first_reply_that_parses_wins(spark, rows):
     replies = rows("k int, attempt int, reply string", (1, 1, "?"), (1, 2, '{"call": "fall"}'), (2, 2, '{"call": "rise"}'),
                    (2, 1, '{"call": "hold"}'), (3, 1, "?"), (3, 2, None), (4, 3, '{"call": "rise"}'))
     got = {r.k: r.parsed and r.parsed.call for r in calls.first_parsed(replies, ["k"]).collect()}
-    assert got == {1: "fall", 2: "hold", 3: None, 4: None}
+    assert got == {1: "fall", 2: "hold", 3: None, 4: "rise"}
 
 
-def test_a_key_is_in_one_log(spark, rows):
-    def run(predictions, skips, *answers):
-        ddl = "symbol string, prediction_date date, source string, variant string, reply string, attempt int"
-        replies = rows(ddl, *[(s, day(0), "live", "rag", reply, 1) for s, reply in answers])
-        parsed = calls.first_parsed(replies, list(PREDICTION_KEY))
-        return calls.record_answers(predictions, skips, *calls.route_answers(parsed, F.lit(T0)))
-
+def test_every_asked_key_gets_one_row(spark, rows):
     key = "symbol string, prediction_date date, source string, variant string"
-    empty = (rows(f"{key}, call string, confidence string, reasoning string, created_at timestamp"), rows(f"{key}, created_at timestamp"))
-    first = run(*empty, ("A", '{"call": "rise"}'), ("B", "?"))
-    second = run(*first, ("A", "?"), ("B", '{"call": "hold", "confidence": "high"}'), ("C", '{"call": "fall"}'))
-    again = run(*second, ("A", "?"), ("B", '{"call": "hold", "confidence": "high"}'), ("C", '{"call": "fall"}'))
-    for predictions, skips in (second, again):
-        assert bag(predictions.select("symbol", "call", "confidence")) == [("B", "hold", "high"), ("C", "fall", "low")]
-        assert bag(skips.select("symbol")) == [("A",)]
+    asked = rows(f"{key}, retrieved_doc_ids array<string>", *[(s, day(0), "live", "rag", ["d"]) for s in "ABC"])
+    replies = rows(f"{key}, attempt int, reply string", *[
+        (s, day(0), "live", "rag", n, text)
+        for s, n, text in (("A", 1, "?"), ("A", 2, None), ("A", 3, '{"call": "rise"}'), ("B", 1, "?"), ("X", 1, '{"call": "fall"}'))
+    ])
+    got = {r.symbol: (r.call, r.retrieved_doc_ids, r.model_endpoint) for r in calls.answer_rows(asked, replies, "m", F.lit(T0)).collect()}
+    assert got == {"A": ("rise", ["d"], "m"), "B": (None, None, None), "C": (None, None, None)}
 
 
 # scorecard
