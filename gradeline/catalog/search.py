@@ -103,7 +103,7 @@ plan AS (
   SELECT user_id, symbol, brand, d, 'backfill', 'no_rag' FROM users JOIN deltas USING (brand)
   WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'),
 recent AS (
-  SELECT brand, as_of, list({'snapshot_date': CAST(d AS VARCHAR), 'popularity_score': popularity} ORDER BY d) AS recent FROM (
+  SELECT brand, as_of, list({'d': CAST(d AS VARCHAR), 'popularity': popularity} ORDER BY d) AS recent FROM (
     SELECT p.brand, r.as_of, p.d, p.popularity, row_number() OVER (PARTITION BY p.brand, r.as_of ORDER BY p.d DESC) AS rn
     FROM (SELECT DISTINCT brand, as_of FROM plan) r JOIN pop p ON p.brand = r.brand AND p.d <= r.as_of)
   WHERE rn <= 7 GROUP BY 1, 2),
@@ -134,22 +134,20 @@ hits AS (
   WHERE rank <= 5),
 context AS (
   SELECT entity, list(CAST(doc_id AS VARCHAR) ORDER BY rank) AS ids,
-    string_agg('[' || doc_id || '] ' || substr(text, 1, 500), chr(10) || chr(10) ORDER BY rank) AS excerpts
+    string_agg('<<' || doc_id || '>>' || chr(10) || substr(text, 1, 500), chr(10) ORDER BY rank) AS excerpts
   FROM hits JOIN documents USING (doc_id) GROUP BY 1)
 SELECT p.symbol, p.brand, CAST(p.as_of AS VARCHAR) AS as_of, source, variant,
   CASE WHEN variant = 'rag' THEN coalesce(array_to_string(ids, ','), '') ELSE '' END AS retrieved,
-  'Forecast how the popularity of ' || p.brand || ' moves over the next 7 days. Use nothing but the signals below.'
-  || chr(10) || chr(10) || 'The popularity score is 101 minus the chart rank, so a higher score is better. The change is the score 7 days after '
-  || p.as_of || ' minus the score on ' || p.as_of || '.' || chr(10) || 'RISE means a change above ' || printf('%.2f', rise_above)
-  || ', FALL a change below ' || printf('%.2f', fall_below) || ', HOLD anything else.' || chr(10) || chr(10)
-  || 'Signals, snapshots listed from oldest to newest:' || chr(10)
-  || to_json({'brand': p.brand, 'as_of_date': CAST(p.as_of AS VARCHAR),
-       'recent_popularity_oldest_to_newest': coalesce(recent, []), 'sentiment': sentiment, 'estimates': estimates}) || chr(10)
-  || CASE WHEN variant = 'rag' AND excerpts IS NOT NULL THEN chr(10) || 'News and viewer reviews found for this question:' || chr(10)
-       || excerpts || chr(10) || chr(10) || 'Refer to them where they support your answer.' || chr(10) ELSE '' END
-  || chr(10) || 'Answer with one JSON object and no other text:' || chr(10)
-  || '{"call": "rise" | "hold" | "fall", "confidence": "low" | "medium" | "high", "reasoning": "one or two sentences on the evidence"}'
-  || chr(10) AS prompt
+  concat_ws(chr(10) || chr(10),
+    printf('TASK%sToday is %s. Let P be the popularity of %s: 100 for first place in the chart, one less for each place below. '
+      'Say what P on %s will be compared with P today.', chr(10), CAST(p.as_of AS VARCHAR), p.brand, CAST(p.as_of + 7 AS VARCHAR)),
+    printf('ANSWERS%srise: P gains more than %.2f%sfall: P ends below today''s value plus %.2f%shold: every other case',
+      chr(10), rise_above, chr(10), fall_below, chr(10)),
+    'EVIDENCE (JSON, oldest day first)' || chr(10)
+      || to_json({'brand': p.brand, 'as_of': CAST(p.as_of AS VARCHAR), 'recent': coalesce(recent, []), 'sentiment': sentiment, 'estimates': estimates}),
+    CASE WHEN variant = 'rag' THEN 'TEXTS (published by today; name the ones you rely on)' || chr(10) || excerpts END,
+    'FORM' || chr(10) || 'Reply with a single JSON object that has three fields. call: one of the answers. '
+      || 'confidence: low, medium or high. reasoning: a short remark on what decided it.') AS prompt
 FROM plan p CROSS JOIN cut
 LEFT JOIN recent r ON r.brand = p.brand AND r.as_of = p.as_of
 LEFT JOIN sentiment s ON s.symbol = p.symbol AND s.as_of = p.as_of

@@ -54,12 +54,12 @@ def test_reply_column_matches_literals(spark, rows):
     assert got == {i: expected for i, (_, expected) in enumerate(REPLIES)}
 
 
-# hits, n, published interval in percent
+# hits, n, interval in percent
 INTERVALS = [(30, 120, 18.1, 33.4), (8, 40, 10.5, 34.8), (50, 100, 40.4, 59.6), (1, 10, 1.8, 40.4), (63, 70, 80.8, 95.1)]
 
 
 @pytest.mark.parametrize("hits,n,low,high", INTERVALS)
-def test_wilson_reproduces_published_intervals(spark, hits, n, low, high):
+def test_wilson_intervals(spark, hits, n, low, high):
     got = one(spark, *wilson_bounds(F.lit(hits), F.lit(n)))
     assert (round(got[0] * 100, 1), round(got[1] * 100, 1)) == (low, high)
 
