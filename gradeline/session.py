@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,15 +32,34 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Where a local session keeps intermediate tables if it names no folder; a cluster has to name one.
+LOCAL_FOLDER = "/tmp/checkpoints"
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is read from the session, so every executor sees what another one
-    wrote and a lost executor loses no data. Only a local master falls back to a folder of its own.
+    wrote and a lost executor loses no data. Only a session whose executors are this very process may
+    leave it unset. All paths of an application lie in one folder, which goes when the application ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="gradeline-")
-    return os.path.join(base, "gradeline", f"{name}-{uuid.uuid4().hex}")
+        base = LOCAL_FOLDER
+    folder = f"{base}/gradeline/{spark.sparkContext.applicationId}"
+    _drop_at_end(spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+_dropped: set[str] = set()
+
+
+def _drop_at_end(spark: SparkSession, folder: str) -> None:
+    if folder not in _dropped:
+        _dropped.add(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
