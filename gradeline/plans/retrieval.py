@@ -1,19 +1,17 @@
 """Top-k retrieval over the text corpus, limited to what was published by a date.
 
-Questions are few (one per entity) and documents are many, so questions travel to the documents:
-blocks of up to about ``QUESTION_BLOCK`` question vectors are a scalar of the plan, each document is
-scored where it is read, and only the best rows of every partition are shuffled.
+Vectors are compared by matrix products of packed blocks (``operators.nearest``): documents are read
+once for any number of questions, and only the best rows of every product are ever rows.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeline.functions.text import words
-from gradeline.functions.vectors import cosine, has_direction, length
+from gradeline.functions.vectors import cosine, length
+from gradeline.operators.nearest import cosine_of, nearest, pack, places
 from gradeline.operators.topk import as_of_top_k, top_k
 from gradeline.sources.tables import keep
 
@@ -23,51 +21,16 @@ FUSION_OFFSET = 60
 BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DIGITS = 9
-QUESTION_BLOCK = 256
-
-
-def question_blocks(questions: DataFrame, columns: list[Column], block: int = QUESTION_BLOCK) -> list[Column]:
-    """The questions as array scalars, in one block or in hashed blocks of half ``block`` on average.
-
-    The number of questions is read first; it only sets how many blocks, and so how many passes over
-    the documents, are planned.
-    """
-    n_blocks = max(1, -(-questions.count() // block))
-    packed = F.struct(*columns)
-    if n_blocks == 1:
-        return [questions.agg(F.collect_list(packed)).scalar()]
-    part = F.pmod(F.xxhash64("entity"), F.lit(2 * n_blocks))
-    return [questions.where(part == i).agg(F.collect_list(packed)).scalar() for i in range(2 * n_blocks)]
-
-
-def with_length(rows: DataFrame, vector: str) -> DataFrame:
-    """Vectors as doubles with their length; those of length 0 have no direction and drop out."""
-    return rows.where(has_direction(F.col(vector))).select(
-        *[c for c in rows.columns if c != vector],
-        F.col(vector).cast("array<double>").alias("vector"),
-        length(F.col(vector)).alias("length"),
-    )
 
 
-def vector_blocks(questions: DataFrame) -> list[Column]:
-    """The questions' vectors, ready to be scored against."""
-    asked = with_length(questions.select("entity", "query_vector"), "query_vector")
-    return question_blocks(asked, [F.col("entity"), F.col("vector"), F.col("length")])
+def packed_documents(documents: DataFrame, by_day: bool = False) -> DataFrame:
+    """The vectors of the documents, read once and packed; ``by_day`` packs those of near dates together."""
+    rows = documents.select("doc_id", "published_date", "embedding")
+    return pack(rows, "embedding", ["doc_id", "published_date"], "packed_documents", "published_date" if by_day else None)
 
 
-def cosine_scores(documents: DataFrame, blocks: list[Column]) -> DataFrame:
-    """(entity, doc_id, published_date, score) of every document for every question in the blocks."""
-    held = with_length(documents.select("doc_id", "published_date", "embedding"), "embedding")
-    passes = []
-    for block in blocks:
-        pairs = held.select("doc_id", "published_date", "vector", "length", F.explode(block).alias("_q"))
-        score = cosine(F.col("vector"), F.col("length"), F.col("_q.vector"), F.col("_q.length"))
-        passes.append(
-            pairs.select(
-                F.col("_q.entity").alias("entity"), "doc_id", "published_date", F.round(score, SCORE_DIGITS).alias("score")
-            )
-        )
-    return reduce(DataFrame.unionAll, passes)
+def packed_questions(questions: DataFrame) -> DataFrame:
+    return pack(questions.select("entity", "query_vector"), "query_vector", ["entity"], "packed_questions")
 
 
 def best_first() -> list[Column]:
@@ -76,15 +39,16 @@ def best_first() -> list[Column]:
 
 def cosine_top_k(documents: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
     """The ``k`` nearest documents of every question, whatever their date."""
-    return top_k(cosine_scores(documents, vector_blocks(questions)), ["entity"], best_first(), k, spread_by="doc_id")
+    found = nearest(packed_documents(documents), packed_questions(questions), k, per_day=False)
+    return top_k(found, ["entity"], best_first(), k, spread_by="doc_id")
 
 
 def cosine_top_k_as_of(
     documents: DataFrame, questions: DataFrame, requests: DataFrame, k: int = TOP_K
 ) -> DataFrame:
     """The ``k`` nearest documents published by each requested (entity, as_of)."""
-    scores = cosine_scores(documents, vector_blocks(questions))
-    return as_of_top_k(scores, requests, "entity", "published_date", "as_of", best_first(), k)
+    found = nearest(packed_documents(documents, by_day=True), packed_questions(questions), k, per_day=True)
+    return as_of_top_k(found, requests, "entity", "published_date", "as_of", best_first(), k)
 
 
 def asked_words(questions: DataFrame) -> DataFrame:
@@ -139,22 +103,26 @@ def _score_key() -> Column:
     return F.struct((-F.col("score")).alias("loss"), F.col("doc_id").alias("doc_id"))
 
 
-def _rank_by_counting(scores: DataFrame, some: DataFrame) -> DataFrame:
-    """Exact ranks of some rows (entity, doc_id, score) in a score list of any length.
+def _marks(some: DataFrame) -> DataFrame:
+    return some.groupBy("entity").agg(F.sort_array(F.collect_list(_score_key())).alias("marks"))
 
-    The list is not sorted: each of its rows is placed among the few keys of its entity where it is
-    read, and only the counts per place are shuffled.
-    """
-    marks = some.groupBy("entity").agg(F.sort_array(F.collect_list(_score_key())).alias("marks"))
+
+def _word_places(scores: DataFrame, marks: DataFrame) -> DataFrame:
+    """(entity, place, n): each row of the list is placed among the few marks of its entity where it is read."""
     place = F.size(F.filter("marks", lambda m: m < F.col("_key")))
+    return scores.select("entity", _score_key().alias("_key")).join(marks, "entity").select(
+        "entity", place.alias("place"), F.lit(1).cast("long").alias("n")
+    )
+
+
+def _ranks(marks: DataFrame, placed: DataFrame) -> DataFrame:
+    """(entity, doc_id, rank): exact ranks of the marks, from how many rows lie at each place among them.
+
+    No list is sorted; only counts per place are shuffled.
+    """
     counts = (
-        scores.select("entity", _score_key().alias("_key"))
-        .join(marks, "entity")
-        .select("entity", place.alias("place"))
-        .groupBy("entity", "place")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity")
-        .agg(F.collect_list(F.struct("place", "n")).alias("counts"))
+        placed.groupBy("entity", "place").agg(F.sum("n").alias("n"))
+        .groupBy("entity").agg(F.collect_list(F.struct("place", "n")).alias("counts"))
     )
     # Places 0..i hold the i-th key itself and every row that is better.
     up_to = F.aggregate(
@@ -191,8 +159,8 @@ def hybrid_top_k(
     questions = keep(questions.select("entity", "query_text", "query_vector"), "questions")
     asked = keep(asked_words(questions), "asked_words")
     matches = keep(word_matches(eligible, asked), "word_matches")
-    blocks = vector_blocks(questions)
-    by_vector = cosine_scores(eligible, blocks).select(*id_pair, "score")
+    packed = packed_documents(eligible)
+    by_vector = nearest(packed, packed_questions(questions), depth, per_day=False).select(*id_pair, "score")
     by_word = bm25_scores(matches, keep(word_weights(matches, asked), "word_weights"))
 
     first = keep(
@@ -204,19 +172,21 @@ def hybrid_top_k(
     first_by_word = first.where(F.col("list") == "word").drop("list")
     only_by_word = first_by_word.select(*id_pair).join(first_by_vector, id_pair, "left_anti")
     only_by_vector = first_by_vector.select(*id_pair).join(first_by_word, id_pair, "left_anti")
-    # Score the few documents again instead of looking them up in a scored copy of the corpus.
-    few = eligible.join(only_by_word.select("doc_id").distinct(), "doc_id", "left_semi")
+    # The few pairs are scored again instead of being looked up in a scored copy of the corpus.
     deep = keep(
-        cosine_scores(few, blocks).select(*id_pair, "score").join(only_by_word, id_pair, "left_semi")
+        cosine_of(only_by_word, eligible, questions, lambda d, q: cosine(d, length(d), q, length(q)))
         .withColumn("list", F.lit("vector"))
         .unionByName(by_word.join(only_by_vector, id_pair, "left_semi").withColumn("list", F.lit("word"))),
         "deep_places",
     )
-    deep_by_vector = deep.where(F.col("list") == "vector").drop("list")
-    deep_by_word = deep.where(F.col("list") == "word").drop("list")
+    vector_marks = keep(_marks(deep.where(F.col("list") == "vector")), "vector_marks")
+    word_marks = keep(_marks(deep.where(F.col("list") == "word")), "word_marks")
+    marked = pack(
+        questions.select("entity", "query_vector").join(vector_marks, "entity"), "query_vector", ["entity", "marks"], "marked_questions"
+    )
 
-    semantic = first_by_vector.select(*id_pair, "rank").unionByName(_rank_by_counting(by_vector, deep_by_vector))
-    lexical = first_by_word.select(*id_pair, "rank").unionByName(_rank_by_counting(by_word, deep_by_word))
+    semantic = first_by_vector.select(*id_pair, "rank").unionByName(_ranks(vector_marks, places(packed, marked)))
+    lexical = first_by_word.select(*id_pair, "rank").unionByName(_ranks(word_marks, _word_places(by_word, word_marks)))
     none = F.lit(None).cast("int")
     fused = (
         semantic.select(*id_pair, F.col("rank").alias("semantic_rank"), none.alias("lexical_rank"))

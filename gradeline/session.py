@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +34,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers that see this file system import the package from where the driver has it.
+
+    On a cluster whose executors do not, pass the package by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 #: Where a local session keeps intermediate tables if it names no folder; a cluster has to name one.
 LOCAL_FOLDER = "/tmp/checkpoints"
 

@@ -47,9 +47,9 @@ def test_texts_and_dates_are_the_only_date_types(spark):
 
 
 PLANNED = [
-    "q06_upsert", "q08b_replace_slice", "q09_latest_per_key", "q11_weighted_sentiment", "q15_engagement", "q16_topk_cosine_asof",
+    "q06_upsert", "q08b_replace_slice", "q09_latest_per_key", "q11_weighted_sentiment", "q15_engagement",
     "q18_snapshot_diff", "q20b_offset_join", "q21_signals_topk", "q21a_latest_asof", "q21c_signal_pack", "q22_scorecard",
-    "q23_scorecard_summary", "q25_quality_report", "q28_call_collapse", "q30_parse_replies", "q31_lookahead_audit",
+    "q23_scorecard_summary", "q25_quality_report", "q28_call_collapse", "q30_parse_replies",
 ]
 
 

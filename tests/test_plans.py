@@ -8,6 +8,7 @@ from conftest import bag
 from pyspark.sql import functions as F
 
 from gradeline.functions.scores import wilson_bounds
+from gradeline.operators import nearest
 from gradeline.plans import calls, curate, metrics, popularity, quality, retrieval, scorecard
 from gradeline.sources.schemas import PREDICTION_KEY
 
@@ -194,15 +195,27 @@ def test_hybrid_ranks_are_exact_beyond_the_first_places(spark, rows, seed):
     assert bag(got) == brute_force_hybrid(docs, questions, day(15), 5)
 
 
-def test_many_questions_go_in_blocks(spark, rows):
+def test_many_questions_read_the_documents_once(spark, rows, monkeypatch):
+    monkeypatch.setattr(nearest, "CHUNK", 64)
     rng = random.Random(4)
-    asked = rows("entity int, query_vector array<double>", *[(i, [rng.random(), rng.random()]) for i in range(40)])
-    docs = rows("doc_id int, published_date date, embedding array<double>", *[(i, day(0), [rng.random(), rng.random()]) for i in range(30)])
-    whole = bag(retrieval.cosine_scores(docs, retrieval.vector_blocks(asked)))
-    blocks = retrieval.question_blocks(retrieval.with_length(asked, "query_vector"), [F.col("entity")], 7)
-    assert len(blocks) > 1
-    found = sorted(e for b in blocks for (e,) in (tuple(r[0]) for r in spark.range(1).select(F.explode(b)).collect()))
-    assert found == list(range(40)) and len(whole) == 1200
+    vocabulary = [f"w{i}" for i in range(30)]
+    questions = [
+        {"entity": i, "query_text": rng.choice(vocabulary), "query_vector": [float(rng.randrange(-3, 4)) or 1.0 for _ in range(3)]}
+        for i in range(1100)
+    ]
+    docs = [
+        {"doc_id": f"d{i:03}", "published_date": day(rng.randrange(20)), "text_content": " ".join(rng.choices(vocabulary, k=4)),
+         "embedding": [float(rng.randrange(-2, 3)) for _ in range(3)]}
+        for i in range(150)
+    ]
+    documents = rows("doc_id string, published_date date, text_content string, embedding array<float>",
+                     *[tuple(d.values()) for d in docs])
+    asked = rows("entity int, query_text string, query_vector array<double>", *[tuple(q.values()) for q in questions])
+    assert retrieval.packed_questions(asked).count() > 10
+    got = retrieval.hybrid_top_k(documents, asked, lit_day(15), 3).select("entity", "doc_id", "semantic_rank", "lexical_rank", "rank")
+    some = [q for q in questions if q["entity"] % 110 == 0]
+    assert bag(got.where("entity % 110 = 0")) == brute_force_hybrid(docs, some, day(15), 3)
+    assert got.select("entity").distinct().count() == 1100
 
 
 def test_lookahead_audit(spark, rows):
