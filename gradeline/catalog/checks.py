@@ -83,7 +83,9 @@ UNION ALL
 SELECT 'values', 'events', 'allowed_values', 'event_type', 'FAIL', CAST(count(*) AS DOUBLE), 0.0::DOUBLE
 FROM events WHERE event_type NOT IN ('click', 'purchase', 'signup', 'view')
 UNION ALL
-SELECT 'values', 'documents', 'allowed_values', 'reviewed', 'PASS', 0.0::DOUBLE, 0.0::DOUBLE""")
+SELECT 'values', 'documents', 'allowed_values', 'reviewed', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, n, 0.0::DOUBLE
+FROM (SELECT CAST(count(*) FILTER (CASE WHEN quality IS NOT NULL THEN 'yes' END <> 'yes') AS DOUBLE) AS n
+      FROM documents LEFT JOIN labels USING (doc_id))""")
 def allowed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values inside and outside their lists; a column of NULLs and one value breaks no list."""
     unlabelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").select(

@@ -95,11 +95,22 @@ def scalar_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("q13h_hashed_pick")
+@query("q13h_hashed_pick", """
+SELECT CAST(ts AS DATE)::VARCHAR AS day, count(*) AS n, count(DISTINCT user_id) AS keys, CAST(0 AS BIGINT) AS keys_with_two_calls,
+  count(*) FILTER (user_id IS NULL) AS outside
+FROM events GROUP BY 1""")
 def hashed_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How evenly Spark's seeded hash spreads users and days over the three calls."""
+    """What holds for draws by Spark's seeded hash whatever it is: one call per user and day, out of three."""
+    day = F.col("ts").cast("date").alias("day")
     drawn = pick(CALLS, hashed_index(["user_id", F.col("ts").cast("date")], "baseline", len(CALLS)))
-    return table(spark, sf_dir, "events").groupBy(drawn.alias("drawn")).agg(F.count(F.lit(1)).alias("n"))
+    calls = table(spark, sf_dir, "events").groupBy(day, "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(drawn).alias("calls"),
+        F.count_if(~F.coalesce(drawn.isin(*CALLS), F.lit(False))).alias("outside"),
+    )
+    return calls.groupBy("day").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"), F.count_if(F.col("calls") > 1).alias("keys_with_two_calls"),
+        F.sum("outside").alias("outside"),
+    )
 
 
 @query("q17_corpus_union", "WITH" + CORPUS_SQL + """

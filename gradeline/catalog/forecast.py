@@ -300,7 +300,10 @@ def parse_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_parsed(attempts, ["event_id"]).select("event_id", "parsed.call", "parsed.confidence", "parsed.reasoning")
 
 
-@query("q30b_parse_texts", "SELECT doc_id, CAST(NULL AS VARCHAR) AS call FROM documents")
+@query("q30b_parse_texts", """
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN ['rise', 'hold', 'fall'][1 + doc_id % 3] END AS call FROM documents""")
 def parse_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts that are no replies at all yield no call, whatever is in them."""
-    return table(spark, sf_dir, "documents").select("doc_id", parse_reply("text")["call"].alias("call"))
+    """Long texts, every other one with an answer at its end: those without one yield no call."""
+    call = F.element_at(F.array(F.lit("rise"), F.lit("hold"), F.lit("fall")), (F.col("doc_id") % 3 + 1).cast("int"))
+    answer = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit('\n{"call": "'), call, F.lit('"}'))).otherwise(F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", parse_reply(F.concat("text", answer))["call"].alias("call"))

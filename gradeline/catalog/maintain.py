@@ -143,7 +143,7 @@ def rank_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "history")
     day = F.col("ts").cast("date")
     replace_partitions(chart(spark, sf_dir).select("user_id", "rank", "snapshot_date"), path, ["snapshot_date"])
-    today = newest_day(table(spark, sf_dir, "events"), day).where(F.col("event_type") != "error")
+    today = newest_day(table(spark, sf_dir, "events"), "ts", of_moment=True).where(F.col("event_type") != "error")
     fresh = daily_chart(today, day, "user_id", "value").select("user_id", "rank", "snapshot_date")
     for _ in range(2):  # a rerun changes nothing
         replace_partitions(fresh, path, ["snapshot_date"])

@@ -37,7 +37,15 @@ def latest_per_key(
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def newest_day(df: DataFrame, day: Column | str) -> DataFrame:
-    """Rows of the table's newest day. The maximum stays in the plan as a scalar subquery."""
+def newest_day(df: DataFrame, day: Column | str, of_moment: bool = False) -> DataFrame:
+    """Rows of the table's newest day. The maximum stays in the plan as a scalar subquery.
+
+    With ``of_moment`` the column holds times: they are compared with the day's ends as they are, a range
+    that files can be skipped by.
+    """
     day = as_column(day)
-    return df.where(day == df.select(F.max(day)).scalar())
+    newest = df.select(F.max(day)).scalar()
+    if not of_moment:
+        return df.where(day == newest)
+    start = F.date_trunc("day", newest)
+    return df.where((day >= start) & (day < start + F.expr("INTERVAL 1 DAY")))

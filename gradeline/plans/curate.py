@@ -76,7 +76,7 @@ def attach_brand(rows: DataFrame, aliases: DataFrame, name: str = "name") -> Dat
 
 def newest_chart(bronze: DataFrame, aliases: DataFrame) -> DataFrame:
     """The newest day's chart, one row per app and storefront, with brands."""
-    today = newest_day(bronze, F.to_date(INGESTED))
+    today = newest_day(bronze, INGESTED, of_moment=True)
     current = latest_per_key(today, ["id", "_storefront"], [INGESTED])
     return attach_brand(current, aliases).drop("_fetched_at")
 
@@ -97,11 +97,12 @@ def corpus_part(
 def text_corpus(news: DataFrame, reviews: DataFrame, symbols: Sequence[str], skip_null: bool = False) -> DataFrame:
     """News about the symbols and all reviews that have text, in one table.
 
-    A headline without a summary has no text unless ``skip_null`` is set; its row stays either way.
+    A headline without a summary has no text unless ``skip_null`` is set; its row stays either way. An
+    id has one row, the latest published, also where a show or an article comes under two names.
     """
     articles = corpus_part(
         news.where(F.col("related").isin(*symbols)),
-        [F.lit("news_"), F.col("id")],
+        [F.lit("news_"), F.col("id")],  # fixed value: the prefixes of ids
         "news",
         F.col("related"),
         joined([F.col("headline"), F.col("summary")], ". ", skip_null),
@@ -115,7 +116,7 @@ def text_corpus(news: DataFrame, reviews: DataFrame, symbols: Sequence[str], ski
         F.col("content"),
         F.to_date("created_at"),
     )
-    return articles.unionByName(opinions)
+    return latest_per_key(articles.unionByName(opinions), ["doc_id"], ["published_date"])
 
 
 def reconcile(total: DataFrame, parts: dict[str, DataFrame], spark: SparkSession) -> DataFrame:

@@ -38,7 +38,7 @@ def daily_chart(
 def chart_snapshot(bronze_chart: DataFrame, ingested_at: str = "_ingested_at") -> DataFrame:
     """The newest loaded day as rows of the rank history."""
     day = F.to_date(ingested_at)
-    current = latest_per_key(newest_day(bronze_chart, day), ["id", "_storefront"], [ingested_at])
+    current = latest_per_key(newest_day(bronze_chart, ingested_at, of_moment=True), ["id", "_storefront"], [ingested_at])
     return current.select(
         "id", "_storefront", "name", F.col("_rank").alias("rank"), day.alias("snapshot_date")
     )
@@ -47,12 +47,13 @@ def chart_snapshot(bronze_chart: DataFrame, ingested_at: str = "_ingested_at") -
 def brand_popularity(
     history: DataFrame, storefront: str = STOREFRONT, brands: Sequence[str] = BRANDS, chart_size: int = CHART_SIZE
 ) -> DataFrame:
-    """Popularity of the listed brands in one storefront; other storefronts come and go."""
-    return history.where((F.col("_storefront") == storefront) & F.col("name").isin(*brands)).select(
-        F.col("name").alias("brand"),
-        F.col("snapshot_date").alias("d"),
-        rank_score("rank", chart_size).alias("popularity"),
-    )
+    """Popularity of the listed brands in one storefront; other storefronts come and go.
+
+    One row per brand and day: of two apps with the brand's name the better placed one counts.
+    """
+    listed = history.where((F.col("_storefront") == storefront) & F.col("name").isin(*brands))
+    best = listed.groupBy(F.col("name").alias("brand"), F.col("snapshot_date").alias("d")).agg(F.min("rank").alias("rank"))
+    return best.select("brand", "d", rank_score("rank", chart_size).alias("popularity"))
 
 
 def moves(popularity: DataFrame, horizon: Column | int = HORIZON_DAYS) -> DataFrame:

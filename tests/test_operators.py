@@ -45,6 +45,9 @@ def test_newest_day_stays_in_the_plan(spark, rows):
     df = rows("k int, d date", (1, day(0)), (2, day(3)), (3, day(3)), (4, None))
     assert bag(newest_day(df, "d").select("k")) == [(2,), (3,)]
     assert newest_day(df.limit(0), "d").count() == 0
+    timed = rows("k int, t timestamp", (1, dt.datetime(2024, 1, 1, 9)), (2, dt.datetime(2024, 1, 2)), (3, dt.datetime(2024, 1, 2, 23, 59)), (4, None))
+    assert bag(newest_day(timed, "t", of_moment=True).select("k")) == [(2,), (3,)]
+    assert newest_day(timed.limit(0), "t", of_moment=True).count() == 0
 
 
 def test_upsert_replaces_inserts_and_keeps(spark, rows):
