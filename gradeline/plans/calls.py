@@ -63,6 +63,12 @@ def backfill_plan(
     return _with_variants(pairs, "backfill", planned_variants(True, use_rag, model))
 
 
+def question_rows(symbols: DataFrame) -> DataFrame:
+    """(entity, query_text): what is looked up in the corpus for each symbol."""
+    text = F.concat(F.lit("What do news and viewers say about "), F.col("brand"), F.lit(" and its shows?"))
+    return symbols.select(F.col("symbol").alias("entity"), text.alias("query_text"))
+
+
 def signal_json(recent: Column, sentiment: Column, estimates: Column) -> Column:
     """The signals as one JSON object under this package's column names; what is unknown is null."""
     signals = F.struct("brand", "as_of", recent.alias("recent"), sentiment.alias("sentiment"), estimates.alias("estimates"))

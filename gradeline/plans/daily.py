@@ -111,10 +111,10 @@ def aggregate(wh: Warehouse) -> None:
 
 
 def series(wh: Warehouse) -> DataFrame:
-    """Popularity of the brands, also as the view ``brand_popularity``."""
-    view = popularity.brand_popularity(wh.gold.table("rank_history"))
-    view.createOrReplaceTempView("brand_popularity")
-    return view
+    """Popularity of the brands, from the view ``brand_popularity`` of the gold database, made on first use."""
+    if not wh.gold.exists("brand_popularity"):
+        wh.gold.create_view("brand_popularity", popularity.brand_popularity_sql(wh.gold.full_name("rank_history")))
+    return wh.gold.table("brand_popularity")
 
 
 def freeze_cutoffs(wh: Warehouse, now: dt.datetime) -> DataFrame:
@@ -140,8 +140,9 @@ def ask(
 ) -> DataFrame:
     """Prompts of one live run, or of a backfill when a start is given.
 
-    Retrieval needs ``embeddings`` (doc_id, embedding) of the corpus and ``questions``
-    (entity = symbol, query_text, query_vector); a live run that plans retrieval fails without them.
+    Retrieval needs ``embeddings`` (doc_id, embedding) of the corpus and ``questions`` (entity = symbol,
+    query_vector), the embedded texts of ``calls.question_rows``, or texts of the caller's own as
+    query_text; a live run that plans retrieval fails without them, or with a symbol without a vector.
     """
     gold, known, popular, day = wh.gold, wh.symbols(), series(wh), as_date(as_of)
     cutoffs = gold.table("move_cutoffs")
@@ -158,6 +159,11 @@ def ask(
     plan = keep(plan, "plan")
     asked = plan.select("symbol", "brand", "as_of").distinct()
     if backfill_from is None and with_texts:
+        if "query_text" not in questions.columns:
+            questions = questions.join(calls.question_rows(known), "entity")
+        missing = known.join(questions, F.col("symbol") == F.col("entity"), "left_anti").select("symbol")
+        if not missing.isEmpty():
+            raise ValueError(f"no question for {[row['symbol'] for row in missing.collect()]}")
         documents = gold.table("corpus").join(embeddings, "doc_id", "left")
         context = retrieved_context(hybrid_top_k(documents, questions, day), documents, ["entity"]).select(
             F.col("entity").alias("symbol"), day.alias("as_of"), "chunks"

@@ -56,6 +56,17 @@ def brand_popularity(
     return best.select("brand", "d", rank_score("rank", chart_size).alias("popularity"))
 
 
+def brand_popularity_sql(
+    history: str, storefront: str = STOREFRONT, brands: Sequence[str] = BRANDS, chart_size: int = CHART_SIZE
+) -> str:
+    """``brand_popularity`` as the text of a view, for sessions to come."""
+    listed = ", ".join("'" + b.replace("'", "''") + "'" for b in brands)
+    return (
+        f"SELECT name AS brand, snapshot_date AS d, CAST({chart_size + 1} - min(rank) AS DOUBLE) AS popularity "
+        f"FROM {history} WHERE _storefront = '{storefront}' AND name IN ({listed}) GROUP BY name, snapshot_date"
+    )
+
+
 def moves(popularity: DataFrame, horizon: Column | int = HORIZON_DAYS) -> DataFrame:
     """Per brand and day: popularity then, ``horizon`` days later and before, and both changes."""
     horizon = F.lit(horizon) if isinstance(horizon, int) else horizon

@@ -174,6 +174,10 @@ class Database:
         rows = add_missing_columns(df, {f.name: f.dataType.simpleString() for f in fields})
         rows.select(*fields.names).write.insertInto(self.full_name(table))
 
+    def create_view(self, view: str, sql: str) -> None:
+        """A view of the catalog, which later sessions see as well."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.full_name(view)} AS {sql}")
+
     def freeze(self, table: str, make: Callable[[], DataFrame]) -> DataFrame:
         """Write the result of ``make`` the first time; later calls keep what is there."""
         if not self.exists(table):

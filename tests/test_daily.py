@@ -7,7 +7,7 @@ import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
-from gradeline.plans import daily, quality
+from gradeline.plans import daily, popularity, quality
 from gradeline.sources import schemas
 
 FIRST = dt.date(2024, 1, 1)
@@ -146,6 +146,12 @@ def test_forecast(spark, rows, warehouse):
     live = daily.ask(wh, day(7), embeddings=embeddings, questions=questions)
     with pytest.raises(ValueError, match="needs embeddings"):
         daily.ask(wh, day(7))
+    with pytest.raises(ValueError, match="no question for \\['DIS'\\]"):
+        daily.ask(wh, day(7), embeddings=embeddings, questions=questions.where("entity = 'NFLX'"))
+    own = daily.ask(wh, day(7), embeddings=embeddings, questions=questions.drop("query_text"))
+    assert bag(own.where("variant = 'rag'").select("symbol", F.size("retrieved_doc_ids"))) == [("DIS", 5), ("NFLX", 5)]
+    # The view is in the catalog and says what the plan says.
+    assert bag(spark.table("daily_test_gold.brand_popularity")) == bag(popularity.brand_popularity(wh.gold.table("rank_history")))
     backfill = daily.ask(wh, day(14), backfill_from=FIRST)
     assert bag(live.select("symbol", "variant", F.size("retrieved_doc_ids"))) == [
         (s, v, n) for s in ("DIS", "NFLX") for v, n in (("no_rag", 0), ("rag", 5))
