@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeline.catalog.fixtures import NOW, REPLY_KEYS_SQL, moment, prediction_log, table
+from gradeline.catalog.measures import RATINGS_SQL, nation_ratings, source_engagement, weighted_sentiment
 from gradeline.catalog.registry import query
 from gradeline.functions.scores import CALLS
-from gradeline.plans.quality import Allowed, NoNulls, RowCount, Unique, call_collapse, duplicate_rows, freshness, run_suite, skip_rate
+from gradeline.plans.quality import (
+    GOLD, PREDICTIONS, SILVER, Allowed, NoNulls, RowCount, Unique, call_collapse, duplicate_rows, freshness, run_suite, skip_rate,
+)
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
@@ -67,6 +72,47 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+@query("q25s_layer_suites", "WITH" + RATINGS_SQL + "," + REPLY_KEYS_SQL + """,
+engaged AS (SELECT source, lang, count(*) AS review_count FROM documents GROUP BY 1, 2),
+facts AS (
+  SELECT 'silver' AS suite, 'recommendation_trends' AS table_name, unnest([('row_count', '*', count(*), 1),
+    ('unique_key', 'symbol,period', count(*) - count(DISTINCT (symbol, period)), 0)]) AS x FROM ratings
+  UNION ALL
+  SELECT 'silver', 'news', unnest([('row_count', '*', count(*), 1), ('unique_key', 'id', count(*) - count(DISTINCT doc_id), 0)]) FROM documents
+  UNION ALL
+  SELECT 'gold', 'analyst_sentiment', unnest([('row_count', '*', count(*), 8),
+    ('no_nulls', 'mean_recommendation_score', count(*) FILTER (r1 + r2 + r3 + r4 + r5 = 0), 0),
+    ('no_nulls', 'news_count', count(*) FILTER (period IS NULL), 0)]) FROM ratings
+  UNION ALL
+  SELECT 'gold', 'show_engagement', unnest([('row_count', '*', count(*), 1),
+    ('no_nulls', 'review_count', count(*) FILTER (review_count IS NULL), 0)]) FROM engaged
+  UNION ALL
+  SELECT 'predictions', 'predictions', unnest([('row_count', '*', count(*), 1), ('no_nulls', 'symbol', count(*) - count(symbol), 0),
+    ('no_nulls', 'prediction_date', count(*) - count(prediction_date), 0), ('no_nulls', 'source', count(*) - count(source), 0),
+    ('no_nulls', 'variant', count(*) - count(variant), 0), ('no_nulls', 'call', count(*) - count(call), 0),
+    ('allowed_values', 'call', count(*) FILTER (call NOT IN ('rise', 'hold', 'fall')), 0)]) FROM predictions)
+SELECT suite, table_name, x[1] AS check_name, x[2] AS target,
+  CASE WHEN x[3] = x[4] OR x[1] = 'row_count' AND x[3] > x[4] THEN 'PASS' ELSE 'FAIL' END AS status,
+  CAST(x[3] AS DOUBLE) AS observed, CAST(x[4] AS DOUBLE) AS limit_value
+FROM facts""")
+def layer_suites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suites the job runs, on tables in the shape of its own."""
+    predictions, _ = prediction_log(spark, sf_dir)
+    tables = {
+        "silver": {
+            "recommendation_trends": nation_ratings(spark, sf_dir),
+            "news": table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")),
+        },
+        "gold": {"analyst_sentiment": weighted_sentiment(spark, sf_dir), "show_engagement": source_engagement(spark, sf_dir)},
+        "predictions": {"predictions": predictions},
+    }
+    rules = {"silver": SILVER, "gold": GOLD, "predictions": PREDICTIONS}
+    suites = [
+        run_suite(layer, {name: (df, rules[layer][name]) for name, df in found.items()}) for layer, found in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, suites)
+
+
 @query("q25d_duplicate_keys", """
 WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(sum(n - 1) AS BIGINT) AS n_duplicates FROM k""")
