@@ -40,4 +40,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_warc": warc.REPORT_SQL,
     "op2_line_dedup": lines.REPORT_SQL,
+    "op3_quality_rules": rules.REPORT_SQL,
+    "op4_sharding": shards.REPORT_SQL,
 }

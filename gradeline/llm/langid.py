@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeline.llm.bpe import LETTER, class_table
-from gradeline.llm.frames import held_out, map_batches, reach_package
+from gradeline.llm.frames import held_out, map_batches
+from gradeline.session import reach_package
 from gradeline.sources.tables import keep
 
 ORDER = 4

@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeline.llm.frames import held_out, map_batches, reach_package
+from gradeline.llm.frames import held_out, map_batches
+from gradeline.session import reach_package
 
 BITS = 18
 #: The classifier is fitted on at most this many labelled rows, chosen by the hash of their id.

@@ -129,3 +129,39 @@ def rule_report(docs: DataFrame) -> DataFrame:
     return judge(docs.select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def _bounds_sql() -> str:
+    tests = []
+    for name, least, most in THRESHOLDS:
+        part, whole = RATIOS[name]
+        value = f"CASE WHEN {whole} > 0 THEN {part}::DOUBLE / {whole} ELSE 0 END"
+        tests += [f"{value} >= {least}::DOUBLE"] if least is not None else []
+        tests += [f"{value} <= {most}::DOUBLE"] if most is not None else []
+    return " AND ".join(tests)
+
+
+_STOP_SQL = ", ".join(f"'{w}', '{w.capitalize()}'" for w in sorted({w for group in STOP_WORDS.values() for w in group}))
+
+REPORT_SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, shown) AS times
+  FROM (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS shown
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM texts WHERE len(w) >= 8))),
+repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place FROM windows WHERE times > 1) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '{SYMBOLS}', '', 'g')) AS n_symbols, len(l) AS n_lines,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    len(list_filter(w, lambda x: x IN ({_STOP_SQL}))) AS n_stop_words
+  FROM texts LEFT JOIN repeats USING (doc_id)),
+judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND {_bounds_sql()} AS kept
+FROM judged"""

@@ -74,3 +74,22 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, text: str = "
     placed = assign_shards(docs, shards, text, doc_id, (text,) if text not in ("doc_id", "size") else ())
     ordered = placed.hint("rebalance", "shard").sortWithinPartitions("shard", "slot")
     ordered.write.partitionBy("shard").parquet(path)
+
+
+REPORT_SQL = f"""
+WITH RECURSIVE steps AS (
+  SELECT range AS byte, range AS value, 0 AS step FROM range(256)
+  UNION ALL
+  SELECT byte, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END, step + 1 FROM steps WHERE step < 8),
+crc AS (SELECT list(value ORDER BY byte) AS t FROM steps WHERE step = 8),
+sized AS (
+  SELECT doc_id, CAST(octet_length(b) + 1 AS BIGINT) AS size,
+    xor(4294967295, list_reduce(list_transform(range(0, octet_length(b)), lambda i: CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS BIGINT)),
+      lambda c, x: xor(c >> 8, t[1 + xor(c & 255, x)]), 4294967295)) AS text_crc32
+  FROM (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents), crc),
+placed AS (
+  SELECT *, least({SHARDS - 1}, ((2 * ends - size) * {SHARDS}) // (2 * total)) AS shard
+  FROM (SELECT *, sum(size) OVER (ORDER BY doc_id) AS ends, sum(size) OVER () AS total FROM sized))
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INT) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM placed"""
