@@ -84,7 +84,7 @@ WITH RECURSIVE steps AS (
 crc AS (SELECT list(value ORDER BY byte) AS t FROM steps WHERE step = 8),
 sized AS (
   SELECT doc_id, CAST(octet_length(b) + 1 AS BIGINT) AS size,
-    xor(4294967295, list_reduce(list_transform(range(0, octet_length(b)), lambda i: CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS BIGINT)),
+    xor(4294967295, list_reduce(list_transform(regexp_extract_all(h, '..'), lambda x: CAST('0x' || x AS BIGINT)),
       lambda c, x: xor(c >> 8, t[1 + xor(c & 255, x)]), 4294967295)) AS text_crc32
   FROM (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents), crc),
 placed AS (
