@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeline.llm.components import components
-from gradeline.llm.frames import map_batches, reach_package
+from gradeline.llm.frames import map_batches
+from gradeline.session import reach_package
 from gradeline.sources.tables import keep
 
 SHINGLE = 4
 DISTANCE = 4
-BLOCKS = 6
+#: Keys are so long that there are this many times more values, in bits, than distinct fingerprints.
+SPARE_BITS = 6
 SEED = 42
 #: Keys shared by more fingerprints than this are compared in chunks instead of by a join.
 CROWD = 128
@@ -60,7 +62,20 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     return map_batches(docs, [doc_id, text], run, "doc_id long, fp long")
 
 
-def block_masks(distance: int = DISTANCE, blocks: int = BLOCKS) -> list[int]:
+def blocks_for(n: int, distance: int = DISTANCE) -> int:
+    """The fewest blocks whose keys are long enough that ``n`` fingerprints seldom share one by chance.
+
+    Any number of blocks above ``distance`` finds all close pairs; more blocks mean longer keys, so
+    fewer pairs to verify, and more keys.
+    """
+    wanted = min(max(n, 1).bit_length() + SPARE_BITS, 48)
+    blocks = distance + 1
+    while 64 * (blocks - distance) // blocks < wanted:
+        blocks += 1
+    return blocks
+
+
+def block_masks(distance: int, blocks: int) -> list[int]:
     """A mask, as a signed long, for each choice of the blocks that a close pair may agree on."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     parts = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
@@ -115,7 +130,7 @@ def crowded_links(keys: DataFrame, crowds: DataFrame, distance: int) -> DataFram
     return placed.groupBy("band", "key", "low", "high").applyInPandas(link, "a long, b long")
 
 
-def near_links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+def near_links(fps: DataFrame, distance: int, blocks: int) -> DataFrame:
     """(a, b): links among distinct fingerprints (fp) that join whatever differs in few enough bits."""
     masks = block_masks(distance, blocks)
     bands = F.array(*[
@@ -133,18 +148,19 @@ def near_links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", distance: int = DISTANCE, blocks: int = BLOCKS
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", distance: int = DISTANCE, blocks: int | None = None
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs``.
 
     The fingerprint is 16 hexadecimal digits. Fingerprints that differ in at most ``distance`` bits
-    are linked, and component_id is the smallest id that links reach, the row's own included. Texts
+    are linked through ``blocks`` blocks, by default as many as their number asks for, and component_id is the smallest id that links reach, the row's own included. Texts
     without words (NULL, empty, blank) have fingerprint 0 and are linked like others. Repeated rows are in one
     component; rows without id belong to components but never name one, unless it has no other
     rows: then component_id is NULL. An empty table gives an empty table; other columns are left out.
     """
     marked = keep(fingerprints(docs, text, doc_id), "fingerprints")
     nodes = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    blocks = blocks or blocks_for(nodes.count(), distance)
     roots = components(near_links(nodes.select("fp"), distance, blocks))
     if roots is None:
         named = nodes.select("fp", F.col("first").alias("component_id"))
