@@ -76,7 +76,8 @@ def write_archive(
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """What lies between magics: file, split and order, length in bytes, and the header if it is one.
 
-    ``exact``: as a record, the piece ends where the next magic is.
+    ``exact``: as a record, the piece ends where the next magic is. ``digest``: of the payload, if the
+    piece holds all of it. Bytes are there once, as ``raw``.
     """
     read = spark.read.option("lineSep", SEPARATOR).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
@@ -95,12 +96,15 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
         "body": F.when(F.rlike("header", F.lit(r"^(WARC/1\.)?\d+\r\n")) & (body != ""), body.cast("long")),
     })
     rest = F.col("bytes") - F.col("skip") - F.col("head")
-    whole = F.col("body") <= rest
-    binary = F.col("raw").cast("binary")
     return parsed.withColumns({
         "exact": F.coalesce(F.col("body") + 2 == rest, F.lit(False)),
-        "payload": F.when(whole, F.substring(binary, (F.col("skip") + F.col("head") + 1).cast("int"), F.col("body").cast("int"))),
-    }).withColumn("digest", F.sha2("payload", 256))
+        "digest": F.when(F.col("body") <= rest, F.sha2(payload_of(F.col("raw"), F.col("skip"), F.col("head"), F.col("body")), 256)),
+    })
+
+
+def payload_of(raw: Column, skip: Column, head: Column, body: Column) -> Column:
+    """The bytes after the header, as many as it says or as there are."""
+    return F.substring(raw.cast("binary"), (skip + head + 1).cast("int"), body.cast("int"))
 
 
 def placed(index: DataFrame) -> DataFrame:
@@ -158,14 +162,16 @@ def whole_payloads(index: DataFrame, rows: DataFrame, cut: DataFrame) -> DataFra
     )
     located = rows.select("file", "turn", F.col("at").alias("place"), (F.col("at") / REACH).cast("long").alias("slot"))
     parts = located.join(wanted, ["file", "slot"]).where("place >= at AND place < next")
+    # Kept, so that Spark knows how few pieces there are and leaves the others where they are.
+    parts = keep(parts.select("file", "turn", "place", "record", "body"), "cut_pieces")
     raw = index.select("file", "turn", "raw", "skip", "head")
     texts = parts.join(raw, ["file", "turn"]).groupBy("file", "record", "body").agg(
         F.sort_array(F.collect_list(F.struct("place", "raw", "skip", "head"))).alias("parts")
     )
     joined = F.array_join(F.transform("parts", lambda p: p["raw"]), SEPARATOR).cast("binary")
     first = F.col("parts")[0]
-    start = (first["skip"] + first["head"] + 1).cast("int")
-    return texts.select("file", F.col("record").alias("turn"), F.substring(joined, start, F.col("body").cast("int")).alias("payload"))
+    payload = payload_of(joined, first["skip"], first["head"], F.col("body"))
+    return texts.select("file", F.col("record").alias("turn"), payload.alias("mended"))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -182,17 +188,15 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     reached = reached_runs(rows)
     records = rows.where(F.col("body").isNotNull()).join(reached, ["file", "run"]).where(F.col("at") >= F.col("entry"))
     records = keep(records.select("file", "turn", "at", "next", "body"), "records")
-    found = index.select("file", "turn", "header", "digest", "payload")
-    all_records = records.join(found, ["file", "turn"])
+    all_records = records.join(index.select("file", "turn", "header", "digest", "raw", "skip", "head"), ["file", "turn"])
     cut = keep(all_records.where(F.col("digest").isNull()).select("file", "turn", "at", "next", "body"), "cut")
-    mended = whole_payloads(index, rows, cut).withColumn("mended", F.col("payload")).drop("payload")
-    mended = mended.withColumn("mended", F.when(F.octet_length("mended") >= 0, F.col("mended")))
-    out = all_records.join(keep(mended, "mended"), ["file", "turn"], "left")
+    out = all_records.join(keep(whole_payloads(index, rows, cut), "mended"), ["file", "turn"], "left")
     full = F.octet_length("mended") == F.col("body")
+    own = payload_of(F.col("raw"), F.col("skip"), F.col("head"), F.col("body"))
     return out.select(
         "file", "at", "header", "body",
         F.coalesce("digest", F.when(full, F.sha2("mended", 256))).alias("digest"),
-        F.coalesce("payload", F.when(full, F.col("mended"))).alias("payload"),
+        F.when(F.col("digest").isNotNull(), own).when(full, F.col("mended")).alias("payload"),
     )
 
 
