@@ -116,12 +116,17 @@ class Database:
         columns = self.table(table).columns
         df.select(*columns).hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(location)
         written = self.spark.read.schema(self.table(table).schema).parquet(location)
-        for (value,) in written.select(F.col(partition_by).cast("string")).distinct().collect():
-            if value is None:
-                raise ValueError(f"{table}: a row without {partition_by} has no partition")
-            part, folder = f"PARTITION (`{partition_by}` = '{value}')", f"'{location}/{partition_by}={value}'"
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {part} LOCATION {folder}")
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} {part} SET LOCATION {folder}")
+        values = [row[0] for row in written.select(F.col(partition_by).cast("string")).distinct().collect()]
+        if None in values:
+            raise ValueError(f"{table}: a row without {partition_by} has no partition")
+        known = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.full_name(table)}").collect()}
+        parts = {v: (f"PARTITION (`{partition_by}` = '{v}')", f"'{location}/{partition_by}={v}'") for v in values}
+        fresh = [f"{part} LOCATION {at}" for v, (part, at) in parts.items() if f"{partition_by}={v}" not in known]
+        if fresh:
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD IF NOT EXISTS {' '.join(fresh)}")
+        for v, (part, at) in parts.items():
+            if f"{partition_by}={v}" in known:
+                self.spark.sql(f"ALTER TABLE {self.full_name(table)} {part} SET LOCATION {at}")
         self.spark.catalog.refreshTable(self.full_name(table))
 
     def load_slice(self, table: str, df: DataFrame, partition_by: str) -> None:
