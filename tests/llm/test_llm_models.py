@@ -323,3 +323,13 @@ def test_near_dedup_stage_finds_all_pairs_of_similarity(spark, monkeypatch):
     kept = corpus_pipeline.near_dedup(spark, docs, SF)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(g[0] for g in expected)
     assert similar.near_copies(docs.limit(0)).count() == 0
+
+
+def test_near_dedup_stage_keeps_each_text_once_whatever_its_id(spark):
+    long = [" ".join(f"t{k}w{i}" for i in range(30)) for k in range(5)]
+    rows = [(1, long[0]), (2, long[0]), (2, long[1]), (3, long[2]), (3, long[3]), (None, long[4]), (None, long[4]), (None, long[0])]
+    docs = spark.createDataFrame([(*r, "en", "s", i) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, SF)
+    got = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in kept.collect()), key=str)
+    expected = [(1, long[0], 0), (2, long[1], 2), (3, long[2], 3), (3, long[3], 4), (None, long[4], 5)]
+    assert got == sorted(expected, key=str) and kept.columns == docs.columns
