@@ -239,3 +239,18 @@ def clean_documents(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -
     """The rows of ``docs`` whose id has no row in ``found``; rows without id can't be named and stay."""
     leaking = found.select(F.col("doc_id").alias(doc_id)).distinct()
     return docs.join(leaking, doc_id, "left_anti")
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    least: int = MIN_MATCH, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` that ``contaminated`` finds in no test item, whatever their ids.
+
+    A row's verdict depends on its text alone and goes by the text's 64-bit hash: leaking rows without id go, and
+    clean rows that share an id with a leaking one stay.
+    """
+    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col(f"`{text}`")))
+    found = contaminated(keyed, benchmark, text, "_text_hash", item_id, item_text, least, coverage, block_bytes)
+    leaking = found.select(F.col("doc_id").alias("_text_hash")).distinct()
+    return keyed.join(leaking, "_text_hash", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -333,3 +333,12 @@ def test_near_dedup_stage_keeps_each_text_once_whatever_its_id(spark):
     got = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in kept.collect()), key=str)
     expected = [(1, long[0], 0), (2, long[1], 2), (3, long[2], 3), (3, long[3], 4), (None, long[4], 5)]
     assert got == sorted(expected, key=str) and kept.columns == docs.columns
+
+
+def test_decontamination_stage_judges_rows_whatever_their_ids(spark):
+    item = next(r["text"] for r in table(spark, SF, "benchmark").collect() if len((r["text"] or "").split()) > 8)
+    rows = [(None, item), (None, "clean text"), (None, None), (1, item), (1, "another clean text"), (2, "clean text"), (2, "clean text")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    clean = corpus_pipeline.decontamination(spark, docs, SF)
+    got = [(r["doc_id"], r["text"]) for r in clean.collect()]
+    assert sorted(got, key=str) == sorted((r for r in rows if r[1] != item), key=str) and clean.columns == docs.columns
