@@ -53,7 +53,8 @@ def merge_partitions(
     """The partitions a batch touches, with its rows merged in; None when the batch is empty.
 
     A key belongs to one partition. The batch's partition values, one per day or the like, are read
-    first: known values prune the stored table's folders, so a batch costs its own partitions.
+    first: known values prune the stored table's folders, so a batch costs its own partitions. Rows
+    without a value are a partition of their own.
     """
     fresh = latest_per_key(batch, [partition, *keys], newest_first)
     values = [row[0] for row in fresh.select(partition).distinct().collect()]
@@ -61,7 +62,9 @@ def merge_partitions(
         return None
     if stored is None:
         return fresh
-    touched = stored.where(F.col(partition).isin(values)).select(*fresh.columns)
+    day = F.col(partition)
+    known = day.isin([v for v in values if v is not None])
+    touched = stored.where(known | day.isNull() if None in values else known).select(*fresh.columns)
     both = touched.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
     return latest_per_key(both, [partition, *keys], [*newest_first, "_new"]).drop("_new")
 

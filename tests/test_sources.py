@@ -161,3 +161,13 @@ def test_repeated_and_late_ticks(spark, tmp_path):
     late = [{"s": "A", "p": 7.0, "t": 1704067300000, "v": 1.0}, {"s": "C", "p": 1.0, "t": 1703980800000, "v": 1.0}]
     land(files, "three", [*late, newer, *TICKS])
     assert run() == [("A", 7.0, day1), ("B", 5.0, day2), ("C", 1.0, dt.date(2023, 12, 31))]
+
+
+def test_ticks_without_time_of_several_batches_all_stay(spark, tmp_path):
+    files, out, checkpoint = tmp_path / "landing", str(tmp_path / "silver"), str(tmp_path / "checkpoint")
+    schema = "s string, p double, t bigint, v double, c array<string>, ts timestamp, day date"
+    for name, ticks in (("one", [{"s": "A", "p": 1.0}, {"s": "B", "p": 2.0}]), ("two", [{"s": "C", "p": 3.0}, {"s": "B", "p": 4.0}])):
+        land(files, name, ticks)
+        merge_ticks(read_ticks(spark, str(files)), out, checkpoint, ["s"], ["t", "p"], schema).awaitTermination()
+    got = sorted((r["s"], r["p"], r["day"]) for r in spark.read.parquet(out).collect())
+    assert got == [("A", 1.0, None), ("B", 4.0, None), ("C", 3.0, None)]
