@@ -1,19 +1,18 @@
 """Language identification by interpolated Kneser-Ney character models, one per language.
 
 The n-grams of the highest order are counted over all training texts; lower orders count in how many
-ways a gram is continued to the left. The model is a few sorted arrays of gram hashes with a row of
-probabilities each, one column per language. A text goes to the language with the lowest cross-entropy
+ways a gram is continued to the left. The model is tables of (gram hash,
+language, probability) of any size, read block by block into sorted arrays. A text goes to the language with the lowest cross-entropy
 per character, unless even that is higher than held-back texts of the language ever show.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +23,12 @@ from gradeline.session import reach_package
 from gradeline.sources.tables import keep
 
 ORDER = 4
-#: The model keeps at most this many grams per language and order, the most frequent; it bounds the broadcast.
-MAX_GRAMS = 200_000
-#: Languages beyond this many, the rarest, are not learned; it bounds the broadcast as well.
-MAX_LANGUAGES = 64
+#: Bytes of the model that are sent to all tasks in one pass over the texts; a larger model takes more passes.
+BLOCK_BYTES = 64 << 20
+#: Bytes of a row of the model: hash, language and value, and the hash's place.
+ROW_BYTES = 32
+#: Distinct grams of a batch whose probabilities in all languages are looked up at a time.
+STEP = 1 << 15
 #: Labelled texts that are kept out of the counts and set the rejection limits.
 CALIBRATION_ROWS = 2_000
 REJECT_SHARE = 0.001
@@ -123,96 +124,175 @@ def count_grams(texts: DataFrame, order: int) -> DataFrame:
 
 
 @dataclass
-class Level:
-    """One order: hashes of grams in ascending order and, per language, the discounted probability;
-    hashes of contexts and, per language, the weight of the next lower order (1 where unseen)."""
-
-    grams: np.ndarray
-    share: np.ndarray
-    contexts: np.ndarray
-    rest: np.ndarray
+class Sparse:
+    """Ascending hashes, each with the languages that have a value for it and the values."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    langs: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, hashed: np.ndarray, langs: np.ndarray, values: np.ndarray) -> Sparse:
+        order = np.argsort(hashed, kind="stable")
+        keys, starts = np.unique(hashed[order], return_index=True)
+        return cls(keys, np.append(starts, len(order)), langs[order].astype(np.int32), values[order])
+
+    def look_up(self, wanted: np.ndarray, languages: int, missing: float) -> np.ndarray:
+        """A row of one value per language for each wanted hash."""
+        out = np.full((len(wanted), languages), missing)
+        if not len(self.keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        rows = np.flatnonzero(self.keys[at] == wanted)
+        first, count = self.starts[at[rows]], self.starts[at[rows] + 1] - self.starts[at[rows]]
+        which = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        out[np.repeat(rows, count), self.langs[which]] = self.values[which]
+        return out
 
 
 @dataclass
-class Model:
+class Block:
+    """The part of a model for windows of one group of middles: per order, the discounted probabilities of
+    grams and the weights of the next lower order of contexts (1 where unseen)."""
+
+    number: int
+    of: int
     order: int
-    languages: list[str]
-    levels: list[Level]
-    floor: float = 1e-6
-    sharpness: float = 20.0
-    limits: list[float] = field(default_factory=list)
+    languages: int
+    levels: list[tuple[Sparse, Sparse]]
+    floor: float
 
     def log_probabilities(self, rows: np.ndarray) -> np.ndarray:
         """ln p(last character | the ones before) per row and language."""
-        p = np.full((len(rows), len(self.languages)), self.floor)
-        for k, level in enumerate(self.levels, 1):
+        p = np.full((len(rows), self.languages), self.floor)
+        for k, (grams_of, contexts_of) in enumerate(self.levels, 1):
             gram, context = rows[:, self.order - k :], rows[:, self.order - k : self.order - 1]
-            share = _look_up(level.grams, level.share, hashes(gram), 0.0)
-            p = share + _look_up(level.contexts, level.rest, hashes(context), 1.0) * p
+            share = grams_of.look_up(hashes(gram), self.languages, 0.0)
+            p = share + contexts_of.look_up(hashes(context), self.languages, 1.0) * p
         return np.log(p)
 
-    def cross_entropies(self, texts: list[str]) -> np.ndarray:
-        """Nats per character, by text and language; infinite for texts without letters."""
+    def mine(self, rows: np.ndarray) -> np.ndarray:
+        """Whether the block is the one for a window, by the two characters before the last."""
+        return hashes(rows[:, max(0, self.order - 3) : self.order - 1]) % np.uint64(self.of) == self.number
+
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(sums of ln p over the block's windows, by text and language; all windows of each text, 0 without letters)."""
+        out = np.zeros((len(texts), self.languages))
         codes, owner = normalised(texts, self.order)
         lettered = np.bincount(owner, weights=codes != 0x20, minlength=len(texts)) > 0
         if len(codes) < self.order:
-            return np.full((len(texts), len(self.languages)), np.inf)
+            return out, np.zeros(len(texts), np.int64)
         rows, index = grams(codes, self.order)
-        logs = self.log_probabilities(rows)
         mine = owner[self.order - 1 :]
         # Windows that end in the blanks before a text say nothing about it.
         inside = owner[: len(index)] == mine
         mine, index = mine[inside], index[inside]
-        n = np.maximum(np.bincount(mine, minlength=len(texts)), 1)
-        sums = [np.bincount(mine, weights=logs[index, k], minlength=len(texts)) for k in range(logs.shape[1])]
-        return np.where(lettered[:, None], -np.column_stack(sums) / n[:, None], np.inf)
-
-
-def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
-    if not len(keys):
-        return np.full((len(wanted), values.shape[1]), missing)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where((keys[at] == wanted)[:, None], values[at], missing)
-
-
-def _level(table: pd.DataFrame, languages: list[str], k: int) -> Level:
-    """Discounted shares of one order from (lang, gram, n)."""
-    rows = np.frombuffer("".join(table["gram"]).encode("utf-32-le"), np.uint32).reshape(-1, k).astype(np.int64)
-    lang = table["lang"].map({name: i for i, name in enumerate(languages)}).to_numpy(np.int64)
-    n = table["n"].to_numpy(np.float64)
-    once = np.bincount(lang, weights=n == 1, minlength=len(languages))
-    twice = np.bincount(lang, weights=n == 2, minlength=len(languages))
-    discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
-    keys, gram = np.unique(hashes(rows), return_inverse=True)
-    contexts, context = np.unique(hashes(rows[:, :-1]), return_inverse=True)
-    total, kinds = np.zeros((2, len(contexts), len(languages)))
-    np.add.at(total, (context, lang), n)
-    np.add.at(kinds, (context, lang), 1)
-    share = np.zeros((len(keys), len(languages)))
-    share[gram, lang] = (n - np.minimum(discount[lang], n)) / total[context, lang]
-    rest = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
-    return Level(keys, share, contexts, rest)
-
-
-def train(texts: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> Model | None:
-    """A model of (lang, text), all rows counted; None where no row has both and a letter."""
+        n = np.where(lettered, np.bincount(mine, minlength=len(texts)), 0)
+        asked = np.flatnonzero(self.mine(rows)) if self.of > 1 else np.arange(len(rows))
+        place = np.full(len(rows), -1)
+        place[asked] = np.arange(len(asked))
+        mine, index = mine[place[index] >= 0], place[index[place[index] >= 0]]
+        for low in range(0, self.languages and len(asked), STEP):
+            logs = self.log_probabilities(rows[asked[low : low + STEP]])
+            now = (index >= low) & (index < low + STEP)
+            for k in range(self.languages):
+                out[:, k] += np.bincount(mine[now], weights=logs[index[now] - low, k], minlength=len(texts))
+        return out, n
+
+
+@dataclass
+class Model:
+    """The tables of a model, of any size: per order (gram, lang, value) and (context, lang, value) by middle."""
+
+    order: int
+    languages: list[str]
+    tables: list[tuple[DataFrame, DataFrame]]
+    blocks: int
+    floor: float = 1e-6
+    sharpness: float = 20.0
+    limits: list[float] = field(default_factory=list)
+    read: dict[int, Block] = field(default_factory=dict)
+
+    def block(self, number: int) -> Block:
+        """A block of about BLOCK_BYTES, read to the driver; only the one last asked for is held."""
+        if number not in self.read:
+            self.read.clear()
+            place = {name: i for i, name in enumerate(self.languages)}
+            levels = []
+            for pair in self.tables:
+                level = []
+                for table in pair:
+                    part = table.where(F.col("part").isNull() | (F.col("part") == number)).toPandas()
+                    level.append(Sparse.of(
+                        part["h"].to_numpy(np.int64).view(np.uint64), part["lang"].map(place).to_numpy(np.int64),
+                        part["value"].to_numpy(np.float64),
+                    ))
+                levels.append(tuple(level))
+            self.read[number] = Block(number, self.blocks, self.order, len(self.languages), levels, self.floor)
+        return self.read[number]
+
+    def log_probabilities(self, rows: np.ndarray) -> np.ndarray:
+        """ln p(last character | the ones before) per row and language."""
+        out = np.zeros((len(rows), len(self.languages)))
+        for number in range(self.blocks):
+            block = self.block(number)
+            mine = block.mine(rows)
+            out[mine] = block.log_probabilities(rows[mine])
+        return out
+
+
+def _hashed(table: DataFrame, order: int, k: int, blocks: int) -> DataFrame:
+    """(h, lang, value, part) of (name, lang, value): hashes of strings, and the block of the two characters
+    before the last of a window; part is NULL where a string of order ``k`` is too short to tell."""
+    middle = min(2, order - 1)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names = batch.column(0).to_pylist()
+        size = len(names[0]) if names else 0
+        rows = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32).reshape(len(names), size).astype(np.int64)
+        context = rows[:, : k - 1]
+        known = k - 1 >= middle
+        parts = (hashes(context[:, k - 1 - middle :]) % np.uint64(blocks)).astype(np.int64) if known else [None] * len(names)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes(rows).view(np.int64)), batch.column(1), batch.column(2), pa.array(parts, pa.int64())],
+            names=["h", "lang", "value", "part"],
+        )
+
+    return map_batches(table, ["name", "lang", "value"], run, "h long, lang string, value double, part long", rows=4096)
+
+
+def train(texts: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> Model | None:
+    """A model of (lang, text), all rows, grams and languages counted; None where no row has both and a letter."""
     usable = texts.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    tables = [keep(count_grams(usable, order), "grams")]
+    counts = [keep(count_grams(usable, order), "grams")]
     for k in range(order - 1, 0, -1):
-        shorter = tables[-1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n"))
-        tables.append(keep(shorter, "grams"))
-    tables.reverse()
-    sizes = tables[-1].groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    languages = sorted(row["lang"] for row in sizes.collect())
+        shorter = counts[-1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n"))
+        counts.append(keep(shorter, "grams"))
+    counts.reverse()
+    languages = sorted(row["lang"] for row in counts[0].select("lang").distinct().collect())
     if not languages:
         return None
-    levels = []
-    for k, counted in enumerate(tables, 1):
-        parts = [
-            counted.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(max_grams) for name in languages
-        ]
-        levels.append(_level(pd.concat([part.toPandas() for part in parts]), languages, k))
-    return Model(order, languages, levels, floor=1 / (1 + len(levels[0].grams)))
+    rows = sum(counted.count() for counted in counts)
+    blocks = max(1, -(-rows * ROW_BYTES // block_bytes))
+    tables = []
+    for k, counted in enumerate(counts, 1):
+        once, twice = (F.sum((F.col("n") == x).cast("long")) for x in (1, 2))
+        share = F.least(F.lit(0.9), F.greatest(F.lit(0.1), once / F.greatest(once + 2 * twice, F.lit(1))))
+        discounts = counted.groupBy("lang").agg(share.alias("discount"))
+        split = counted.withColumn("context", F.substring("gram", 1, k - 1))
+        contexts = keep(
+            split.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).join(discounts, "lang"),
+            "contexts",
+        )
+        value = (F.col("n") - F.least("discount", "n")) / F.col("total")
+        probabilities = split.join(contexts, ["lang", "context"]).select(F.col("gram").alias("name"), "lang", value.alias("value"))
+        rest = contexts.select(
+            F.col("context").alias("name"), "lang", (F.col("discount") * F.col("kinds") / F.col("total")).alias("value")
+        )
+        tables.append(tuple(keep(_hashed(t, order, k, blocks), "model") for t in (probabilities, rest)))
+    letters = counts[0].select("gram").distinct().count()
+    return Model(order, languages, tables, blocks, floor=1 / (1 + letters))
 
 
 def calibrate(model: Model, sample: DataFrame) -> Model:
@@ -240,18 +320,43 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def cross_entropy_rows(texts: DataFrame, model: Model, carried: list[str]) -> DataFrame:
-    """(*carried, entropies) of a frame with the columns ``carried`` and text."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+    """(*carried, entropies) of a frame with the columns ``carried`` and text: nats per character in each language;
+    infinite for texts without letters.
+
+    Of a model of several blocks each is sent to all tasks in turn, and the sums of a text are added up.
+    """
+    kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in carried)
+    if model.blocks == 1:
+        return map_batches(texts, [*carried, "text"], _scorer(texts, model, 0, len(carried), True), f"{kinds}, entropies array<double>")
+    keyed = texts.withColumn("_key", F.md5(F.coalesce("text", F.lit(""))))
+    parts = None
+    for number in range(model.blocks):
+        sums = map_batches(keyed, ["_key", "text"], _scorer(texts, model, number, 1, False), "_key string, sums array<double>, n long")
+        # Equal texts have equal sums; any of them will do. Written now, while this block is the one at hand.
+        part = keep(sums.groupBy("_key").agg(F.max(F.struct("n", "sums")).alias("s")).select("_key", "s.*"), "sums")
+        parts = part if parts is None else parts.unionByName(part)
+    places = F.posexplode("sums").alias("k", "x")
+    added = parts.select("_key", "n", places).groupBy("_key", "k").agg(F.sum("x").alias("x"), F.max("n").alias("n"))
+    mean = F.when(F.col("n") > 0, -F.col("x") / F.col("n")).otherwise(F.lit(float("inf")))
+    listed = added.select("_key", F.struct("k", mean.alias("e")).alias("p")).groupBy("_key").agg(
+        F.transform(F.array_sort(F.collect_list("p")), lambda p: p["e"]).alias("entropies")
+    )
+    return keyed.join(listed, "_key").select(*[F.col(f"`{c}`") for c in carried], "entropies")
+
+
+def _scorer(texts: DataFrame, model: Model, number: int, carried: int, whole: bool) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    shared = texts.sparkSession.sparkContext.broadcast(model.block(number))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = shared.value.cross_entropies([t or "" for t in batch.column(len(carried)).to_pylist()])
-        return pa.RecordBatch.from_arrays(
-            [*(batch.column(k) for k in range(len(carried))), pa.array(found.tolist(), pa.list_(pa.float64()))],
-            names=[*carried, "entropies"],
-        )
+        sums, n = shared.value.sums([t or "" for t in batch.column(carried).to_pylist()])
+        names, first = batch.schema.names[:carried], [batch.column(k) for k in range(carried)]
+        if whole:
+            found = np.where(n[:, None] > 0, -sums / np.maximum(n, 1)[:, None], np.inf)
+            return pa.RecordBatch.from_arrays([*first, pa.array(found.tolist(), pa.list_(pa.float64()))], names=[*names, "entropies"])
+        lists = pa.array(sums.tolist(), pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([*first, lists, pa.array(n, pa.int64())], names=[*names, "sums", "n"])
 
-    kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in carried)
-    return map_batches(texts, [*carried, "text"], run, f"{kinds}, entropies array<double>")
+    return run
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -267,20 +372,20 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         nothing = {"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "rejected": F.lit(True)}
         return asked.drop("text").withColumns(nothing)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scored = cross_entropy_rows(asked, model, ["doc_id", "held_out"])
+    languages, sharpness = model.languages, model.sharpness
+    limits = np.array(model.limits or [np.inf] * len(languages))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = shared.value
-        entropies = model.cross_entropies([t or "" for t in batch.column(2).to_pylist()])
+        entropies = np.array(batch.column(2).to_pylist())
         known = np.isfinite(entropies[:, 0])
         best = np.argmin(entropies, 1)
-        posterior = _softmax(-model.sharpness * np.where(known[:, None], entropies, 0.0))
+        posterior = _softmax(-sharpness * np.where(known[:, None], entropies, 0.0))
         rows = np.arange(len(best))
-        limits = np.array(model.limits or [np.inf] * len(model.languages))
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0), batch.column(1),
-                pa.array([model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
+                pa.array([languages[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
                 pa.array(np.where(known, posterior[rows, best], 0.0)),
                 pa.array(~known | (entropies[rows, best] > limits[best])),
             ],
@@ -288,7 +393,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         )
 
     ddl = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
-    return map_batches(asked, ["doc_id", "held_out", "text"], run, ddl)
+    return map_batches(scored, ["doc_id", "held_out", "entropies"], run, ddl)
 
 
 def language_report(docs: DataFrame) -> DataFrame:

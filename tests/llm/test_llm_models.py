@@ -342,3 +342,24 @@ def test_decontamination_stage_judges_rows_whatever_their_ids(spark):
     clean = corpus_pipeline.decontamination(spark, docs, SF)
     got = [(r["doc_id"], r["text"]) for r in clean.collect()]
     assert sorted(got, key=str) == sorted((r for r in rows if r[1] != item), key=str) and clean.columns == docs.columns
+
+
+def test_language_model_is_whole_and_the_same_in_blocks(spark, corpus):
+    """No gram and no language is left out, and a model of many blocks scores like one of a single block."""
+    rng = random.Random(8)
+    many = [(f"l{k:03}", " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(6))) for k in range(70)]
+    texts = spark.createDataFrame(many, "lang string, text string")
+    model = langid.train(texts)
+    assert model.languages == sorted(k for k, _ in many)
+    own = {}
+    for lang, text in many:
+        padded = "   " + text + " "
+        own[lang] = {padded[i : i + 4] for i in range(len(padded) - 3)}
+    assert model.tables[-1][0].count() == sum(map(len, own.values()))
+    docs = spark.createDataFrame([*((i, x) for i, (_, x) in enumerate(many)), (500, None), (501, "12"), (0, many[0][1])], "doc_id long, text string")
+    parted = langid.train(texts, block_bytes=model.tables[-1][0].count() * 10)
+    assert parted.blocks > 3
+    one, more = (sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in langid.predict(docs, m).collect()) for m in (model, parted))
+    assert one == more and len(one) == 73
+    assert [lang for i, lang, _ in one if i < 70] == ["l000", *(k for k, _ in many)]
+
