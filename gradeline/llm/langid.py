@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeline.llm.bpe import LETTER, class_table
@@ -396,17 +396,25 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return map_batches(scored, ["doc_id", "held_out", "entropies"], run, ddl)
 
 
+def calibration_rows(learnable: DataFrame, limit: int) -> DataFrame:
+    """(lang, doc_id) of at most ``limit`` ids by hash, of no language more than a tenth of its ids."""
+    ids = keep(learnable.where(F.col("lang").isNotNull()).select("lang", "doc_id").distinct(), "ids")
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("size"))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    first = ids.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= limit)
+    tenth = first.join(sizes, "lang").where(F.col("place") * 10 <= F.col("size"))
+    chosen = tenth.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(limit)
+    return keep(chosen.select("lang", "doc_id"), "calibration")
+
+
 def language_report(docs: DataFrame) -> DataFrame:
     """Languages of all rows of ``documents``, learned from the rows that are not held out.
 
-    A tenth of those is left out of the counts; up to CALIBRATION_ROWS of it, chosen by the hash of the
-    id, calibrate the model.
+    Up to CALIBRATION_ROWS ids, at most a tenth of any language's, calibrate the model; all other rows are counted.
     """
     learnable = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id", "lang", "text")
-    spare = F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0
-    model = train(learnable.where(~spare))
+    chosen = F.broadcast(calibration_rows(learnable, CALIBRATION_ROWS))
+    model = train(learnable.join(chosen, ["lang", "doc_id"], "left_anti"))
     if model is not None:
-        ids = learnable.where(spare & F.col("lang").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
-        chosen = F.broadcast(ids.limit(CALIBRATION_ROWS).distinct())
-        calibrate(model, learnable.join(chosen, "doc_id", "left_semi"))
+        calibrate(model, learnable.join(chosen, ["lang", "doc_id"], "left_semi"))
     return predict(docs, model)

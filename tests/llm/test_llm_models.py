@@ -363,3 +363,16 @@ def test_language_model_is_whole_and_the_same_in_blocks(spark, corpus):
     assert one == more and len(one) == 73
     assert [lang for i, lang, _ in one if i < 70] == ["l000", *(k for k, _ in many)]
 
+
+def test_language_rows_beyond_the_calibration_are_counted(spark, monkeypatch):
+    ids = [r["id"] for r in spark.range(20_000).where("pmod(xxhash64(id), 10) = 0 AND crc32(CAST(id AS STRING)) % 3 <> 1").limit(12).collect()]
+    rows = [(i, "rare", f"zxq qzx xqz {'z' * (k + 1)}") for k, i in enumerate(ids)]
+    rows += [(100_000 + i, "common", f"the house of the {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    counted, whole = [], langid.train
+    monkeypatch.setattr(langid, "train", lambda texts: counted.append(texts.count()) or whole(texts))
+    monkeypatch.setattr(langid, "CALIBRATION_ROWS", 5)
+    report = {r["doc_id"]: r["lang_pred"] for r in langid.language_report(docs).collect()}
+    usable = docs.where("crc32(CAST(doc_id AS STRING)) % 3 <> 1").count()
+    assert counted == [usable - 5] and all(report[i] == "rare" for i in ids)
+
