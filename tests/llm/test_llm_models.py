@@ -12,7 +12,6 @@ import xxhash
 from pyspark.sql import functions as F
 
 from gradeline.llm import bpe, components, decontaminate, langid, lines, quality, rules, simhash, warc
-from gradeline.llm import near_copies as similar
 from gradeline.llm.frames import table
 
 SF = "/root/testdata/sf0.001"
@@ -78,10 +77,10 @@ def test_simhash(spark, corpus, monkeypatch):
     for blocks in (None, 5):
         got = sorted((tuple(r) for r in simhash.near_duplicates(docs, blocks=blocks).collect()), key=str)
         assert got == plain_components(rows)
-    kept = simhash.one_per_component(docs, simhash.near_duplicates(docs))
+    kept = simhash.first_of_each(docs)
     firsts = {c for _, _, c in plain_components(rows)} - {None}
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(firsts)
-    assert kept.where("doc_id IS NULL").count() == 2 and kept.columns == docs.columns
+    assert [r["text"] for r in kept.where("doc_id IS NULL").collect()] == ["lone row"] and kept.columns == docs.columns
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
@@ -271,58 +270,36 @@ def test_pipeline(spark, corpus):
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality rules" and bpe.token_report(seen).columns == got.columns
 
 
-def jaccard_components(rows, size=5, least=0.8):
-    """The sets of positions that brute-force Jaccard joins."""
-    sets = []
-    for _, text in rows:
-        words = "".join(c.lower() if c.isascii() else c for c in text or "").split()
-        sets.append({" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set())
-    root = list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i, j in combinations(range(len(rows)), 2):
-        if sets[i] == sets[j] or len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
-            root[find(i)] = find(j)
-    groups = {}
-    for i in range(len(rows)):
-        groups.setdefault(find(i), set()).add(i)
-    return sorted(map(sorted, groups.values()))
-
-
-def edited_copies(rng):
-    """Texts in groups whose similarity runs from about 0.6 to 1, and short, empty and equal ones."""
-    texts = []
-    for g in range(12):
-        base = [f"g{g}w{rng.randrange(300)}" for _ in range(rng.choice([8, 40, 200]))]
-        for _ in range(10):
-            words = list(base)
-            for _ in range(rng.randrange(1 + len(base) // 20)):
-                words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
-            texts.append(" ".join(words))
-    passage = " ".join(f"common{i}" for i in range(30))
-    texts += [f"{passage} " + " ".join(f"u{i}x{k}" for k in range(rng.choice([2, 4, 30]))) for i in range(40)]
-    return [*texts, None, "", " \n", "one two", "One  two", texts[0], texts[0].upper()]
-
-
-def test_near_dedup_stage_finds_all_pairs_of_similarity(spark, monkeypatch):
-    texts = edited_copies(random.Random(6))
-    rows = list(enumerate(texts))
-    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    expected = jaccard_components(rows)
-    assert len(rows) > len(expected) > 40
-    for crowd in (similar.CROWD, 3):  # without and with crowded keys
-        monkeypatch.setattr(similar, "CROWD", crowd)
-        groups = {}
-        for r in similar.near_copies(docs).collect():
-            groups.setdefault(r["component"], []).append(r["doc_id"])
-        assert sorted(map(sorted, groups.values())) == expected
-    kept = corpus_pipeline.near_dedup(spark, docs, SF)
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(g[0] for g in expected)
-    assert similar.near_copies(docs.limit(0)).count() == 0
+def test_fingerprints_of_one_key_leave_a_forest():
+    rng = random.Random(6)
+    for n, flips in ((2, 1), (60, 2), (500, 3), (300, 12)):
+        centre = rng.getrandbits(64)
+        values = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(flips + 1))) for _ in range(n)}
+        values = np.array([*values, *[rng.getrandbits(64) for _ in range(20)]], np.uint64)
+        links = simhash.forest(values, 4)
+        assert len(links) < len(values)
+
+        def joined(pairs):
+            root = list(range(len(values)))
+            for a, b in pairs:
+                old, new = root[a], root[b]
+                root = [new if r == old else r for r in root]
+            groups = {}
+            for i, r in enumerate(root):
+                groups.setdefault(r, []).append(i)
+            return sorted(groups.values())
+
+        near = [(a, b) for a, b in combinations(range(len(values)), 2) if int(values[a] ^ values[b]).bit_count() <= 4]
+        assert joined(links.tolist()) == joined(near)
+
+
+def test_long_keys_have_few_fingerprints_and_few_copies():
+    assert [len(simhash.block_masks(4, simhash.blocks_for(n))) for n in (1, 10**6, 10**10)] == [5, 15, 35]
+    for mask in simhash.block_masks(4, 5):
+        longer = simhash.longer_masks(mask, 4)
+        assert len(longer) == 5 and all(m & mask == mask for m in longer)
+        extra = [m % 2**64 & ~mask for m in longer]
+        assert sum(extra) == ~mask % 2**64 and sum(e.bit_count() for e in extra) == 64 - (mask % 2**64).bit_count()
 
 
 def test_near_dedup_stage_keeps_each_text_once_whatever_its_id(spark):
