@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeline.llm import bpe, decontaminate, langid, lines, quality, rules, shards, simhash, token_counts, warc
+from gradeline.llm import (
+    bpe, decontaminate, langid, lines, merkle, periodic, quality, rules, shards, simhash, token_counts, warc,
+)
 from gradeline.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +37,8 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": over_documents(langid.language_report),
     "op9_token_counts": over_documents(token_counts.count_tokens),
     "op10_quality_classifier": quality_scores,
+    "op11_periodic_runs": over_documents(periodic.run_report),
+    "op13_merkle_manifest": over_documents(merkle.manifest_report),
 }
 
 ORACLES: dict[str, str] = {
@@ -42,4 +46,5 @@ ORACLES: dict[str, str] = {
     "op2_line_dedup": lines.REPORT_SQL,
     "op3_quality_rules": rules.REPORT_SQL,
     "op4_sharding": shards.REPORT_SQL,
+    "op13_merkle_manifest": merkle.REPORT_SQL,
 }
