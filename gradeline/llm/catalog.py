@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeline.llm import (
-    bpe, decontaminate, langid, lines, merkle, periodic, quality, rules, shards, simhash, token_counts, warc,
+    bpe, decontaminate, langid, lines, merkle, periodic, quality, rules, shards, shared_strings, simhash, token_counts,
+    warc,
 )
 from gradeline.llm.frames import table
 
@@ -38,6 +39,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": over_documents(token_counts.count_tokens),
     "op10_quality_classifier": quality_scores,
     "op11_periodic_runs": over_documents(periodic.run_report),
+    "op12_suffix_array_dedup": over_documents(shared_strings.removal_report),
     "op13_merkle_manifest": over_documents(merkle.manifest_report),
 }
 

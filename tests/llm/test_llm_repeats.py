@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gradeline.llm import merkle, periodic
+from gradeline.llm import merkle, periodic, shared_strings, suffixes
 from gradeline.llm.frames import table
 
 SF = "/root/testdata/sf0.001"
@@ -169,3 +169,98 @@ def test_manifest_of_pairs_names_every_altered_column(spark):
     assert all(r["folded"] == r["root"].hex() for r in same) and {r["size"] for r in same} == {13, 12}
     other = merkle.manifest(docs, ["id", "part", "value"], "part", "id", {"value": F.lit("v5")}, width=2).collect()
     assert [r["key"] for r in other if r["folded"] == r["root"].hex()] == [5]
+
+
+def test_suffix_arrays_and_prefixes(monkeypatch):
+    rng = random.Random(3)
+    for trial in range(600):
+        size = rng.choice([1, 2, 3, 20])
+        text = [rng.randrange(1, size + 1) for _ in range(rng.randrange(1, 60))] * rng.randrange(1, 4) + [0]
+        expected = sorted(range(len(text)), key=lambda i: text[i:])
+        for dense in (0, 10**9):  # all scans by whole arrays, then all by symbols
+            monkeypatch.setattr(suffixes, "DENSE", dense)
+            assert suffixes.suffix_array(np.array(text), size + 1).tolist() == expected
+        prefixes = suffixes.permuted_prefixes(np.array(text, np.uint8), np.array(expected), 11)
+        for before, here in zip(expected, expected[1:]):
+            same = 0
+            while same < 11 and max(before, here) + same < len(text) and text[before + same] == text[here + same]:
+                same += 1
+            assert prefixes[here] == same
+
+
+def test_equal_strings_have_equal_keys():
+    rng = random.Random(4)
+    passage = bytes(rng.randrange(97, 123) for _ in range(300))
+    owner = {}
+    for text in (b"x" * 40 + passage, passage + b"end", b"a" * 500, b"ab" * 300, b"s" * 49, b"t" * 50):
+        keys, starts, n = shared_strings.stretches(text)
+        assert n.sum() == max(0, len(text) - 49) and starts.tolist() == (np.cumsum(n) - n).tolist()
+        for key, start, count in zip(keys.tolist(), starts.tolist(), n.tolist()):
+            for i in range(start, start + count):
+                assert owner.setdefault(text[i : i + 50], key) == key
+    assert len(shared_strings.stretches(b"a" * 500)[0]) < 60
+
+
+def plain_removal(rows):
+    """Rows of the report for (doc_id, text)."""
+    first = {}
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        for i in range(len(data) - 49):
+            key = data[i : i + 50]
+            first[key] = min(first.get(key, 2**63 - 1), 2**63 - 1 if doc_id is None else doc_id)
+    out = []
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        gone = bytearray(len(data) + 1)
+        for i in range(len(data) - 49):
+            if first[data[i : i + 50]] < (2**63 - 1 if doc_id is None else doc_id):
+                gone[i : i + 50] = b"\1" * 50
+        spans = sum(gone[i] and not gone[i - 1] for i in range(len(data)))
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        out.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def planted(seed):
+    rng = random.Random(seed)
+    prose = lambda n: " ".join("".join(rng.choice("aeinrst") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    passages = [prose(rng.choice([8, 12, 30, 60])) for _ in range(5)] + ["\u00e4\u00f6\u20ac\U0001f600" * 20, "-" * 200, "ab" * 60]
+    rows = []
+    for i in range(90):
+        parts = [prose(rng.randrange(20))]
+        for _ in range(rng.randrange(4)):
+            passage = rng.choice(passages)
+            low = rng.randrange(len(passage) // 3)
+            parts += [passage[low : rng.randrange(low + 1, len(passage) + 1)], prose(rng.randrange(10))]
+        rows.append((i * 3 % 91, rng.choice([" ", "", "\n"]).join(parts)))
+    rows += [(100 + i, rows[i % 4][1]) for i in range(12)] + [(200, None), (201, ""), (202, "short"), (203, "x" * 49), (204, "x" * 50), (205, "x" * 500)]
+    return rows
+
+
+def test_shared_strings_go(spark, corpus, monkeypatch):
+    rows = planted(7)
+    odd = [(None, rows[0][1]), (None, rows[0][1]), (None, "lone row " * 20), (5, rows[1][1]), (5, "again " * 30), (5, "again " * 30), (6, "again " * 30)]
+    ddl = "doc_id long, text string, id int, tie string, copy int"
+    for some in (rows, rows + odd):
+        docs = spark.createDataFrame([(*r, 1, "x", 2) for r in some], ddl)
+        got = sorted((tuple(r) for r in shared_strings.removal_report(docs).collect()), key=str)
+        assert got == plain_removal(some)
+    assert sum(r[2] > 0 for r in got) > 40
+    assert shared_strings.removal_report(docs.limit(0)).count() == 0
+    found = {r["doc_id"]: r for r in shared_strings.remove_shared(docs).collect()}
+    texts = dict(rows)
+    whole = texts[205].encode()
+    assert [tuple(s) for s in found[205]["removed"]] == [(0, 500)] and found[205]["kept"] == b"" and whole == b"x" * 500
+    got = sorted((tuple(r) for r in shared_strings.removal_report(corpus).collect()), key=str)
+    assert got == plain_removal(pairs(corpus))
+
+
+def test_shared_strings_of_crowded_and_frequent_keys(spark, monkeypatch):
+    rows = planted(8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = plain_removal(rows)
+    # Keys of four contexts are replaced, shards are small, most shared keys are frequent, buckets are many.
+    for name, value in (("CROWD", 3), ("SHARD_BYTES", 500), ("OFTEN", 2), ("BUCKET_STRETCHES", 100)):
+        monkeypatch.setattr(shared_strings, name, value)
+        assert sorted((tuple(r) for r in shared_strings.removal_report(docs).collect()), key=str) == expected
