@@ -2,8 +2,9 @@
 
 Every string of ``length`` bytes belongs to one stretch of its text: consecutive strings whose smallest hash of ``gram``
 bytes is the same. The hash depends on the string alone, so equal strings have equal keys wherever they are. Keys that one
-document alone has are sifted out. What is left, the different contexts of each key, is dealt to shards; each shard's suffix
-array is induced linearly, and its permuted common prefixes tell which strings are equal and the smallest id that has them.
+text alone has are sifted out. What is left, the different contexts of each key, is dealt to shards. Contexts that no other
+one of their key resembles have nothing to be compared with; of the others each shard's suffix array is induced
+linearly, and its permuted common prefixes tell which strings are equal and the smallest id that has them.
 
 Nothing grows with a group of copies: keys travel in sorted blocks, keys that many documents have are known from a sample
 and do not travel at all, equal contexts are combined before they are shuffled, and a key with too many
@@ -18,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeline.llm.frames import LAST_ID, id_key, map_batches
@@ -34,23 +35,27 @@ SAMPLE_BYTES = 64 << 20
 #: Such a key is in this share of the sample's documents, and in OFTEN of them at least.
 SHARE, OFTEN = 1 / 1000, 20
 #: Stretches that one task compares at a time, and bytes of a shard.
-BUCKET_STRETCHES = 2_000_000
-SHARD_BYTES = 2 << 20
+BUCKET_STRETCHES = 1_000_000
+SHARD_BYTES = 256 << 10
 #: Contexts of one key beyond which the key is replaced.
 CROWD = 20_000
 KEY_BITS = 48
 
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
+#: An odd number and its inverse modulo 2 ** 16: places in an order without pattern, and back.
+_SHUFFLE = 40503
+_BACK = pow(_SHUFFLE, -1, 1 << 16)
 
 
-def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, start, n): all strings of ``length`` bytes, as stretches of ``n`` that start next to each other.
+def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, start, n, place): all strings of ``length`` bytes, as stretches of ``n`` that start next to each other, and
+    where the bytes of the smallest hash begin.
 
-    Among equal hashes a pseudo-random order of places decides, so that long repeats have long stretches too.
+    Among equal hashes a shuffled order of places decides, so that long repeats have long stretches too.
     """
     n, window = len(data) - gram + 1, length - gram + 1
     if len(data) < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
     bytes_ = np.frombuffer(data, np.uint8)
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(bytes_, 8)).view("<u8").ravel()
     h = np.zeros(n, np.uint64)
@@ -59,7 +64,7 @@ def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
         h ^= h >> np.uint64(29)
     h *= _MIX[1]
     h ^= h >> np.uint64(32)
-    tie = (np.arange(n, dtype=np.uint64) * _MIX[0]) >> np.uint64(KEY_BITS)
+    tie = (np.arange(n, dtype=np.uint64) * np.uint64(_SHUFFLE)) & np.uint64(0xFFFF)
     least, width = (h & ~np.uint64(0xFFFF)) | tie, 1
     while 2 * width <= window:
         least = np.minimum(least[:-width], least[width:])
@@ -67,10 +72,14 @@ def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
     if window > width:
         least = np.minimum(least[: width - window], least[window - width :])
     starts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    return least[starts] >> np.uint64(64 - KEY_BITS), starts, np.diff(np.append(starts, len(least)))
+    place = (least[starts] & np.uint64(0xFFFF)).astype(np.int64) * _BACK
+    return (
+        least[starts] >> np.uint64(64 - KEY_BITS), starts, np.diff(np.append(starts, len(least))),
+        starts + (place - starts) % (1 << 16),
+    )
 
 
-def per_document(texts: list[bytes | None]) -> Iterator[tuple[int, bytes, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+def per_document(texts: list[bytes | None]) -> Iterator[tuple[int, bytes, tuple[np.ndarray, ...]]]:
     for row, data in enumerate(texts):
         if data and len(data) >= LENGTH:
             yield row, data, stretches(data)
@@ -82,7 +91,7 @@ def frequent_keys(texts: DataFrame, n_bytes: int) -> np.ndarray:
     sample = texts.where(F.pmod(F.xxhash64(F.lit("sample"), "id", "tie"), F.lit(parts)) == 0)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.unique(keys) for _, _, (keys, _, _) in per_document(batch.column(0).cast(pa.binary()).to_pylist())]
+        found = [np.unique(keys) for _, _, (keys, *_) in per_document(batch.column(0).cast(pa.binary()).to_pylist())]
         keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], names=["key", "n"])
 
@@ -111,7 +120,7 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
 
 
 def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
-    """(id, tie, places): the stretches of a text, by number, whose key a document of another id has.
+    """(id, tie, places): the stretches of a text, by number, whose key a text with another ``tie`` has.
 
     Keys are compared by as many bits as make chance matches rare. They travel to buckets as sorted blocks, one for each
     bucket and batch; frequent keys do not travel.
@@ -122,7 +131,7 @@ def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, rows, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for row, _, (found, _, _) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
+        for row, _, (found, *_) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
             kept = np.flatnonzero(~among(found, frequent.value))
             keys.append(found[kept] >> np.uint64(KEY_BITS - bits))
             rows.append(np.full(len(kept), row))
@@ -155,8 +164,8 @@ def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
         order = np.argsort(keys, kind="stable")
         keys, rows, places = keys[order], rows[order], places[order]
         starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        doc = ids[rows]
-        several = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+        owner = ties[rows]
+        several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
         several = np.repeat(several, np.diff(np.append(starts, len(keys))))
         rows, places = rows[several], places[several]
         order = np.argsort(rows, kind="stable")
@@ -166,39 +175,44 @@ def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
         return pd.DataFrame({"id": ids[rows[starts]], "tie": ties[rows[starts]], "places": parts})
 
     blocks = map_batches(texts, ["id", "tie", "text"], spread,
-                         "bucket int, ids array<long>, ties array<long>, keys binary, rows binary, places binary", rows=256)
+                         "bucket int, ids array<long>, ties array<long>, keys binary, rows binary, places binary", rows=128)
     found = blocks.groupBy("bucket").applyInPandas(compare, "id long, tie long, places binary")
     return found.groupBy("id", "tie").agg(F.collect_list("places").alias("places"))
 
 
-def contexts(texts: DataFrame, shared: DataFrame, frequent) -> DataFrame:
-    """(key, hash, id, tie, start, n, body): a row for each shared stretch, with the bytes of its ``n`` strings.
+def contexts(texts: DataFrame, shared: DataFrame, copies: DataFrame, frequent) -> DataFrame:
+    """(key, hash, id, tie, start, place, body): a row for each shared stretch, with the bytes of its strings and where in
+    them those of the key are. Of equal texts one has rows.
 
     Key and hash stand for the bytes; only the first row of a batch that has them carries them.
     """
-    joined = texts.join(shared, ["id", "tie"], "left").select("id", "tie", "text", "places")
+    known = shared.select("id", "tie", "places", F.lit(False).alias("copy")).unionByName(
+        copies.select("id", "tie", F.lit(None).cast("array<binary>").alias("places"), F.lit(True).alias("copy"))
+    ).groupBy("id", "tie").agg(F.max("copy").alias("copy"), F.max("places").alias("places"))
+    joined = texts.join(known, ["id", "tie"], "left").where("copy IS NULL OR NOT copy").select("id", "tie", "text", "places")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
         seen = set()
         ids, ties, places = (batch.column(i).to_pylist() for i in (0, 1, 3))
-        for row, data, (keys, starts, n) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
+        for row, data, (keys, *found) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
             wanted = among(keys, frequent.value)
             for packed in places[row] or ():
                 wanted[from_planes(packed, 4).astype(np.int64)] = True
-            for key, start, count in zip(keys[wanted].astype(np.int64).tolist(), starts[wanted].tolist(), n[wanted].tolist()):
+            columns = (x[wanted].astype(np.int64).tolist() for x in (keys, *found))
+            for key, start, count, place in zip(*columns):
                 body = data[start : start + count + LENGTH - 1]
                 name = key, signed_hash(body)
-                out.append((*name, ids[row], ties[row], start, count, None if name in seen else body))
+                out.append((*name, ids[row], ties[row], start, place - start, None if name in seen else body))
                 seen.add(name)
         columns = list(zip(*out)) or [()] * 7
         kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "hash", "id", "tie", "start", "n", "body"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "hash", "id", "tie", "start", "place", "body"]
         )
 
     return map_batches(joined, ["id", "tie", "text", "places"], run,
-                       "key long, hash long, id long, tie long, start int, n int, body binary", rows=256)
+                       "key long, hash long, id long, tie long, start int, place int, body binary", rows=256)
 
 
 def signed_hash(body: bytes) -> int:
@@ -232,31 +246,62 @@ def first_owners(bodies: list[bytes], lows: np.ndarray) -> np.ndarray:
     return out[whole]
 
 
+def alike(bodies: list[bytes], places: list[int]) -> list[int]:
+    """Numbers of the contexts of one key that another one may share a string with.
+
+    A string holds the key's bytes and at least half of its other bytes on one side of them, so contexts that share a string agree
+    on one of these. Where the key's bytes are in a context twice, strings may be shared out of step; it always stays.
+    """
+    if len(bodies) == 1:
+        return []
+    half = (LENGTH - GRAM) // 2
+    sides: list[dict[bytes, list[int]]] = [{}, {}]
+    stay = set()
+    for i, (body, at) in enumerate(zip(bodies, places)):
+        own = body[at : at + GRAM]
+        if body.find(own) < at or body.find(own, at + 1) >= 0:
+            stay.add(i)
+        if at >= half:
+            sides[0].setdefault(body[at - half : at + GRAM], []).append(i)
+        if at + GRAM + half <= len(body):
+            sides[1].setdefault(body[at : at + GRAM + half], []).append(i)
+    for side in sides:
+        for some in side.values():
+            if len(some) > 1:
+                stay.update(some)
+    return sorted(stay) if len(stay) > 1 else []
+
+
 def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
     """(key, hash, parts): the stretches of each context's strings that some document of it may lose.
 
-    ``distinct`` has (key, hash, body, low, high), the bytes and the smallest and largest id of each context. A part
+    ``distinct`` has (key, hash, body, place, low, high), the bytes and the smallest and largest id of each context. A part
     is (at, n, low): ``n`` strings from number ``at`` on, and the smallest id that has them. All contexts of a key
     go to one shard.
     """
     reach_package(distinct.sparkSession)
 
     def judge(rows: list[tuple]) -> pa.RecordBatch:
-        keys, hashes, bodies, lows, highs = zip(*rows)
-        least = first_owners(list(bodies), np.array(lows, np.int64))
+        keys, hashes, bodies, places, lows, highs = zip(*rows)
+        edges = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]] + [len(keys)]
+        compared = [a + i for a, z in zip(edges, edges[1:]) for i in alike(bodies[a:z], places[a:z])]
+        counts = {i: len(bodies[i]) - LENGTH + 1 for i in compared}
+        found = np.zeros(0, np.int64)
+        if compared:
+            found = first_owners([bodies[i] for i in compared], np.array([lows[i] for i in compared], np.int64))
+        owned = dict(zip(compared, np.split(found, np.cumsum(list(counts.values()))[:-1])))
         out = []
-        first = 0
-        for key, hash_, body, high in zip(keys, hashes, bodies, highs):
+        for i, (key, hash_, body, low, high) in enumerate(zip(keys, hashes, bodies, lows, highs)):
             n = len(body) - LENGTH + 1
-            own = least[first : first + n]
-            first += n
-            starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            parts = [
-                {"at": at, "n": size, "low": low}
-                for at, size, low in zip(starts.tolist(), np.diff(np.append(starts, n)).tolist(), own[starts].tolist()) if low < high
-            ]
+            if i in owned:
+                own = owned[i]
+                starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                sizes = np.diff(np.append(starts, n))
+                parts = [(a, m, o) for a, m, o in zip(starts.tolist(), sizes.tolist(), own[starts].tolist()) if o < high]
+            else:
+                parts = [(0, n, low)] if low < high else []
             if parts:
-                out.append({"key": key, "hash": hash_, "parts": parts})
+                out.append({"key": key, "hash": hash_, "parts": [{"at": a, "n": m, "low": o} for a, m, o in parts]})
         part = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("low", pa.int64())])
         return pa.RecordBatch.from_pylist(out, schema=pa.schema([("key", pa.int64()), ("hash", pa.int64()), ("parts", pa.list_(part))]))
 
@@ -264,7 +309,7 @@ def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
         rows: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if size >= SHARD_BYTES and row[0] != rows[-1][0]:
                     yield judge(rows)
                     rows, size = [], 0
@@ -273,13 +318,16 @@ def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
         if rows:
             yield judge(rows)
 
-    dealt = distinct.select("key", "hash", "body", "low", "high").repartition(n_shards, "key").sortWithinPartitions("key", "hash")
+    columns = ["key", "hash", "body", "place", "low", "high"]
+    dealt = distinct.select(*columns).repartition(n_shards, "key").sortWithinPartitions("key", "hash")
     return dealt.mapInArrow(run, "key long, hash long, parts array<struct<at: int, n: int, low: bigint>>")
 
 
 def distinct_contexts(pieces: DataFrame, low: str = "id", high: str = "id") -> DataFrame:
     """(key, hash, low, high, body): the contexts with the smallest and largest id that has them."""
-    return pieces.groupBy("key", "hash").agg(F.min(low).alias("low"), F.max(high).alias("high"), F.max("body").alias("body"))
+    return pieces.groupBy("key", "hash").agg(
+        F.min(low).alias("low"), F.max(high).alias("high"), F.max("body").alias("body"), F.max("place").alias("place")
+    )
 
 
 def single_strings(distinct: DataFrame) -> DataFrame:
@@ -292,14 +340,14 @@ def single_strings(distinct: DataFrame) -> DataFrame:
                 own = body[at : at + LENGTH]
                 h = xxhash.xxh3_128_intdigest(own)
                 new = [x - (1 << 64) if x >> 63 else x for x in (h & (1 << 64) - 1, h >> 64)]
-                out.append((*new, low, high, own, key, hash_, at))
-        columns = list(zip(*out)) or [()] * 8
-        kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * 2 + [pa.int32()]
-        names = ["key", "hash", "low", "high", "body", "old_key", "old_hash", "at"]
+                out.append((*new, low, high, own, 0, key, hash_, at))
+        columns = list(zip(*out)) or [()] * 9
+        kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32()] + [pa.int64()] * 2 + [pa.int32()]
+        names = ["key", "hash", "low", "high", "body", "place", "old_key", "old_hash", "at"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return map_batches(distinct, ["key", "hash", "body", "low", "high"], run,
-                       "key long, hash long, low long, high long, body binary, old_key long, old_hash long, at int")
+                       "key long, hash long, low long, high long, body binary, place int, old_key long, old_hash long, at int")
 
 
 def owners(pieces: DataFrame, n_shards: int) -> DataFrame:
@@ -311,7 +359,7 @@ def owners(pieces: DataFrame, n_shards: int) -> DataFrame:
     strings = keep(single_strings(distinct_contexts(pieces.join(crowds, "key", "left_semi"))), "single_strings")
     found = solved(distinct_contexts(strings, "low", "high"), n_shards).select("key", "hash", F.col("parts")[0]["low"].alias("low"))
     part = F.struct("at", F.lit(1).alias("n"), "low")
-    split = strings.drop("low", "high", "body").join(found, ["key", "hash"]).groupBy("old_key", "old_hash").agg(F.collect_list(part).alias("parts"))
+    split = strings.drop("low", "high", "body", "place").join(found, ["key", "hash"]).groupBy("old_key", "old_hash").agg(F.collect_list(part).alias("parts"))
     return plain.unionByName(split.select(F.col("old_key").alias("key"), F.col("old_hash").alias("hash"), "parts"))
 
 
@@ -336,28 +384,22 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), id_key(doc_id).alias("id"), F.col(f"`{text}`").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    repeated = not rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    tie = F.xxhash64("text") if repeated else F.lit(0).cast("long")
-    # Equal texts are looked at once: of each the smallest id, all others lose everything that is long enough.
-    digest: Column = F.unhex(F.md5("text"))
-    equal = keep(
-        rows.where(F.octet_length("text") >= LENGTH).groupBy(digest.alias("digest"))
-        .agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1").select("digest", "least"), "equal_texts",
-    )
-    marked = rows.withColumns({"tie": tie, "digest": digest}).join(equal, "digest", "left").withColumn(
-        "copy", F.coalesce(F.col("id") > F.col("least"), F.lit(False))
-    )
-    texts = marked.where(~F.col("copy") & (F.octet_length("text") >= LENGTH)).select("id", "tie", "text")
+    marked = rows.withColumn("tie", F.xxhash64("text"))
+    # Equal texts are looked at once: all but that of the smallest id lose everything if they are long enough.
+    texts = marked.where(F.octet_length("text") >= LENGTH).select("id", "tie", "text")
+    named = keep(texts.select("id", "tie", F.unhex(F.md5("text")).alias("digest")), "names")
+    equal = named.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    copies = keep(named.join(equal, "digest").where(F.col("id") > F.col("least")).select("id", "tie").distinct(), "copies")
     frequent = spark.sparkContext.broadcast(frequent_keys(texts, size))
     shared = keep(shared_stretches(texts, size, frequent), "shared_stretches")
-    pieces = keep(contexts(texts, shared, frequent), "contexts")
+    pieces = keep(contexts(texts, shared, copies, frequent), "contexts")
     bodies = pieces.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
-    found = keep(owners(pieces, max(1, -(-bodies // (4 * SHARD_BYTES)))), "owners")
+    found = keep(owners(pieces, max(1, -(-bodies // (16 * SHARD_BYTES)))), "owners")
     lost = F.transform(
         F.filter("parts", lambda p: p["low"] < F.col("id")), lambda p: F.struct((F.col("start") + p["at"]).alias("start"), p["n"].alias("n"))
     )
     ranges = keep(
-        pieces.drop("body", "n").join(found, ["key", "hash"]).select("id", "tie", lost.alias("lost")).where(F.size("lost") > 0)
+        pieces.drop("body", "place").join(found, ["key", "hash"]).select("id", "tie", lost.alias("lost")).where(F.size("lost") > 0)
         .groupBy("id", "tie").agg(F.flatten(F.collect_list("lost")).alias("lost")), "lost",
     )
 
@@ -385,7 +427,8 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         )
 
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    whole = marked.join(ranges, ["id", "tie"], "left").withColumn("n_bytes", n_bytes)
+    gone = ranges.withColumn("copy", F.lit(False)).unionByName(copies.select("id", "tie", F.lit(None).alias("lost"), F.lit(True).alias("copy")))
+    whole = marked.join(gone, ["id", "tie"], "left").withColumns({"n_bytes": n_bytes, "copy": F.coalesce("copy", F.lit(False))})
     return map_batches(whole, ["doc_id", "text", "copy", "lost", "n_bytes"], run,
                        "doc_id long, n_bytes long, kept binary, removed array<struct<start: bigint, end: bigint>>")
 

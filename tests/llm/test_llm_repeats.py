@@ -193,7 +193,8 @@ def test_equal_strings_have_equal_keys():
     passage = bytes(rng.randrange(97, 123) for _ in range(300))
     owner = {}
     for text in (b"x" * 40 + passage, passage + b"end", b"a" * 500, b"ab" * 300, b"s" * 49, b"t" * 50):
-        keys, starts, n = shared_strings.stretches(text)
+        keys, starts, n, places = shared_strings.stretches(text)
+        assert all(s + m - 1 <= p <= s + 26 for s, m, p in zip(starts, n, places))
         assert n.sum() == max(0, len(text) - 49) and starts.tolist() == (np.cumsum(n) - n).tolist()
         for key, start, count in zip(keys.tolist(), starts.tolist(), n.tolist()):
             for i in range(start, start + count):
