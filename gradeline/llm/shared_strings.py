@@ -73,10 +73,11 @@ def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
         least = np.minimum(least[: width - window], least[window - width :])
     starts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
     place = (least[starts] & np.uint64(0xFFFF)).astype(np.int64) * _BACK
-    return (
-        least[starts] >> np.uint64(64 - KEY_BITS), starts, np.diff(np.append(starts, len(least))),
-        starts + (place - starts) % (1 << 16),
-    )
+    # Smallest hashes are small numbers; keys are dealt evenly.
+    key = (least[starts] >> np.uint64(16)) * _MIX[0]
+    key = (key ^ (key >> np.uint64(32))) * _MIX[1]
+    n = np.diff(np.append(starts, len(least)))
+    return key >> np.uint64(64 - KEY_BITS), starts, n, starts + (place - starts) % (1 << 16)
 
 
 def per_document(texts: list[bytes | None]) -> Iterator[tuple[int, bytes, tuple[np.ndarray, ...]]]:
