@@ -80,6 +80,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*kept: DataFrame) -> None:
+    """Remove tables that ``keep`` wrote, once what was made of them is itself written."""
+    for df in kept:
+        spark = df.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def has_rows(df: DataFrame) -> bool:
     """Whether there is a row at all, without counting them."""
     return not df.isEmpty()
