@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gradeline.llm.frames import LAST_ID, id_key, map_batches
 from gradeline.llm.suffixes import permuted_prefixes, suffix_array
 from gradeline.session import reach_package
-from gradeline.sources.tables import keep
+from gradeline.sources.tables import discard, keep
 
 LENGTH = 50
 #: Bytes that are hashed for keys; longer ones repeat less by chance and make shorter stretches.
@@ -121,18 +121,19 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
 
 
 def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
-    """(id, tie, places): the stretches of a text, by number, whose key a text with another ``tie`` has.
+    """(tie, places): the stretches of a text, by number, whose key a text with another ``tie`` has.
 
     Keys are compared by as many bits as make chance matches rare. They travel to buckets as sorted blocks, one for each
-    bucket and batch; frequent keys do not travel.
+    bucket that a batch has keys for; frequent keys do not travel.
     """
     n_buckets = max(1, -(-n_bytes // (12 * BUCKET_STRETCHES)))
     bits = min(KEY_BITS, max(32, n_bytes.bit_length() + 10))
     width = -(-bits // 8)
+    bounds = np.array([-(-(b << bits) // n_buckets) for b in range(n_buckets)], np.uint64)
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, rows, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for row, _, (found, *_) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
+        for row, _, (found, *_) in per_document(batch.column(1).cast(pa.binary()).to_pylist()):
             kept = np.flatnonzero(~among(found, frequent.value))
             keys.append(found[kept] >> np.uint64(KEY_BITS - bits))
             rows.append(np.full(len(kept), row))
@@ -140,87 +141,80 @@ def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
         key, row, place = map(np.concatenate, (keys, rows, places))
         order = np.argsort(key, kind="stable")
         key, row, place = key[order], row[order], place[order]
-        ids = pa.array([batch.column(0).to_pylist()] * n_buckets, pa.list_(pa.int64()))
-        ties = pa.array([batch.column(1).to_pylist()] * n_buckets, pa.list_(pa.int64()))
-        bounds = [-(-(b << bits) // n_buckets) for b in range(n_buckets + 1)]
-        cuts = np.searchsorted(key, np.array(bounds[:-1], np.uint64)).tolist() + [len(key)]
-        blocks = [(planes(key[a:z], width), planes(row[a:z], 2), planes(place[a:z], 4)) for a, z in zip(cuts, cuts[1:])]
-        columns = [pa.array(list(c), pa.binary()) for c in zip(*blocks)]
+        cuts = np.append(np.searchsorted(key, bounds), len(key)).tolist()
+        ties, out = batch.column(0).to_numpy(), []
+        for bucket, (a, z) in enumerate(zip(cuts, cuts[1:])):
+            if z > a:
+                used, local = np.unique(row[a:z], return_inverse=True)
+                out.append((bucket, ties[used].tobytes(), planes(key[a:z], width), planes(local, 2), planes(place[a:z], 4)))
+        columns = list(zip(*out)) or [()] * 5
         return pa.RecordBatch.from_arrays(
-            [pa.array(range(n_buckets), pa.int32()), ids, ties, *columns], names=["bucket", "ids", "ties", "keys", "rows", "places"]
+            [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+            names=["bucket", "ties", "keys", "rows", "places"],
         )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        ids, ties, rows, first = [], [], [], 0
-        for some, some_ties, packed in zip(group["ids"], group["ties"], group["rows"]):
-            rows.append(from_planes(packed, 2).astype(np.int64) + first)
-            ids.append(some)
-            ties.append(some_ties)
-            first += len(some)
-        ids, ties, rows = np.concatenate(ids), np.concatenate(ties), np.concatenate(rows)
+        blocks = [
+            np.frombuffer(ties, np.int64)[from_planes(rows, 2).astype(np.int64)] for ties, rows in zip(group["ties"], group["rows"])
+        ]
+        ties = np.concatenate(blocks)
         keys = np.concatenate([from_planes(x, width) for x in group["keys"]])
-        places = np.concatenate([from_planes(x, 4) for x in group["places"]]).astype(np.int64)
-        if not len(keys):
-            return pd.DataFrame({"id": [], "tie": [], "places": []})
+        places = np.concatenate([from_planes(x, 4).astype(np.int32) for x in group["places"]])
         order = np.argsort(keys, kind="stable")
-        keys, rows, places = keys[order], rows[order], places[order]
+        keys, ties, places = keys[order], ties[order], places[order]
         starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        owner = ties[rows]
-        several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
+        several = np.minimum.reduceat(ties, starts) != np.maximum.reduceat(ties, starts)
         several = np.repeat(several, np.diff(np.append(starts, len(keys))))
-        rows, places = rows[several], places[several]
-        order = np.argsort(rows, kind="stable")
-        rows, places = rows[order], places[order]
-        starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])[: len(rows)])
-        parts = [planes(p, 4) for p in np.split(places, starts[1:])] if len(rows) else []
-        return pd.DataFrame({"id": ids[rows[starts]], "tie": ties[rows[starts]], "places": parts})
+        return pd.DataFrame({"tie": ties[several], "place": places[several]})
 
-    blocks = map_batches(texts, ["id", "tie", "text"], spread,
-                         "bucket int, ids array<long>, ties array<long>, keys binary, rows binary, places binary", rows=128)
-    found = blocks.groupBy("bucket").applyInPandas(compare, "id long, tie long, places binary")
-    return found.groupBy("id", "tie").agg(F.collect_list("places").alias("places"))
+    blocks = map_batches(texts, ["tie", "text"], spread, "bucket int, ties binary, keys binary, rows binary, places binary", rows=256)
+    found = blocks.groupBy("bucket").applyInPandas(compare, "tie long, place int")
+    return found.groupBy("tie").agg(F.collect_list("place").alias("places"))
 
 
-def contexts(texts: DataFrame, shared: DataFrame, copies: DataFrame, frequent) -> DataFrame:
+def contexts(texts: DataFrame, shared: DataFrame, equal: DataFrame, frequent) -> DataFrame:
     """(key, hash, id, tie, start, place, body): a row for each shared stretch, with the bytes of its strings and where in
-    them those of the key are. Of equal texts one has rows.
+    them those of the key are. Of the texts that ``equal`` (tie, digest, least) names, those of the smallest id have rows.
 
     Key and hash stand for the bytes; only the first row of a batch that has them carries them.
     """
-    known = shared.select("id", "tie", "places", F.lit(False).alias("copy")).unionByName(
-        copies.select("id", "tie", F.lit(None).cast("array<binary>").alias("places"), F.lit(True).alias("copy"))
-    ).groupBy("id", "tie").agg(F.max("copy").alias("copy"), F.max("places").alias("places"))
-    joined = texts.join(known, ["id", "tie"], "left").where("copy IS NULL OR NOT copy").select("id", "tie", "text", "places")
+    none = F.lit(None)
+    known = shared.select("tie", "places", none.cast("struct<digest: binary, least: bigint>").alias("same")).unionByName(
+        equal.select("tie", none.cast("array<int>").alias("places"), F.struct("digest", "least").alias("same"))
+    ).groupBy("tie").agg(F.max("places").alias("places"), F.collect_list("same").alias("same"))
+    copy = F.exists("same", lambda e: (F.col("id") > e["least"]) & (e["digest"] == F.unhex(F.md5("text"))))
+    joined = texts.join(known, "tie", "left").where(~F.coalesce((F.size("same") > 0) & copy, F.lit(False)))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[tuple] = []
-        seen = set()
-        ids, ties, places = (batch.column(i).to_pylist() for i in (0, 1, 3))
-        for row, data, (keys, *found) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
+        ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        parts: list[list] = [[np.zeros(0, np.int64)] for _ in range(5)]
+        bodies: list[bytes] = []
+        for row, data, (keys, starts, n, places) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
             wanted = among(keys, frequent.value)
-            for packed in places[row] or ():
-                wanted[from_planes(packed, 4).astype(np.int64)] = True
-            columns = (x[wanted].astype(np.int64).tolist() for x in (keys, *found))
-            for key, start, count, place in zip(*columns):
-                body = data[start : start + count + LENGTH - 1]
-                name = key, signed_hash(body)
-                out.append((*name, ids[row], ties[row], start, place - start, None if name in seen else body))
-                seen.add(name)
-        columns = list(zip(*out)) or [()] * 7
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
+            listed = batch.column(3)[row]
+            if listed.is_valid:
+                chosen = listed.values.to_numpy()
+                wanted[chosen[chosen < len(keys)]] = True
+            starts, ends = starts[wanted], (starts + n)[wanted] + LENGTH - 1
+            bodies += [data[a:z] for a, z in zip(starts.tolist(), ends.tolist())]
+            for part, values in zip(parts, (
+                keys[wanted].astype(np.int64), np.full(len(starts), ids[row]), np.full(len(starts), ties[row]), starts, places[wanted] - starts
+            )):
+                part.append(values)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, bodies), np.uint64, len(bodies)).view(np.int64)
+        first = np.ones(len(bodies), bool)
+        first[np.unique(hashes, return_index=True)[1]] = False  # the mask of what is left out
+        key, id_, tie, start, place = map(np.concatenate, parts)
+        columns = [key, hashes, id_, tie, start.astype(np.int32), place.astype(np.int32)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "hash", "id", "tie", "start", "place", "body"]
+            [*map(pa.array, columns), pa.array(bodies, pa.binary(), mask=first) if bodies else pa.array([], pa.binary())],
+            names=["key", "hash", "id", "tie", "start", "place", "body"],
         )
 
     return map_batches(joined, ["id", "tie", "text", "places"], run,
                        "key long, hash long, id long, tie long, start int, place int, body binary", rows=256)
 
 
-def signed_hash(body: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(body)
-    return h - (1 << 64) if h >> 63 else h
-
-
 def first_owners(bodies: list[bytes], lows: np.ndarray) -> np.ndarray:
     """For every string of LENGTH bytes of the contexts, context after context, the smallest id that has it.
 
@@ -285,26 +279,34 @@ def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
     def judge(rows: list[tuple]) -> pa.RecordBatch:
         keys, hashes, bodies, places, lows, highs = zip(*rows)
         edges = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]] + [len(keys)]
-        compared = [a + i for a, z in zip(edges, edges[1:]) for i in alike(bodies[a:z], places[a:z])]
-        counts = {i: len(bodies[i]) - LENGTH + 1 for i in compared}
-        found = np.zeros(0, np.int64)
-        if compared:
-            found = first_owners([bodies[i] for i in compared], np.array([lows[i] for i in compared], np.int64))
-        owned = dict(zip(compared, np.split(found, np.cumsum(list(counts.values()))[:-1])))
-        out = []
-        for i, (key, hash_, body, low, high) in enumerate(zip(keys, hashes, bodies, lows, highs)):
-            n = len(body) - LENGTH + 1
-            if i in owned:
-                own = owned[i]
-                starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                sizes = np.diff(np.append(starts, n))
-                parts = [(a, m, o) for a, m, o in zip(starts.tolist(), sizes.tolist(), own[starts].tolist()) if o < high]
-            else:
-                parts = [(0, n, low)] if low < high else []
-            if parts:
-                out.append({"key": key, "hash": hash_, "parts": [{"at": a, "n": m, "low": o} for a, m, o in parts]})
-        part = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("low", pa.int64())])
-        return pa.RecordBatch.from_pylist(out, schema=pa.schema([("key", pa.int64()), ("hash", pa.int64()), ("parts", pa.list_(part))]))
+        compared = np.array(
+            [a + i for a, z in zip(edges, edges[1:]) if z > a + 1 for i in alike(bodies[a:z], places[a:z])], np.int64
+        )
+        low, high = np.array(lows, np.int64), np.array(highs, np.int64)
+        n = np.fromiter(map(len, bodies), np.int64, len(bodies)) - LENGTH + 1
+        whole = np.setdiff1d(np.arange(len(bodies)), compared)
+        context, at, size, owner = whole, np.zeros(len(whole), np.int64), n[whole], low[whole]
+        if len(compared):
+            own = first_owners([bodies[i] for i in compared.tolist()], low[compared])
+            number = np.repeat(np.arange(len(compared)), n[compared])
+            starts = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (number[1:] != number[:-1])))
+            begin = np.cumsum(n[compared]) - n[compared]
+            context = np.append(context, compared[number[starts]])
+            at = np.append(at, starts - begin[number[starts]])
+            size = np.append(size, np.diff(np.append(starts, len(own))))
+            owner = np.append(owner, own[starts])
+        kept = np.flatnonzero(owner < high[context])
+        kept = kept[np.argsort(context[kept], kind="stable")]
+        context, at, size, owner = context[kept], at[kept], size[kept], owner[kept]
+        heads = np.flatnonzero(np.append(True, context[1:] != context[:-1])[: len(context)])
+        parts = pa.StructArray.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(owner)], names=["at", "n", "low"]
+        )
+        lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(context)).astype(np.int32)), parts)
+        chosen = context[heads]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.array(keys, np.int64)[chosen]), pa.array(np.array(hashes, np.int64)[chosen]), lists], names=["key", "hash", "parts"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -389,11 +391,14 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     # Equal texts are looked at once: all but that of the smallest id lose everything if they are long enough.
     texts = marked.where(F.octet_length("text") >= LENGTH).select("id", "tie", "text")
     named = keep(texts.select("id", "tie", F.unhex(F.md5("text")).alias("digest")), "names")
-    equal = named.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    copies = keep(named.join(equal, "digest").where(F.col("id") > F.col("least")).select("id", "tie").distinct(), "copies")
+    equal = keep(
+        named.groupBy("tie", "digest").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n"), "equal_texts"
+    )
+    copies = keep(named.join(equal, ["tie", "digest"]).where(F.col("id") > F.col("least")).select("id", "tie").distinct(), "copies")
     frequent = spark.sparkContext.broadcast(frequent_keys(texts, size))
     shared = keep(shared_stretches(texts, size, frequent), "shared_stretches")
-    pieces = keep(contexts(texts, shared, copies, frequent), "contexts")
+    pieces = keep(contexts(texts, shared, equal, frequent), "contexts")
+    discard(named, equal, shared)
     bodies = pieces.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     found = keep(owners(pieces, max(1, -(-bodies // (16 * SHARD_BYTES)))), "owners")
     lost = F.transform(
@@ -403,6 +408,7 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         pieces.drop("body", "place").join(found, ["key", "hash"]).select("id", "tie", lost.alias("lost")).where(F.size("lost") > 0)
         .groupBy("id", "tie").agg(F.flatten(F.collect_list("lost")).alias("lost")), "lost",
     )
+    discard(pieces, found)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, removed = [], []
