@@ -11,10 +11,13 @@ from gradeline.catalog.fixtures import (
 from gradeline.catalog.forecast import MOVES_SQL
 from gradeline.catalog.registry import query
 from gradeline.functions.dates import month_key
+from gradeline.operators.cells import CellIndex
+from gradeline.operators.diff import snapshot_diff
 from gradeline.plans import popularity as pop
 from gradeline.plans.calls import backfill_plan, live_plan, prompt_rows
 from gradeline.plans.metrics import analyst_sentiment
 from gradeline.plans.retrieval import cosine_top_k, cosine_top_k_as_of, hybrid_top_k, lookahead_audit, retrieved_context
+from gradeline.session import shared_folder
 from gradeline.sources.tables import keep
 
 AS_OF = "2024-01-20"
@@ -223,3 +226,47 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rag").alias("variant"), "retrieved_doc_ids",
     )
     return lookahead_audit(calls, vectors(spark, sf_dir), ["source"])
+
+
+@query("q16c_cell_index_asof", "WITH" + QUESTIONS_SQL + """,
+days AS (SELECT DISTINCT published_date AS as_of FROM docs)
+SELECT entity, CAST(as_of AS VARCHAR) AS as_of, doc_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (
+  SELECT entity, as_of, doc_id, score, row_number() OVER (PARTITION BY entity, as_of ORDER BY score DESC, doc_id) AS rank
+  FROM scores JOIN days ON published_date <= as_of)
+WHERE rank <= 5""")
+def cell_index_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors published by each day, by a stored index of cells searched until nothing better is left."""
+    index = CellIndex(spark, shared_folder(spark, "cell_index"))
+    index.build(vectors(spark, sf_dir))
+    asked = questions(spark, sf_dir)
+    found = index.search(asked, every_day(spark, sf_dir, asked), 5, exact=True).rows
+    return found.select("entity", "as_of", "doc_id", F.round("score", 6).alias("score"), "rank")
+
+
+@query("q18i_index_upkeep", "WITH" + QUESTIONS_SQL + """,
+best AS (
+  SELECT entity, doc_id, score, row_number() OVER (PARTITION BY entity ORDER BY score DESC, doc_id) AS rank FROM scores)
+SELECT entity, doc_id, round(score, 6) AS score, CAST(rank AS INT) AS rank,
+  (SELECT count(*) FROM docs) AS entries, CAST(2 AS INT) AS version FROM best WHERE rank <= 5""")
+def index_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors by an index of an earlier version of the table that took over what changed since.
+
+    In the earlier version a seventh of the vectors was missing, an eleventh pointed elsewhere and there were some more.
+    """
+    new = vectors(spark, sf_dir)
+    doc_id = F.col("doc_id")
+    altered = F.when(doc_id % 11 == 0, F.reverse("embedding")).otherwise(F.col("embedding"))
+    old = new.where(doc_id % 7 != 0).withColumn("embedding", altered).unionByName(
+        new.where(doc_id % 13 == 0).withColumn("doc_id", (-1 - doc_id).cast(new.schema["doc_id"].dataType))
+    )
+    index = CellIndex(spark, shared_folder(spark, "cell_index"))
+    index.build(old, version=1)
+    for version in (2, 2):  # the second time there is nothing to do
+        index.apply(snapshot_diff(old, new, ["doc_id"], ["published_date", "embedding"]), new, version)
+    asked = questions(spark, sf_dir)
+    newest = new.agg(F.max("published_date")).scalar()
+    found = index.search(asked, asked.select("entity", newest.alias("as_of")), 5, exact=True).rows
+    return found.select(
+        "entity", "doc_id", F.round("score", 6).alias("score"), "rank",
+        index.entries().agg(F.count("*")).scalar().alias("entries"), F.lit(index.version()).alias("version"),
+    )

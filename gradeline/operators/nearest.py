@@ -23,6 +23,11 @@ CHUNK = 1024
 SCORE_DIGITS = 9
 
 
+def is_whole(vector: str) -> Column:
+    """Whether a vector can be compared: not NULL, without NULL parts and with a direction."""
+    return has_direction(F.col(vector)) & ~F.exists(vector, lambda x: x.isNull())
+
+
 def pack(rows: DataFrame, vector: str, carried: list[str], name: str, sort_by: str | None = None) -> DataFrame:
     """(number, size, matrix, *carried as arrays), kept: a row for up to CHUNK vectors of one size.
 
@@ -30,8 +35,7 @@ def pack(rows: DataFrame, vector: str, carried: list[str], name: str, sort_by: s
     values of that column share chunks.
     """
     reach_package(rows.sparkSession)
-    whole = has_direction(F.col(vector)) & ~F.exists(vector, lambda x: x.isNull())
-    held = rows.where(whole).select(*carried, F.col(vector).cast("array<double>").alias(vector))
+    held = rows.where(is_whole(vector)).select(*carried, F.col(vector).cast("array<double>").alias(vector))
     if sort_by:
         held = held.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
     kinds = ", ".join(f"`{c}` array<{rows.schema[c].dataType.simpleString()}>" for c in carried)
@@ -56,18 +60,23 @@ def pack(rows: DataFrame, vector: str, carried: list[str], name: str, sort_by: s
 
 
 def products(
-    searched: DataFrame, asking: DataFrame, use: Callable[[np.ndarray, dict, dict], list[dict]], schema: pa.Schema, ddl: str
+    searched: DataFrame, asking: DataFrame, use: Callable[[np.ndarray, dict, dict], list[dict]], schema: pa.Schema, ddl: str,
+    on: str | None = None,
 ) -> DataFrame:
-    """``use(scores, searched row, asking row)`` for every chunk and block of equal vector size.
+    """``use(scores, searched row, asking row)`` for every chunk and block of equal vector size, and of equal ``on`` if it is given.
 
     scores[i, j] is the rounded cosine of searched vector i and asking vector j. A block is named in
     each chunk's list of blocks, so they meet by an equality; Spark broadcasts the blocks if they are
     small and otherwise moves the chunks.
     """
-    blocks = asking.agg(F.collect_list("number")).scalar()
     left = searched.select(*[F.col(c).alias(f"s_{c}") for c in searched.columns])
     right = asking.select(*[F.col(c).alias(f"a_{c}") for c in asking.columns])
-    met = left.withColumn("a_number", F.explode(blocks)).join(right, "a_number").where("s_size = a_size")
+    if on is None:
+        blocks = asking.agg(F.collect_list("number")).scalar()
+        pairs = left.withColumn("a_number", F.explode(blocks)).join(right, "a_number")
+    else:
+        pairs = left.join(right, F.col(f"s_{on}") == F.col(f"a_{on}"))
+    met = pairs.where("s_size = a_size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +98,7 @@ def _arrow(df: DataFrame, column: str) -> pa.DataType:
     return to_arrow_type(df.schema[column].dataType.elementType)
 
 
-def nearest(searched: DataFrame, asking: DataFrame, k: int, per_day: bool) -> DataFrame:
+def nearest(searched: DataFrame, asking: DataFrame, k: int, per_day: bool, on: str | None = None) -> DataFrame:
     """(entity, doc_id, published_date, score): the ``k`` best of every chunk for each entity, and with
     ``per_day`` of each day. Ties go to the smaller id. Whatever a caller cuts to ``k`` later is in it."""
 
@@ -114,7 +123,7 @@ def nearest(searched: DataFrame, asking: DataFrame, k: int, per_day: bool) -> Da
     schema = pa.schema([*kinds.items(), ("score", pa.float64())])
     names = [f"`{c}` {df.schema[c].dataType.elementType.simpleString()}" for df, c in
              ((asking, "entity"), (searched, "doc_id"), (searched, "published_date"))]
-    return products(searched, asking, use, schema, ", ".join([*names, "score double"]))
+    return products(searched, asking, use, schema, ", ".join([*names, "score double"]), on)
 
 
 def places(searched: DataFrame, asking: DataFrame) -> DataFrame:
