@@ -13,8 +13,10 @@ from gradeline.catalog.registry import query
 from gradeline.functions.dates import month_key
 from gradeline.operators.cells import CellIndex
 from gradeline.operators.diff import snapshot_diff
+from gradeline.operators.postings import Postings
 from gradeline.plans import popularity as pop
 from gradeline.plans.calls import backfill_plan, live_plan, prompt_rows
+from gradeline.plans.dated_search import hybrid_top_k_as_of
 from gradeline.plans.metrics import analyst_sentiment
 from gradeline.plans.retrieval import cosine_top_k, cosine_top_k_as_of, hybrid_top_k, lookahead_audit, retrieved_context
 from gradeline.session import shared_folder
@@ -53,6 +55,24 @@ def cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("entity", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
+def worded_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, query_text, query_vector)"""
+    return questions(spark, sf_dir).join(
+        table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("int").alias("entity"), F.col("text").alias("query_text")),
+        "entity",
+    )
+
+
+def embedded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text_content, embedding, published_date); either of text and embedding may be missing."""
+    embedded = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    return (
+        table(spark, sf_dir, "documents")
+        .join(embedded, "doc_id", "full_outer")
+        .select("doc_id", F.col("text").alias("text_content"), "embedding", publication_date(F.col("doc_id")).alias("published_date"))
+    )
+
+
 @query("q16b_hybrid_topk", "WITH" + QUESTIONS_SQL + r""",
 texts AS (
   SELECT doc_id, published_date, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
@@ -83,16 +103,7 @@ SELECT entity, doc_id, CAST(semantic_rank AS INT) AS semantic_rank, CAST(lexical
 WHERE rank <= 5""")
 def hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector and word search over whole documents up to a day, fused by rank."""
-    asked = questions(spark, sf_dir).join(
-        table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("int").alias("entity"), F.col("text").alias("query_text")),
-        "entity",
-    )
-    embedded = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    documents = (
-        table(spark, sf_dir, "documents")
-        .join(embedded, "doc_id", "full_outer")
-        .select("doc_id", F.col("text").alias("text_content"), "embedding", publication_date(F.col("doc_id")).alias("published_date"))
-    )
+    asked, documents = worded_questions(spark, sf_dir), embedded_documents(spark, sf_dir)
     found = hybrid_top_k(documents, asked, F.lit(AS_OF).cast("date"))
     return found.select("entity", "doc_id", "semantic_rank", "lexical_rank", F.round("score", 6).alias("score"), "rank")
 
@@ -270,3 +281,76 @@ def index_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
         "entity", "doc_id", F.round("score", 6).alias("score"), "rank",
         index.entries().agg(F.count("*")).scalar().alias("entries"), F.lit(index.version()).alias("version"),
     )
+
+
+DATED_SQL = QUESTIONS_SQL + r""",
+days AS (SELECT DISTINCT published_date AS as_of FROM docs),
+texts AS (
+  SELECT doc_id, published_date, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id, text, DATE '2024-01-01' + CAST(doc_id % 30 AS INT) AS published_date FROM documents)
+  WHERE text IS NOT NULL),
+tf AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS word FROM texts) GROUP BY 1, 2),
+asked AS (
+  SELECT DISTINCT entity, word FROM (
+    SELECT entity, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS word
+    FROM questions JOIN benchmark ON item_id = entity) WHERE word <> ''),
+matched AS (SELECT word, doc_id, tf, len(w) AS size, published_date FROM tf SEMI JOIN asked USING (word) JOIN texts USING (doc_id)),
+df AS (SELECT word, as_of, count(*) AS df FROM matched JOIN days ON published_date <= as_of GROUP BY 1, 2),
+corpus AS (SELECT as_of, count(*) AS n, avg(len(w)) AS mean FROM texts JOIN days ON published_date <= as_of GROUP BY 1),
+bm25 AS (
+  SELECT entity, as_of, doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
+    / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * size / mean))), 9) AS score
+  FROM asked JOIN matched USING (word) JOIN df USING (word) JOIN corpus USING (as_of)
+  WHERE published_date <= as_of GROUP BY 1, 2, 3),
+semantic AS (
+  SELECT entity, as_of, doc_id, row_number() OVER (PARTITION BY entity, as_of ORDER BY score DESC, doc_id) AS semantic_rank
+  FROM scores JOIN days ON published_date <= as_of WHERE entity IN (SELECT item_id FROM benchmark)),
+lexical AS (
+  SELECT entity, as_of, doc_id, row_number() OVER (PARTITION BY entity, as_of ORDER BY score DESC, doc_id) AS lexical_rank FROM bm25),
+fused AS (
+  SELECT entity, as_of, doc_id, semantic_rank, lexical_rank,
+    round(coalesce(1.0::DOUBLE / (60 + semantic_rank), 0) + coalesce(1.0::DOUBLE / (60 + lexical_rank), 0), 9) AS score
+  FROM semantic FULL OUTER JOIN lexical USING (entity, as_of, doc_id)),
+best AS (SELECT *, row_number() OVER (PARTITION BY entity, as_of ORDER BY score DESC, doc_id) AS rank FROM fused)"""
+
+
+@query("q16d_hybrid_every_day", "WITH" + DATED_SQL + """
+SELECT entity, CAST(as_of AS VARCHAR) AS as_of, doc_id, CAST(semantic_rank AS INT) AS semantic_rank,
+  CAST(lexical_rank AS INT) AS lexical_rank, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM best WHERE rank <= 5""")
+def hybrid_every_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector and word search fused by rank, for every question and every day at once; texts are split once, into postings."""
+    asked, documents = worded_questions(spark, sf_dir), embedded_documents(spark, sf_dir)
+    postings = Postings(spark, shared_folder(spark, "postings"))
+    postings.build(documents)
+    found = hybrid_top_k_as_of(documents, postings, asked, every_day(spark, sf_dir, asked))
+    return found.select("entity", "as_of", "doc_id", "semantic_rank", "lexical_rank", F.round("score", 6).alias("score"), "rank")
+
+
+@query("q18p_postings_upkeep", r"""
+WITH texts AS (
+  SELECT DATE '2024-01-01' + CAST(doc_id % 30 AS INT) AS day,
+    list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM documents WHERE text IS NOT NULL)
+SELECT CAST(day AS VARCHAR) AS day, sum(count(*)) OVER (ORDER BY day) AS n, sum(sum(len(w))) OVER (ORDER BY day) AS n_words,
+  CAST(sum(len(list_distinct(w))) AS BIGINT) AS n_postings, CAST(2 AS INT) AS version
+FROM texts GROUP BY day""")
+def postings_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts, words and postings by day in an index of an earlier version of the documents that took over what changed since."""
+    documents = table(spark, sf_dir, "documents")
+    doc_id, day = F.col("doc_id"), publication_date(F.col("doc_id")).alias("published_date")
+    new = documents.select("doc_id", day, F.col("text").alias("text_content"))
+    altered = F.when(doc_id % 11 == 0, F.concat(F.lit("an earlier text "), "text_content")).otherwise(F.col("text_content"))
+    old = new.where(doc_id % 7 != 0).withColumn("text_content", altered).unionByName(
+        new.where(doc_id % 13 == 0).withColumn("doc_id", (-1 - doc_id).cast(new.schema["doc_id"].dataType))
+    )
+    index = Postings(spark, shared_folder(spark, "postings"))
+    index.build(old, version=1)
+    for version in (2, 2):  # the second time there is nothing to do
+        index.apply(snapshot_diff(old, new, ["doc_id"], ["published_date", "text_content"]), new, version)
+    held = index.postings()
+    counts = held.where("word <> ''").groupBy("published_date").agg(F.count("*").alias("n_postings"))
+    corpus = index.corpus(held.select(F.col("published_date").alias("as_of")).distinct())
+    return corpus.join(counts, F.col("as_of") == F.col("published_date")).select(
+        F.col("as_of").alias("day"), "n", F.round(F.col("n") * F.col("mean")).cast("long").alias("n_words"), "n_postings",
+        F.lit(index.version()).alias("version"),
+    )

@@ -17,11 +17,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeline.operators.nearest import CHUNK, is_whole, nearest
 from gradeline.operators.topk import as_of_top_k
+from gradeline.operators.versions import Versioned
 from gradeline.session import reach_package
 from gradeline.sources.tables import keep
 
@@ -35,6 +36,7 @@ PROBES = 8
 OTHER = -1
 #: What rounding may take from a bound.
 SLACK = 1e-8
+ENTRY = "doc_id {id}, published_date date, embedding array<double>, angle double, version int, cell int"
 
 
 def unit(matrix: np.ndarray) -> np.ndarray:
@@ -62,30 +64,9 @@ class Found:
     cells: list[int]
 
 
-class CellIndex:
+class CellIndex(Versioned):
     """Vectors (doc_id, published_date, embedding) by cells under one shared folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    # state
-
-    def _path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
-
-    def _exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def version(self) -> int:
-        """The newest version that is wholly in the index; 0 before the first."""
-        if not self._exists("versions"):
-            return 0
-        return self.spark.read.schema("version int").parquet(self._path("versions")).agg(F.max("version")).first()[0] or 0
-
-    def _commit(self, version: int) -> None:
-        self.spark.range(1).select(F.lit(version).cast("int").alias("version")).write.mode("append").parquet(self._path("versions"))
-
     def centroids(self) -> np.ndarray:
         """The unit centroids, a row for each cell; at most MAX_CELLS."""
         rows = self.spark.read.parquet(self._path("centroids")).orderBy("cell").collect()
@@ -108,47 +89,22 @@ class CellIndex:
             pd.DataFrame({"cell": range(len(centroids)), "centroid": centroids.tolist()}), "cell int, centroid array<double>"
         )
         stored.coalesce(1).write.mode("overwrite").parquet(self._path("centroids"))
-        vectors.select("doc_id").limit(0).write.mode("overwrite").parquet(self._path("ids"))  # their type, for indexes without entries
-        self._write(whole, version, centroids)
+        self._remember_ids(vectors)
+        self._add(whole, version)
         self._commit(version)
 
-    def _write(self, vectors: DataFrame, version: int, centroids: np.ndarray) -> None:
-        placed = assigned(vectors.where(is_whole("embedding")), centroids)
+    def _add(self, rows: DataFrame, version: int) -> None:
+        placed = assigned(rows.where(is_whole("embedding")), self.centroids())
         # A cell is one folder; a large one is split over tasks by Spark.
         (
             placed.hint("rebalance", "cell").sortWithinPartitions("cell", "published_date")
             .write.mode("overwrite").partitionBy("cell").parquet(self._path(f"entries/version={version}"))
         )
 
-    def apply(self, changes: DataFrame, fresh: DataFrame, version: int) -> bool:
-        """Bring the index to ``version``; False, and nothing done, if it is there already.
-
-        ``changes`` has (doc_id, change) with change = insert, update or delete, ``fresh`` the vectors now. Changed
-        ids that had an entry get a tombstone, and what is inserted or updated is placed by the centroids there are.
-        """
-        if version <= self.version():
-            return False
-        changes = keep(changes.select("doc_id", "change"), "changes")
-        gone = changes.where(F.col("change") != "insert").select("doc_id")
-        gone.write.mode("overwrite").parquet(self._path(f"removed/version={version}"))
-        arrived = fresh.join(changes.where(F.col("change") != "delete").select("doc_id"), "doc_id", "left_semi")
-        self._write(arrived, version, self.centroids())
-        self._commit(version)
-        return True
-
     def entries(self, cells: list[int] | None = None) -> DataFrame:
         """(doc_id, published_date, embedding, angle, version, cell) of all live entries, or of those in some cells only."""
-        done = self.version()
-        kind = self.spark.read.parquet(self._path("ids")).schema["doc_id"].dataType.simpleString()
-        schema = f"doc_id {kind}, published_date date, embedding array<double>, angle double, version int, cell int"
-        stored = self.spark.read.schema(schema).parquet(self._path("entries")).where(F.col("version") <= done)
-        if cells is not None:
-            stored = stored.where(F.col("cell").isin(cells))
-        if not self._exists("removed"):
-            return stored
-        gone = self.spark.read.parquet(self._path("removed")).where(F.col("version") <= done)
-        last = gone.groupBy("doc_id").agg(F.max("version").alias("gone"))
-        return stored.join(last, "doc_id", "left").where(F.col("gone").isNull() | (F.col("version") >= F.col("gone"))).drop("gone")
+        stored = self._read("entries", ENTRY)
+        return self._live(stored if cells is None else stored.where(F.col("cell").isin(cells)))
 
     # search
 

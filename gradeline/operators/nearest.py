@@ -148,6 +148,32 @@ def places(searched: DataFrame, asking: DataFrame) -> DataFrame:
     return products(searched, asking, use, schema, f"entity {kind}, place int, n long")
 
 
+def dated_places(searched: DataFrame, asking: DataFrame) -> DataFrame:
+    """(entity, as_of, place, n): ``places`` among the vectors published by each day that an entity has marks for.
+
+    Marks are an array of (as_of, marks) in the column ``dated_marks``.
+    """
+
+    def use(scores: np.ndarray, ours: dict, theirs: dict) -> list[dict]:
+        out = []
+        dates = np.array(ours["published_date"], "datetime64[D]")
+        for j, (entity, dated) in enumerate(zip(theirs["entity"], theirs["dated_marks"])):
+            for day in dated:
+                here = np.flatnonzero(dates <= np.datetime64(day["as_of"]))
+                losses = np.array([m["loss"] for m in day["marks"]])
+                loss = -scores[here, j]
+                place, last = np.searchsorted(losses, loss, "left"), np.searchsorted(losses, loss, "right")
+                for i in np.flatnonzero(place < last).tolist():  # equal scores: the ids decide
+                    place[i] += sum(m["doc_id"] < ours["doc_id"][here[i]] for m in day["marks"][place[i] : last[i]])
+                found, n = np.unique(place, return_counts=True)
+                out += [{"entity": entity, "as_of": day["as_of"], "place": p, "n": c} for p, c in zip(found.tolist(), n.tolist())]
+        return out
+
+    schema = pa.schema([("entity", _arrow(asking, "entity")), ("as_of", pa.date32()), ("place", pa.int32()), ("n", pa.int64())])
+    kind = asking.schema["entity"].dataType.elementType.simpleString()
+    return products(searched, asking, use, schema, f"entity {kind}, as_of date, place int, n long")
+
+
 def cosine_of(pairs: DataFrame, documents: DataFrame, questions: DataFrame, cosine: Callable[[Column, Column], Column]) -> DataFrame:
     """(entity, doc_id, score) of the given (entity, doc_id) pairs only; pairs without a direction have no row."""
     ours = documents.where(has_direction(F.col("embedding"))).select("doc_id", F.col("embedding").cast("array<double>").alias("_d"))

@@ -98,19 +98,19 @@ def bm25_scores(matches: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def _score_key() -> Column:
+def score_key() -> Column:
     """Orders like ``best_first``: the smaller key is the better row."""
     return F.struct((-F.col("score")).alias("loss"), F.col("doc_id").alias("doc_id"))
 
 
 def _marks(some: DataFrame) -> DataFrame:
-    return some.groupBy("entity").agg(F.sort_array(F.collect_list(_score_key())).alias("marks"))
+    return some.groupBy("entity").agg(F.sort_array(F.collect_list(score_key())).alias("marks"))
 
 
 def _word_places(scores: DataFrame, marks: DataFrame) -> DataFrame:
     """(entity, place, n): each row of the list is placed among the few marks of its entity where it is read."""
     place = F.size(F.filter("marks", lambda m: m < F.col("_key")))
-    return scores.select("entity", _score_key().alias("_key")).join(marks, "entity").select(
+    return scores.select("entity", score_key().alias("_key")).join(marks, "entity").select(
         "entity", place.alias("place"), F.lit(1).cast("long").alias("n")
     )
 

@@ -14,7 +14,10 @@ from gradeline.catalog import fixtures
 from gradeline.operators import cells
 from gradeline.operators.cells import CellIndex
 from gradeline.operators.diff import snapshot_diff
-from gradeline.plans.retrieval import cosine_top_k_as_of
+from gradeline.operators.postings import Postings
+from gradeline.plans import dated_search
+from gradeline.plans.dated_search import hybrid_top_k_as_of
+from gradeline.plans.retrieval import cosine_top_k_as_of, hybrid_top_k
 
 START = dt.date(2024, 1, 1)
 
@@ -93,5 +96,42 @@ def test_upkeep_leaves_the_index_as_one_built_anew(spark, rows, tmp_path):
     assert bag(index.entries().select("doc_id", "published_date", "embedding")) == bag(after.select("doc_id", "published_date", "embedding"))
     assert hits(index.search(asked, wanted, 5, exact=True).rows) == hits(cosine_top_k_as_of(after, asked, wanted))
     # A version whose number was never written does not count.
-    index._write(before, 5, index.centroids())
+    index._add(before, 5)
     assert index.entries().count() == len(new)
+
+
+def fused(df):
+    return bag(df.select("entity", "doc_id", "semantic_rank", "lexical_rank", F.round("score", 9), "rank"))
+
+
+def test_fused_search_of_every_day_is_that_of_each_day(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(dated_search, "DOCUMENTS", 40)
+    monkeypatch.setattr(dated_search, "DAYS", 3)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(200)]  # more than there are buckets
+    text = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(12)))
+    vector = lambda: [rng.gauss(0, 1) for _ in range(4)]
+    data = [(i, day(rng.randrange(12)), rng.choice([text(), text(), None]), rng.choice([vector(), vector(), None])) for i in range(260)]
+    data += [(900, None, "w1 w2", vector()), (901, day(3), "", None), (902, day(4), "w1 w1", [0.0] * 4)]
+    ddl = "doc_id int, published_date date, text_content string, embedding array<double>"
+    documents = rows(ddl, *data)
+    asked = rows("entity int, query_text string, query_vector array<double>",
+                 *[(i, text() + " W3", vector()) for i in range(5)], (5, "unheard of", vector()), (6, "w1", None))
+    index = Postings(spark, f"{tmp_path}/postings")
+    old = [(i, d, text() if i % 4 == 0 else t, v) for i, d, t, v in data if i % 5] + [(950, day(2), "w1 w2", None)]
+    before = rows(ddl, *old)
+    index.build(before, version=7)
+    changes = snapshot_diff(before, documents, ["doc_id"], ["published_date", "text_content"])
+    assert not index.apply(changes, documents, 7) and index.apply(changes, documents, 8)
+    anew = Postings(spark, f"{tmp_path}/anew")
+    anew.build(documents)
+    assert bag(index.postings()) == bag(anew.postings())
+    wanted = requests(asked, (0, 3, 5, 11, 20))
+    assert bag(index.corpus(wanted)) == bag(anew.corpus(wanted))
+    found = hybrid_top_k_as_of(documents, index, asked, wanted, k=4, offset=3)
+    for n in (0, 3, 5, 11, 20):
+        one = hybrid_top_k(documents, asked, F.lit(day(n)).cast("date"), k=4, offset=3)
+        assert fused(found.where(F.col("as_of") == F.lit(day(n)))) == fused(one), n
+    assert index.matches(rows("entity int, word string", (1, "w1"))).count() == sum((t or "").split().count("w1") > 0 for _, d, t, _ in data if d)
+    plan = index.matches(rows("entity int, word string", (1, "w1")))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
