@@ -69,14 +69,14 @@ def merge_partitions(
     return latest_per_key(both, [partition, *keys], [*newest_first, "_new"]).drop("_new")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write a step's result to the shared folder and go on from there.
+def keep(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write a step's result to the shared folder and go on from there; bulky texts may ask for another compression.
 
     What follows does not compute the step again, survives lost executors, and Spark knows the
     result's size, so it broadcasts a small one and shuffles a large one by itself.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
