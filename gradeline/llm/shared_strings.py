@@ -397,7 +397,7 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     copies = keep(named.join(equal, ["tie", "digest"]).where(F.col("id") > F.col("least")).select("id", "tie").distinct(), "copies")
     frequent = spark.sparkContext.broadcast(frequent_keys(texts, size))
     shared = keep(shared_stretches(texts, size, frequent), "shared_stretches")
-    pieces = keep(contexts(texts, shared, equal, frequent), "contexts")
+    pieces = keep(contexts(texts, shared, equal, frequent), "contexts", "zstd")
     discard(named, equal, shared)
     bodies = pieces.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     found = keep(owners(pieces, max(1, -(-bodies // (16 * SHARD_BYTES)))), "owners")
