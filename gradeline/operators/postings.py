@@ -23,10 +23,9 @@ def bucket_of(word: Column) -> Column:
 
 
 def _starts(ordered: Column) -> Column:
-    """The places of an ordered array where another value starts."""
+    """The places of an ordered array, not empty, where another value starts."""
     places = F.sequence(F.lit(0), F.size(ordered) - 1)
-    fresh = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-    return F.when(F.size(ordered) > 0, fresh).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
 
 
 class Postings(Versioned):
@@ -39,17 +38,14 @@ class Postings(Versioned):
 
     def _add(self, rows: DataFrame, version: int) -> None:
         dated = rows.where(F.col("text_content").isNotNull() & F.col("published_date").isNotNull())
-        # Words are sorted within their text and counted where a new one starts, so no posting is moved to be counted.
-        split = dated.select("doc_id", "published_date", F.array_sort(words("text_content")).alias("words")).select(
-            "*", F.size("words").alias("length"), _starts(F.col("words")).alias("starts")
-        )
-        counted = split.select("doc_id", "published_date", "length", F.inline(F.transform("starts", lambda at, i: F.struct(
-            F.get("words", at).alias("word"), (F.coalesce(F.get("starts", i + 1), F.col("length")) - at).alias("tf")
+        # Words are sorted within their text and counted where a new one starts, so no posting is moved to be counted. Each
+        # text has the word '' once as well: a row with its length, also if it has no other words.
+        ordered = dated.select("doc_id", "published_date", F.array_sort(F.array_append(words("text_content"), F.lit(""))).alias("words"))
+        split = ordered.select("*", F.size("words").alias("end"), _starts(F.col("words")).alias("starts"))
+        counted = split.select("doc_id", "published_date", (F.col("end") - 1).alias("length"), F.inline(F.transform("starts", lambda at, i: F.struct(
+            F.get("words", at).alias("word"), (F.coalesce(F.get("starts", i + 1), F.col("end")) - at).alias("tf")
         ))))
-        # Each text has a row for the word '' as well: its length, also if it has no words.
-        whole = dated.select("doc_id", "published_date", F.size(words("text_content")).alias("length"), F.lit("").alias("word"), F.lit(1).alias("tf"))
-        both = counted.unionByName(whole)
-        placed = both.select("doc_id", "published_date", "word", "tf", "length", bucket_of(F.col("word")).alias("bucket"))
+        placed = counted.select("doc_id", "published_date", "word", "tf", "length", bucket_of(F.col("word")).alias("bucket"))
         path = self._path(f"postings/version={version}")
         placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word").write.mode("overwrite").partitionBy("bucket").parquet(path)
         own = self.spark.read.schema("length int, word string, published_date date").parquet(path).where(F.col("word") == "")

@@ -69,14 +69,14 @@ def merge_partitions(
     return latest_per_key(both, [partition, *keys], [*newest_first, "_new"]).drop("_new")
 
 
-def keep(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write a step's result to the shared folder and go on from there; bulky texts may ask for another compression.
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write a step's result to the shared folder and go on from there.
 
     What follows does not compute the step again, survives lost executors, and Spark knows the
     result's size, so it broadcasts a small one and shuffles a large one by itself.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -87,6 +87,16 @@ def discard(*kept: DataFrame) -> None:
         for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if kept:
+        free_shuffles(kept[0].sparkSession)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now.
+
+    It removes them when the driver's garbage collection finds their plans unused, which on its own may take half an hour.
+    """
+    spark._jvm.System.gc()
 
 
 def has_rows(df: DataFrame) -> bool:
