@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gradeline.llm.frames import LAST_ID, id_key, map_batches
 from gradeline.llm.suffixes import permuted_prefixes, suffix_array
 from gradeline.session import reach_package
-from gradeline.sources.tables import discard, keep
+from gradeline.sources.tables import discard, free_shuffles, keep
 
 LENGTH = 50
 #: Bytes that are hashed for keys; longer ones repeat less by chance and make shorter stretches.
@@ -397,10 +397,11 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     copies = keep(named.join(equal, ["tie", "digest"]).where(F.col("id") > F.col("least")).select("id", "tie").distinct(), "copies")
     frequent = spark.sparkContext.broadcast(frequent_keys(texts, size))
     shared = keep(shared_stretches(texts, size, frequent), "shared_stretches")
-    pieces = keep(contexts(texts, shared, equal, frequent), "contexts", "zstd")
+    pieces = keep(contexts(texts, shared, equal, frequent), "contexts")
     discard(named, equal, shared)
     bodies = pieces.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     found = keep(owners(pieces, max(1, -(-bodies // (16 * SHARD_BYTES)))), "owners")
+    free_shuffles(spark)
     lost = F.transform(
         F.filter("parts", lambda p: p["low"] < F.col("id")), lambda p: F.struct((F.col("start") + p["at"]).alias("start"), p["n"].alias("n"))
     )
