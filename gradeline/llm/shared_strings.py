@@ -37,6 +37,8 @@ SHARE, OFTEN = 1 / 1000, 20
 #: Stretches that one task compares at a time, and bytes of a shard.
 BUCKET_STRETCHES = 1_000_000
 SHARD_BYTES = 256 << 10
+#: Contexts that a task gathers before it writes them.
+HELD = 1 << 17
 #: Contexts of one key beyond which the key is replaced.
 CROWD = 20_000
 KEY_BITS = 48
@@ -173,10 +175,12 @@ def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
 
 
 def contexts(texts: DataFrame, shared: DataFrame, equal: DataFrame, frequent) -> DataFrame:
-    """(key, hash, id, tie, start, place, body): a row for each shared stretch, with the bytes of its strings and where in
-    them those of the key are. Of the texts that ``equal`` (tie, digest, least) names, those of the smallest id have rows.
+    """Rows of two kinds: (key, hash, id, tie, start) for each shared stretch, and (key, hash, low, high, place, body) for the
+    contexts a task meets: their bytes, where in them those of the key are, and the smallest and largest id.
 
-    Key and hash stand for the bytes; only the first row of a batch that has them carries them.
+    Key and hash stand for the bytes. A task gathers up to HELD contexts before it writes them, so one that very many documents
+    have is combined before it is shuffled. Of the texts that ``equal`` (tie, digest, least) names, those of the smallest id
+    have rows.
     """
     none = F.lit(None)
     known = shared.select("tie", "places", none.cast("struct<digest: binary, least: bigint>").alias("same")).unionByName(
@@ -185,34 +189,74 @@ def contexts(texts: DataFrame, shared: DataFrame, equal: DataFrame, frequent) ->
     copy = F.exists("same", lambda e: (F.col("id") > e["least"]) & (e["digest"] == F.unhex(F.md5("text"))))
     joined = texts.join(known, "tie", "left").where(~F.coalesce((F.size("same") > 0) & copy, F.lit(False)))
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        parts: list[list] = [[np.zeros(0, np.int64)] for _ in range(5)]
-        bodies: list[bytes] = []
-        for row, data, (keys, starts, n, places) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
-            wanted = among(keys, frequent.value)
-            listed = batch.column(3)[row]
-            if listed.is_valid:
-                chosen = listed.values.to_numpy()
-                wanted[chosen[chosen < len(keys)]] = True
-            starts, ends = starts[wanted], (starts + n)[wanted] + LENGTH - 1
-            bodies += [data[a:z] for a, z in zip(starts.tolist(), ends.tolist())]
-            for part, values in zip(parts, (
-                keys[wanted].astype(np.int64), np.full(len(starts), ids[row]), np.full(len(starts), ties[row]), starts, places[wanted] - starts
-            )):
-                part.append(values)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, bodies), np.uint64, len(bodies)).view(np.int64)
-        first = np.ones(len(bodies), bool)
-        first[np.unique(hashes, return_index=True)[1]] = False  # the mask of what is left out
-        key, id_, tie, start, place = map(np.concatenate, parts)
-        columns = [key, hashes, id_, tie, start.astype(np.int32), place.astype(np.int32)]
-        return pa.RecordBatch.from_arrays(
-            [*map(pa.array, columns), pa.array(bodies, pa.binary(), mask=first) if bodies else pa.array([], pa.binary())],
-            names=["key", "hash", "id", "tie", "start", "place", "body"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list] = {}
+        for whole in batches:
+            for low in range(0, whole.num_rows, 256):
+                found, bodies = wanted_stretches(whole.slice(low, 256), frequent.value)
+                key, hashes, id_, tie, start, place = found
+                yield rows_of(key, hashes, id=id_, tie=tie, start=start)
+                order = np.lexsort((id_, hashes))
+                starts = np.flatnonzero(np.append(True, hashes[order][1:] != hashes[order][:-1])[: len(order)])
+                first, last = order[starts], order[np.append(starts[1:], len(order)) - 1] if len(order) else starts
+                for at, name, least, most, p in zip(
+                    first.tolist(), zip(key[first].tolist(), hashes[first].tolist()), id_[first].tolist(), id_[last].tolist(), place[first].tolist()
+                ):
+                    known = held.get(name)
+                    if known is None:
+                        held[name] = [least, most, p, bodies[at]]
+                    else:
+                        known[0], known[1] = min(known[0], least), max(known[1], most)
+                if len(held) > HELD:
+                    yield context_rows(held)
+                    held = {}
+        yield context_rows(held)
+
+    reach_package(texts.sparkSession)
+    return joined.select("id", "tie", "text", "places").mapInArrow(run, CONTEXT_DDL)
+
+
+CONTEXT_DDL = "key long, hash long, id long, tie long, start int, low long, high long, place int, body binary"
+CONTEXT = pa.schema([
+    ("key", pa.int64()), ("hash", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()),
+    ("low", pa.int64()), ("high", pa.int64()), ("place", pa.int32()), ("body", pa.binary()),
+])
+
+
+def rows_of(key, hash_, **columns) -> pa.RecordBatch:
+    """Rows of CONTEXT with the columns that are given; the others are NULL."""
+    given = {"key": key, "hash": hash_, **columns}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(given[f.name], f.type) if f.name in given else pa.nulls(len(key), f.type) for f in CONTEXT], schema=CONTEXT
+    )
+
 
-    return map_batches(joined, ["id", "tie", "text", "places"], run,
-                       "key long, hash long, id long, tie long, start int, place int, body binary", rows=256)
+def context_rows(held: dict[tuple[int, int], list]) -> pa.RecordBatch:
+    keys, hashes = zip(*held) if held else ((), ())
+    low, high, place, body = zip(*held.values()) if held else ((), (), (), ())
+    return rows_of(keys, hashes, low=low, high=high, place=place, body=body)
+
+
+def wanted_stretches(batch: pa.RecordBatch, frequent: np.ndarray) -> tuple[list[np.ndarray], list[bytes]]:
+    """((key, hash, id, tie, start, place), bytes) of the shared stretches of a batch of (id, tie, text, places)."""
+    ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    parts: list[list] = [[np.zeros(0, np.int64)] for _ in range(5)]
+    bodies: list[bytes] = []
+    for row, data, (keys, starts, n, places) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
+        wanted = among(keys, frequent)
+        listed = batch.column(3)[row]
+        if listed.is_valid:
+            chosen = listed.values.to_numpy()
+            wanted[chosen[chosen < len(keys)]] = True
+        starts, ends = starts[wanted], (starts + n)[wanted] + LENGTH - 1
+        bodies += [data[a:z] for a, z in zip(starts.tolist(), ends.tolist())]
+        for part, values in zip(parts, (
+            keys[wanted].astype(np.int64), np.full(len(starts), ids[row]), np.full(len(starts), ties[row]), starts, places[wanted] - starts
+        )):
+            part.append(values)
+    key, id_, tie, start, place = map(np.concatenate, parts)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, bodies), np.uint64, len(bodies)).view(np.int64)
+    return [key, hashes, id_, tie, start.astype(np.int32), place.astype(np.int32)], bodies
 
 
 def first_owners(bodies: list[bytes], lows: np.ndarray) -> np.ndarray:
@@ -270,7 +314,8 @@ def alike(bodies: list[bytes], places: list[int]) -> list[int]:
 def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
     """(key, hash, parts): the stretches of each context's strings that some document of it may lose.
 
-    ``distinct`` has (key, hash, body, place, low, high), the bytes and the smallest and largest id of each context. A part
+    ``distinct`` has (key, hash, body, place, low, high), the bytes and the smallest and largest id of each context; several
+    rows of a context are taken together. A part
     is (at, n, low): ``n`` strings from number ``at`` on, and the smallest id that has them. All contexts of a key
     go to one shard.
     """
@@ -313,6 +358,9 @@ def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
         size = 0
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if rows and row[:2] == rows[-1][:2]:
+                    rows[-1] = (*row[:4], min(row[4], rows[-1][4]), max(row[5], rows[-1][5]))
+                    continue
                 if size >= SHARD_BYTES and row[0] != rows[-1][0]:
                     yield judge(rows)
                     rows, size = [], 0
@@ -326,10 +374,10 @@ def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
     return dealt.mapInArrow(run, "key long, hash long, parts array<struct<at: int, n: int, low: bigint>>")
 
 
-def distinct_contexts(pieces: DataFrame, low: str = "id", high: str = "id") -> DataFrame:
-    """(key, hash, low, high, body): the contexts with the smallest and largest id that has them."""
-    return pieces.groupBy("key", "hash").agg(
-        F.min(low).alias("low"), F.max(high).alias("high"), F.max("body").alias("body"), F.max("place").alias("place")
+def distinct_contexts(found: DataFrame) -> DataFrame:
+    """(key, hash, low, high, body, place): a row for each context."""
+    return found.groupBy("key", "hash").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("body").alias("body"), F.max("place").alias("place")
     )
 
 
@@ -355,12 +403,13 @@ def single_strings(distinct: DataFrame) -> DataFrame:
 
 def owners(pieces: DataFrame, n_shards: int) -> DataFrame:
     """(key, hash, parts) of all contexts; keys with too many contexts are replaced by keys of single strings."""
-    crowds = keep(pieces.groupBy("key").agg(F.count("body").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded_keys")
+    found = pieces.where(F.col("body").isNotNull())
+    crowds = keep(found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded_keys")
     if crowds.isEmpty():
-        return solved(distinct_contexts(pieces), n_shards)
-    plain = solved(distinct_contexts(pieces.join(crowds, "key", "left_anti")), n_shards)
-    strings = keep(single_strings(distinct_contexts(pieces.join(crowds, "key", "left_semi"))), "single_strings")
-    found = solved(distinct_contexts(strings, "low", "high"), n_shards).select("key", "hash", F.col("parts")[0]["low"].alias("low"))
+        return solved(found, n_shards)
+    plain = solved(found.join(crowds, "key", "left_anti"), n_shards)
+    strings = keep(single_strings(distinct_contexts(found.join(crowds, "key", "left_semi"))), "single_strings")
+    found = solved(distinct_contexts(strings), n_shards).select("key", "hash", F.col("parts")[0]["low"].alias("low"))
     part = F.struct("at", F.lit(1).alias("n"), "low")
     split = strings.drop("low", "high", "body", "place").join(found, ["key", "hash"]).groupBy("old_key", "old_hash").agg(F.collect_list(part).alias("parts"))
     return plain.unionByName(split.select(F.col("old_key").alias("key"), F.col("old_hash").alias("hash"), "parts"))
@@ -406,7 +455,7 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         F.filter("parts", lambda p: p["low"] < F.col("id")), lambda p: F.struct((F.col("start") + p["at"]).alias("start"), p["n"].alias("n"))
     )
     ranges = keep(
-        pieces.drop("body", "place").join(found, ["key", "hash"]).select("id", "tie", lost.alias("lost")).where(F.size("lost") > 0)
+        pieces.where(F.col("id").isNotNull()).select("key", "hash", "id", "tie", "start").join(found, ["key", "hash"]).select("id", "tie", lost.alias("lost")).where(F.size("lost") > 0)
         .groupBy("id", "tie").agg(F.flatten(F.collect_list("lost")).alias("lost")), "lost",
     )
     discard(pieces, found)
