@@ -87,16 +87,6 @@ def discard(*kept: DataFrame) -> None:
         for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    if kept:
-        free_shuffles(kept[0].sparkSession)
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished steps now.
-
-    It removes them when the driver's garbage collection finds their plans unused, which on its own may take half an hour.
-    """
-    spark._jvm.System.gc()
 
 
 def has_rows(df: DataFrame) -> bool:
