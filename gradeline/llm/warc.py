@@ -104,7 +104,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
 
 def payload_of(raw: Column, skip: Column, head: Column, body: Column) -> Column:
     """The bytes after the header, as many as it says or as there are."""
-    return F.substring(raw.cast("binary"), (skip + head + 1).cast("int"), body.cast("int"))
+    return F.substring(raw.cast("binary"), (skip + head + 1).cast("int"), F.least(body, F.lit(2**31 - 1)).cast("int"))
 
 
 def placed(index: DataFrame) -> DataFrame:
@@ -189,7 +189,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     records = rows.where(F.col("body").isNotNull()).join(reached, ["file", "run"]).where(F.col("at") >= F.col("entry"))
     records = keep(records.select("file", "turn", "at", "next", "body"), "records")
     all_records = records.join(index.select("file", "turn", "header", "digest", "raw", "skip", "head"), ["file", "turn"])
-    cut = keep(all_records.where(F.col("digest").isNull()).select("file", "turn", "at", "next", "body"), "cut")
+    # A length that leads beyond the file, as a damaged one may, has no payload to put together.
+    sizes = index.groupBy("file").agg(F.sum(F.col("bytes") + len(SEPARATOR)).alias("size"))
+    missing = all_records.where(F.col("digest").isNull()).select("file", "turn", "at", "next", "body").join(sizes, "file")
+    cut = keep(missing.where(F.col("next") <= F.col("size") + len(MAGIC + END + SEPARATOR)).drop("size"), "cut")
     out = all_records.join(keep(whole_payloads(index, rows, cut), "mended"), ["file", "turn"], "left")
     full = F.octet_length("mended") == F.col("body")
     own = payload_of(F.col("raw"), F.col("skip"), F.col("head"), F.col("body"))

@@ -254,6 +254,14 @@ def test_warc_cut_off(spark, tmp_path):
     assert [(r["body"], r["payload"] and bytes(r["payload"])) for r in rows] == [(5, b"first"), (60, None)]
 
 
+@pytest.mark.parametrize("length", [61, 5_000_000_000, 10**16, 10**18 - 1])
+def test_warc_damaged_length(spark, tmp_path, length):
+    last = record("second" * 10).replace("Content-Length: 60", f"Content-Length: {length}")
+    (tmp_path / "a.warc").write_bytes((record("first") + last).encode().rstrip(b"\r\n"))
+    rows = warc.read_archive(spark, str(tmp_path)).orderBy("at").collect()
+    assert [(r["body"], r["payload"] and bytes(r["payload"])) for r in rows] == [(5, b"first"), (length, None)]
+
+
 def test_pipeline(spark, corpus):
     kept = rules.judge(corpus).where("kept").select(*corpus_pipeline.COLUMNS)
     reduced = pairs(lines.dedup_lines(kept))
