@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from gradeline.session import use_utc
 
-MODULES = ("ingest", "maintain", "curation", "measures", "forecast", "search", "checks", "streams")
+MODULES = ("ingest", "maintain", "layouts", "curation", "measures", "forecast", "search", "checks", "streams")
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}

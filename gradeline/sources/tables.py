@@ -114,7 +114,7 @@ class Database:
         stored_by = f"PARTITIONED BY ({partition_by})" if partition_by else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.full_name(table)} ({ddl}) USING parquet {stored_by} "
-            f"LOCATION '{self._fresh(table)}'"
+            f"LOCATION '{self.fresh(table)}'"
         )
 
     def replace_partitions(self, table: str, df: DataFrame, partition_by: str) -> None:
@@ -124,13 +124,17 @@ class Database:
         folder. A failure before that changes nothing; a failure during it leaves every partition
         either old or new, and a rerun finishes the rest. Old folders are left for ``vacuum``.
         """
-        location = self._fresh(table)
+        location = self.fresh(table)
         columns = self.table(table).columns
         df.select(*columns).hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(location)
         written = self.spark.read.schema(self.table(table).schema).parquet(location)
         values = [row[0] for row in written.select(F.col(partition_by).cast("string")).distinct().collect()]
         if None in values:
             raise ValueError(f"{table}: a row without {partition_by} has no partition")
+        self.point_partitions(table, partition_by, location, values)
+
+    def point_partitions(self, table: str, partition_by: str, location: str, values: Sequence[str]) -> None:
+        """Let the entries of partitions lead to their folders under ``location``, new entries all at once."""
         known = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.full_name(table)}").collect()}
         parts = {v: (f"PARTITION (`{partition_by}` = '{v}')", f"'{location}/{partition_by}={v}'") for v in values}
         fresh = [f"{part} LOCATION {at}" for v, (part, at) in parts.items() if f"{partition_by}={v}" not in known]
@@ -167,7 +171,7 @@ class Database:
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Overwrite the table, schema included."""
-        location = self._fresh(table)
+        location = self.fresh(table)
         df.write.parquet(location)
         schema = self.spark.read.parquet(location).schema
         if self.exists(table) and self._same_columns(self.table(table).schema, schema):
@@ -201,7 +205,8 @@ class Database:
             self.replace(table, make())
         return self.table(table)
 
-    def _fresh(self, table: str) -> str:
+    def fresh(self, table: str) -> str:
+        """A path for files of the table that no reader sees yet."""
         return f"{self.folder}/{self.name}/{table}/{uuid.uuid4().hex}"
 
     @staticmethod
