@@ -10,17 +10,24 @@ from pyspark.sql import functions as F
 from gradeline.catalog.fixtures import table
 from gradeline.catalog.maintain import CORPUS_CONTENT, VERSIONS_SQL, corpus_versions
 from gradeline.catalog.registry import query
+from gradeline.operators.diff import content_hash
 from gradeline.session import shared_folder
 from gradeline.sources.bucketed import BucketedTable
 from gradeline.sources.tables import Database
 
+#: Parts of a table that is merged into; it has as many buckets, and a merge as many tasks, as the session gives any shuffle.
 PARTS = 8
+#: Parts of a table that is only compared, which needs no buckets.
+COMPARED_PARTS = 64
 
 
-def bucketed(spark: SparkSession, name: str, keys: list[str]) -> BucketedTable:
+def bucketed(spark: SparkSession, name: str, keys: list[str], parts: int, buckets: int) -> BucketedTable:
     database = Database(spark, f"layout_{uuid.uuid4().hex}", shared_folder(spark, "layout"))
-    # A merge has as many tasks as there are buckets: as many as the session gives any other shuffle.
-    return BucketedTable(database, name, keys, PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return BucketedTable(database, name, keys, parts, buckets)
+
+
+def stored_orders(spark: SparkSession) -> BucketedTable:
+    return bucketed(spark, "orders", ["o_orderkey"], PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @query("q06b_bucketed_upsert", """
@@ -32,7 +39,7 @@ SELECT o_orderkey + 1000000000, o_custkey, 'O', o_totalprice FROM orders WHERE o
 def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch of q06 merged, twice, into a table stored by buckets of the key, which is not shuffled for it."""
     orders = table(spark, sf_dir, "orders")
-    stored = bucketed(spark, "orders", ["o_orderkey"])
+    stored = stored_orders(spark)
     stored.create(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
     closed = orders.where(F.col("o_orderstatus") == "P").select(
         "o_orderkey", "o_custkey", F.lit("F").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice")
@@ -50,7 +57,7 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def bucketed_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a returned line are deleted from a table stored by buckets of the key."""
-    stored = bucketed(spark, "orders", ["o_orderkey"])
+    stored = stored_orders(spark)
     stored.create(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
     returned = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
     stored.delete(returned.select(F.col("l_orderkey").alias("o_orderkey")))
@@ -63,10 +70,14 @@ SELECT coalesce(o.doc_id, n.doc_id) AS doc_id,
 FROM old o FULL OUTER JOIN new n ON o.doc_id = n.doc_id
 WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text_content IS DISTINCT FROM n.text_content""")
 def digest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The changes of q18 between two stored versions, from the parts whose digests differ."""
-    old, new = corpus_versions(spark, sf_dir)
-    before, after = bucketed(spark, "corpus", ["doc_id"]), bucketed(spark, "corpus", ["doc_id"])
-    before.create(old)
-    after.create(new)
-    changes, _ = after.changes_since(before, CORPUS_CONTENT)
+    """The changes of q18 between two stored versions, from the parts whose digests differ.
+
+    A version is stored as ids and hashes of whole contents, which are taken where the texts are read.
+    """
+    stored = []
+    for version in corpus_versions(spark, sf_dir):
+        stored.append(bucketed(spark, "corpus", ["doc_id"], COMPARED_PARTS, 1))
+        stored[-1].create(version.select("doc_id", content_hash(CORPUS_CONTENT).alias("content")))
+    before, after = stored
+    changes, _ = after.changes_since(before, ["content"])
     return changes
