@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeline.catalog.fixtures import table
-from gradeline.catalog.maintain import CORPUS_CONTENT, VERSIONS_SQL, corpus_versions
+from gradeline.catalog.fixtures import corpus, table
+from gradeline.catalog.maintain import CHANGE_TIME, CORPUS_CONTENT, VERSIONS_SQL, judged
 from gradeline.catalog.registry import query
 from gradeline.operators.diff import content_hash
 from gradeline.session import shared_folder
@@ -72,12 +72,23 @@ WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text_content IS DISTINCT FROM n.
 def digest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes of q18 between two stored versions, from the parts whose digests differ.
 
-    A version is stored as ids and hashes of whole contents, which are taken where the texts are read.
+    A version is stored as ids and hashes of whole contents, as they are and as rewritten. Both are taken where
+    the texts are read, so no text is moved to find out which of the two today's corpus has.
     """
+    rewritten = ["lowered" if name == "text_content" else name for name in CORPUS_CONTENT]
+    hashed = corpus(spark, sf_dir).withColumn("lowered", F.lower("text_content")).select(
+        "doc_id", "published_date", content_hash(CORPUS_CONTENT).alias("content"), content_hash(rewritten).alias("rewritten")
+    )
+    content = F.when(F.col("quality") == 0, F.col("rewritten")).otherwise(F.col("content")).alias("content")
+    fit = F.coalesce("toxic", F.lit(0)) == 0
+    versions = (
+        hashed.where(F.col("published_date") <= F.lit(CHANGE_TIME).cast("date")).select("doc_id", "content"),
+        hashed.join(judged(spark, sf_dir), "doc_id", "left").where(fit).select("doc_id", content),
+    )
     stored = []
-    for version in corpus_versions(spark, sf_dir):
+    for version in versions:
         stored.append(bucketed(spark, "corpus", ["doc_id"], COMPARED_PARTS, 1))
-        stored[-1].create(version.select("doc_id", content_hash(CORPUS_CONTENT).alias("content")))
+        stored[-1].create(version)
     before, after = stored
     changes, _ = after.changes_since(before, ["content"])
     return changes

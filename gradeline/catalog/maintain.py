@@ -173,15 +173,18 @@ new AS (
 CORPUS_CONTENT = ["source_type", "entity", "text_content", "published_date"]
 
 
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_id"), "quality", "toxic"
+    )
+
+
 def corpus_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """An earlier corpus, and today's with poor texts rewritten and toxic ones gone."""
     whole = corpus(spark, sf_dir)
-    judged = table(spark, sf_dir, "labels").select(
-        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_id"), "quality", "toxic"
-    )
     rewritten = F.when(F.col("quality") == 0, F.lower("text_content")).otherwise(F.col("text_content"))
     new = (
-        whole.join(judged, "doc_id", "left")
+        whole.join(judged(spark, sf_dir), "doc_id", "left")
         .where(F.coalesce("toxic", F.lit(0)) == 0)
         .withColumn("text_content", rewritten)
         .select(*whole.columns)
