@@ -14,6 +14,7 @@ from gradeline.functions.replies import parse_reply
 from gradeline.functions.scores import HORIZON_DAYS
 from gradeline.operators.asof import latest_as_of
 from gradeline.operators.percentiles import percentile_table
+from gradeline.operators.stretches import latest_in_stretches, trailing_in_stretches
 from gradeline.operators.topk import top_k
 from gradeline.plans import popularity as pop
 from gradeline.plans.calls import first_parsed
@@ -137,6 +138,49 @@ def latest_order_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_as_of(requests, orders, "o_custkey", "as_of", "o_orderdate", ["o_orderkey", "o_totalprice"], ["o_orderkey"])
 
 
+# Customers with even numbers share one account, so half of all events belong to it.
+ACCOUNTS_SQL = """
+accounts AS (SELECT CASE WHEN user_id % 2 = 0 THEN 0 ELSE user_id END AS account, ts, event_id, event_type, value FROM events),
+requests AS (SELECT DISTINCT account, ts FROM accounts WHERE event_type = 'error'),
+facts AS (SELECT account, ts, max(event_id) AS event_id FROM accounts WHERE event_type = 'purchase' GROUP BY 1, 2)"""
+
+
+def account_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(requests, facts) of accounts, at the microsecond: errors and purchases."""
+    account = F.when(F.col("user_id") % 2 == 0, 0).otherwise(F.col("user_id"))
+    events = table(spark, sf_dir, "events").select(account.alias("account"), "ts", "event_id", "event_type")
+    bought = F.col("event_type") == "purchase"
+    return (
+        events.where(F.col("event_type") == "error").select("account", "ts"),
+        events.where(bought).select("account", F.col("ts").alias("bought_at"), "event_id"),
+    )
+
+
+@query("q21s_stretched_asof", "WITH" + ACCOUNTS_SQL + """
+SELECT r.account, strftime(r.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, strftime(f.ts, '%Y-%m-%d %H:%M:%S.%f') AS bought_at, f.event_id
+FROM requests r ASOF LEFT JOIN facts f ON r.account = f.account AND r.ts >= f.ts""")
+def latest_purchase_at_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last purchase of an account at the moment of each of its errors; one account has half of all rows."""
+    requests, facts = account_events(spark, sf_dir)
+    return latest_in_stretches(requests, facts, "account", "ts", "bought_at", ["event_id"], ["event_id"])
+
+
+@query("q21t_stretched_trailing", "WITH" + ACCOUNTS_SQL + """,
+numbered AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY ts) AS seq FROM facts),
+newest AS (SELECT r.account, r.ts, seq FROM requests r ASOF LEFT JOIN numbered f ON r.account = f.account AND r.ts >= f.ts)
+SELECT n.account, strftime(n.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, string_agg(f.event_id, ',' ORDER BY f.seq) AS event_ids
+FROM newest n LEFT JOIN numbered f ON f.account = n.account AND f.seq BETWEEN n.seq - 4 AND n.seq
+GROUP BY n.account, n.ts""")
+def trailing_purchases_at_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last five purchases of an account at each of its errors, oldest first."""
+    requests, facts = account_events(spark, sf_dir)
+    # One purchase per account and moment, that of the largest number.
+    facts = facts.groupBy("account", "bought_at").agg(F.max("event_id").alias("event_id"))
+    found = trailing_in_stretches(requests, facts, "account", "ts", "bought_at", ["event_id"], 5, "recent")
+    ids = F.transform("recent", lambda f: f["event_id"].cast("string"))
+    return found.select("account", "ts", F.when(F.size(ids) > 0, F.array_join(ids, ",")).alias("event_ids"))
+
+
 @query("q21b_scorable", "WITH" + MOVES_SQL + """
 SELECT brand, CAST(d AS VARCHAR) AS d FROM deltas WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""")
 def scorable(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gradeline.operators.latest import latest_per_key
 
 
-def _timeline(
+def timeline(
     requests: DataFrame,
     facts: DataFrame,
     entity: str,
@@ -24,6 +24,7 @@ def _timeline(
     values: Sequence[str],
     newest_first: Sequence[Column | str],
 ) -> DataFrame:
+    """Facts, one per entity and date, and distinct requests as (_entity, _at, _request, _fact); requests have no fact."""
     daily = latest_per_key(
         facts.where(F.col(fact_date).isNotNull()), [entity, fact_date], newest_first, tie_break=list(values)
     )
@@ -53,10 +54,10 @@ def latest_as_of(
     newest_first: Sequence[Column | str] = (),
 ) -> DataFrame:
     """The newest fact dated on or before each request; NULLs where there is none yet."""
-    timeline = _timeline(requests, facts, entity, as_of, fact_date, values, newest_first)
+    line = timeline(requests, facts, entity, as_of, fact_date, values, newest_first)
     window = Window.partitionBy("_entity").orderBy("_at", "_request").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        timeline.withColumn("_fact", F.last("_fact", ignorenulls=True).over(window))
+        line.withColumn("_fact", F.last("_fact", ignorenulls=True).over(window))
         .where(F.col("_request") == 1)
         .select(F.col("_entity").alias(entity), F.col("_at").alias(as_of), "_fact.*")
     )
@@ -73,10 +74,10 @@ def trailing_as_of(
     into: str,
 ) -> DataFrame:
     """The ``n`` newest facts on or before each request as an array, oldest first."""
-    timeline = _timeline(requests, facts, entity, as_of, fact_date, values, ())
+    line = timeline(requests, facts, entity, as_of, fact_date, values, ())
     running = Window.partitionBy("_entity").orderBy("_at", "_request").rowsBetween(Window.unboundedPreceding, 0)
     # A request carries the number of the newest fact before it, so a range of numbers is n facts.
-    numbered = timeline.withColumn("_seq", F.count("_fact").over(running))
+    numbered = line.withColumn("_seq", F.count("_fact").over(running))
     newest = Window.partitionBy("_entity").orderBy("_seq").rangeBetween(-(n - 1), 0)
     return (
         numbered.withColumn(into, F.sort_array(F.collect_list("_fact").over(newest)))
