@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gradeline.catalog.fixtures import INGESTED_AT, table
 from gradeline.catalog.registry import query
 from gradeline.session import shared_folder
+from gradeline.streaming.distinct import distinct_ticks
 from gradeline.streaming.ticks import land_ticks, merge_ticks, read_ticks
 
 SILVER_TICK = "s string, p double, t bigint, v double, c array<string>, ts timestamp, day date"
@@ -54,3 +55,27 @@ def tick_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = read_ticks(spark, landed)
         merge_ticks(stream, path, checkpoint, ["s", "c"], ["t", "v"], SILVER_TICK).awaitTermination()
     return spark.read.parquet(path).select("s", "p", "v", F.array_join("c", ",").alias("c"), "day")
+
+
+STORED_TICK = "s string, p double, t bigint, v double, ts timestamp, day date, batch bigint"
+
+
+@query("x3_tick_distinct", """
+SELECT 'U' || user_id AS s, value AS p, epoch_us(ts) // 1000 AS t, CAST(event_id AS DOUBLE) AS v,
+  CAST(CAST(ts AS DATE) AS VARCHAR) AS day
+FROM events""")
+def tick_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats within a run, within the watermark of two days and beyond it, and news that come late; each tick stays once.
+
+    Runs: the second half of the month, doubled, without every fifth tick; its last day, doubled; everything.
+    """
+    landed, path, marks, checkpoint = (shared_folder(spark, n) for n in ("ticks", "ticks_distinct", "ticks_marks", "ticks_state"))
+    every = ticks(spark, sf_dir).drop("c")
+    at = F.timestamp_millis("t")
+    second = every.where((at >= F.lit("2024-01-16").cast("timestamp")) & (F.col("v") % 5 != 0))
+    last = every.where(at >= F.lit("2024-01-30").cast("timestamp"))
+    for part in (second.unionAll(second), last.unionAll(last), every):
+        part.write.mode("append").json(landed)
+        stream = read_ticks(spark, landed, "s string, p double, t bigint, v double")
+        distinct_ticks(stream, path, marks, checkpoint, ["s", "t", "v"], "2 days", STORED_TICK).awaitTermination()
+    return spark.read.schema(STORED_TICK).parquet(path).select("s", "p", "t", "v", "day")
