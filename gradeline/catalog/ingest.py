@@ -9,6 +9,8 @@ from gradeline.catalog.fixtures import CHART_SQL, FETCHED_AT, INGESTED_AT, chart
 from gradeline.catalog.registry import query
 from gradeline.session import shared_folder
 from gradeline.sources.landing import read_records, stamp, unnest, unnest_ranked, write_documents
+from gradeline.sources.ledger import LandedFiles
+from gradeline.sources.tables import Database, keep
 
 RECORDS_PER_FILE = 10_000
 TURNS_PER_PAGE = 20
@@ -95,3 +97,38 @@ def position_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = read_records(spark, f"{landed}/batch=*/*.txt", schema)
     rows = unnest_ranked(files, "feed.results", [F.col("feed.country").alias("_storefront")])
     return rows.select("_storefront", "_rank", "id", "total")
+
+
+@query("q01l_file_ledger", """
+SELECT event_id, user_id, value, CAST(event_id >= 10000 * ((SELECT max(event_id) FROM events) // 20000) AS BIGINT) AS _load, n_files, n_broken
+FROM events, (SELECT max(event_id) // 10000 + 1 + 1 AS n_files, 1 AS n_broken FROM events)""")
+def file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come in two waves, with one among the first that is cut off; each is read by one load, the last load finds none.
+
+    The broken file repeats the rows of another, so it would show if any of its rows counted.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    batch = F.expr(f"event_id div {RECORDS_PER_FILE}")
+    later = F.col("event_id") >= RECORDS_PER_FILE * (events.agg(F.expr(f"max(event_id) div {2 * RECORDS_PER_FILE}")).scalar())
+    landed = shared_folder(spark, "waves")
+    name = f"waves_{landed.rsplit('-', 1)[1]}"
+    files = LandedFiles(
+        Database(spark, name, shared_folder(spark, name)), "events", "events_files", landed,
+        "event_id bigint, user_id bigint, value double",
+    )
+    newest = events.where(batch == events.agg(F.max(batch)).scalar())
+    write_documents(newest, f"{landed}/cut", batch)
+    whole = spark.read.option("wholetext", True).text(f"{landed}/cut")
+    cut = keep(whole.select(F.expr("substring(value, 1, length(value) - 5)").alias("value")), "cut")
+    cut.write.mode("overwrite").text(f"{landed}/cut")
+    for number, wave in enumerate((~later, later)):
+        write_documents(events.where(wave), f"{landed}/wave{number}", batch)
+        files.load()
+    if files.load():
+        raise AssertionError("a file was loaded twice")
+    noted = files.db.table("events_files")
+    n_files, n_broken = F.count("*"), F.count_if(F.col("status") == "broken").cast("int")
+    return (
+        files.db.table("events").drop("_file")
+        .withColumns({"n_files": noted.agg(n_files).scalar(), "n_broken": noted.agg(n_broken).scalar()})
+    )
