@@ -40,6 +40,31 @@ def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_missing_columns(read_table(spark, path), {"variant": "string"})
 
 
+@query("q04w_schema_widening", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN floor(o_totalprice) ELSE o_totalprice END AS price,
+  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS o_orderpriority,
+  CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN CAST(o_orderdate AS DATE) || ' 00:00:00.000000' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') END AS ordered
+FROM orders""")
+def schema_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders appended with narrow types, then with wider ones, a column more and another name for one of them."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderpriority", F.col("o_orderpriority").cast("string"))
+    later = F.col("o_orderdate") >= F.lit(CHANGE_DAY).cast("timestamp_ntz")
+    folder = shared_folder(spark, "widening")
+    db = Database(spark, f"widening_{folder.rsplit('-', 1)[1]}", folder)
+    db.append("orders", orders.where(~later).select(
+        F.col("o_orderkey").cast("int").alias("o_orderkey"), F.col("o_custkey").cast("int").alias("o_custkey"),
+        F.floor("o_totalprice").cast("int").alias("o_totalprice"), F.col("o_orderdate").cast("date").alias("ordered"),
+    ))
+    wide = orders.where(later).select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+        F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("ordered"), "o_orderpriority",
+    )
+    db.append("orders", wide)
+    db.evolve("orders", wide.withColumnRenamed("o_totalprice", "price").schema, {"o_totalprice": "price"})
+    return db.table("orders")
+
+
 @query("q05_guarded_refresh", """
 SELECT 'customer' AS table_name, c_custkey AS key, c_acctbal AS balance, 'kept' AS outcome FROM customer
 UNION ALL

@@ -7,15 +7,15 @@ and failed jobs never see half a table, and a job may read the table it replaces
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gradeline.operators.latest import latest_per_key
-from gradeline.operators.merge import add_missing_columns
 from gradeline.session import shared_folder
+from gradeline.sources.evolution import ADD, RENAME, WIDEN, Change, SchemaRefused, plan_schema, schema_after
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -94,6 +94,10 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 class Database:
     """The tables of one catalog database, kept as Parquet under one shared folder."""
 
@@ -146,20 +150,64 @@ class Database:
         self.spark.catalog.refreshTable(self.full_name(table))
 
     def load_slice(self, table: str, df: DataFrame, partition_by: str) -> None:
-        """Replace the slices that occur in ``df``, with columns the table does not have yet added to it."""
+        """Replace the slices that occur in ``df``; the table takes on its schema as ``evolve`` does."""
         if not self.exists(table):
-            kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-            self.create_if_absent(table, kinds, partition_by)
-        self._add_columns(table, df)
-        fields = self.table(table).schema
-        self.replace_partitions(table, add_missing_columns(df, {f.name: f.dataType.simpleString() for f in fields}), partition_by)
-
-    def _add_columns(self, table: str, df: DataFrame) -> None:
-        known = {f.name.lower() for f in self.table(table).schema}
-        added = [f for f in df.schema if f.name.lower() not in known]
-        if added:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD COLUMNS ({columns})")
+            self.create_if_absent(table, _ddl(df.schema), partition_by)
+        self.evolve(table, df.schema)
+        self.replace_partitions(table, df.to(self.table(table).schema), partition_by)
+
+    def evolve(self, table: str, schema: StructType, renames: Mapping[str, str] | None = None) -> list[Change]:
+        """Let the table hold rows of ``schema`` too: columns are added, widened or renamed, or ``SchemaRefused`` is raised.
+
+        Added and widened columns change the entry alone: the stored files are read as the wider type. Parquet finds
+        columns by name, so a renaming writes the table anew, once. A refusal changes nothing.
+        """
+        changes = plan_schema(self.table(table).schema, schema, renames)
+        after = schema_after(changes)
+        kinds = {c.kind for c in changes}
+        if not kinds & {ADD, WIDEN, RENAME}:
+            return changes
+        if kinds.isdisjoint({WIDEN, RENAME}):
+            added = StructType([f for f, c in zip(after, changes) if c.kind == ADD])
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD COLUMNS ({_ddl(added)})")
+            return changes
+        details = self._details(f"DESCRIBE EXTENDED {self.full_name(table)}")
+        if details.get("Num Buckets", "0") not in ("0", "-1"):
+            raise SchemaRefused(f"{table} is stored by buckets, which go by the types of its columns")
+        by = [c.name for c in self.spark.catalog.listColumns(f"{self.name}.{table}") if c.isPartition]
+        if any(c.kind == RENAME and c.before in by for c in changes):
+            raise SchemaRefused(f"{table} is stored by {by[0]}, which keeps its name")
+        if RENAME in kinds:
+            location = self.fresh(table)
+            named = self.table(table).withColumnsRenamed({c.before: c.column for c in changes if c.kind == RENAME})
+            named.to(after).write.partitionBy(*by).parquet(location)
+        else:
+            location = details["Location"]
+        self._swap(table, after, location, by, RENAME in kinds)
+        return changes
+
+    def _swap(self, table: str, schema: StructType, location: str, by: Sequence[str], rewritten: bool) -> None:
+        """Give the table another schema over files that are there; with partitions, over the folders of theirs."""
+        fresh = f"{table}_{uuid.uuid4().hex[:8]}"
+        stored_by = f"PARTITIONED BY (`{by[0]}`)" if by else ""
+        self.spark.sql(f"CREATE TABLE {self.full_name(fresh)} ({_ddl(schema)}) USING parquet {stored_by} LOCATION '{location}'")
+        places = []
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.full_name(table)}").collect() if by else []:
+            part = f"PARTITION (`{by[0]}` = '{row[0].split('=', 1)[1]}')"
+            at = f"{location}/{row[0]}" if rewritten else self._details(f"DESCRIBE EXTENDED {self.full_name(table)} {part}")["Location"]
+            places.append(f"{part} LOCATION '{at}'")
+        if places:
+            self.spark.sql(f"ALTER TABLE {self.full_name(fresh)} ADD {' '.join(places)}")
+        self.spark.sql(f"DROP TABLE {self.full_name(table)}")
+        self.spark.sql(f"ALTER TABLE {self.full_name(fresh)} RENAME TO {self.full_name(table)}")
+        self.spark.catalog.refreshTable(self.full_name(table))
+
+    def _details(self, statement: str) -> dict[str, str]:
+        """What a DESCRIBE tells; the first of equal names counts, which is a partition's before its table's."""
+        told: dict[str, str] = {}
+        for name, value, _ in self.spark.sql(statement).collect():
+            told.setdefault(name, value)
+        return told
 
     def merge(
         self, table: str, batch: DataFrame, keys: Sequence[str], newest_first: Sequence[str], partition_by: str
@@ -186,14 +234,12 @@ class Database:
         self.spark.catalog.refreshTable(self.full_name(table))
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Append a batch, with columns the table does not have yet added to it."""
+        """Append a batch; the table takes on its schema as ``evolve`` does."""
         if not self.exists(table):
             self.replace(table, df)
             return
-        self._add_columns(table, df)
-        fields = self.table(table).schema
-        rows = add_missing_columns(df, {f.name: f.dataType.simpleString() for f in fields})
-        rows.select(*fields.names).write.insertInto(self.full_name(table))
+        self.evolve(table, df.schema)
+        df.to(self.table(table).schema).write.insertInto(self.full_name(table))
 
     def create_view(self, view: str, sql: str) -> None:
         """A view of the catalog, which later sessions see as well."""
