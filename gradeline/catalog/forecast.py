@@ -14,6 +14,7 @@ from gradeline.functions.replies import parse_reply
 from gradeline.functions.scores import HORIZON_DAYS
 from gradeline.operators.asof import latest_as_of
 from gradeline.operators.percentiles import percentile_table
+from gradeline.operators.sketches import StoredSketches, percentiles, rank_error
 from gradeline.operators.stretches import latest_in_stretches, trailing_in_stretches
 from gradeline.operators.topk import top_k
 from gradeline.plans import popularity as pop
@@ -21,6 +22,7 @@ from gradeline.plans.calls import first_parsed
 from gradeline.plans.metrics import analyst_sentiment
 from gradeline.plans.scorecard import grade, summarise
 from gradeline.session import shared_folder
+from gradeline.sources.tables import Database, keep
 
 
 @query("q19_popularity", "WITH" + POPULARITY_SQL + """
@@ -89,6 +91,49 @@ def price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("p", F.round("percentile", 6).alias("percentile"))
 
 
+@query("q20k_sketched_percentiles", """
+WITH lines AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_extendedprice AS price FROM lineitem),
+ranges AS (SELECT DISTINCT month AS last, CAST(month - INTERVAL 11 MONTH AS DATE) AS first FROM lines)
+SELECT CAST(last AS VARCHAR) AS last, p, count(*) AS n, min(price) AS lowest, max(price) AS highest, TRUE AS within
+FROM ranges JOIN lines ON month BETWEEN first AND last CROSS JOIN (SELECT unnest([0.333333, 0.5, 0.666667, 0.99]::DOUBLE[]) AS p)
+GROUP BY ALL""")
+def sketched_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of line prices over the twelve months up to every month, out of sketches by month that are loaded in two turns.
+
+    ``within``: the rank of the answer, counted over all lines, is no farther from p than double the error stated for 99 of 100.
+    """
+    probabilities = (*pop.TERCILES, 0.5, 0.99)
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.trunc("l_shipdate", "month").alias("month"), F.col("l_extendedprice").cast("double").alias("price")
+    )
+    folder = shared_folder(spark, "sketches")
+    db = Database(spark, f"sketches_{folder.rsplit('-', 1)[1]}", folder)
+    stored = StoredSketches(db, "prices", "month", "price")
+    half = F.lit("1995-06-01").cast("date")
+    stored.load(lines.where(F.col("month") <= half))
+    stored.load(lines.where(F.col("month") >= half))  # one month comes again
+    ranges = stored.table().select(F.col("month").alias("last"), F.add_months("month", -11).alias("first"))
+    asked = F.array(*[F.lit(p) for p in probabilities])
+    found = keep(
+        stored.over(ranges, "first", "last").select(
+            "first", "last", "n", percentiles("sketch", (0, 1)).alias("ends"),
+            F.inline(F.arrays_zip(asked.alias("p"), percentiles("sketch", probabilities).alias("answer"))),
+        ),
+        "answers",
+    )
+    # Every line meets the answers of the twelve ranges that hold its month; counts are combined before the shuffle.
+    met = lines.select("price", F.explode(F.sequence("month", F.add_months("month", 11), F.expr("INTERVAL 1 MONTH"))).alias("last"))
+    ranks = met.join(found.select("last", "p", "answer"), "last").groupBy("last", "p").agg(
+        (F.count_if(F.col("price") < F.col("answer")) / F.count("price")).alias("below"),
+        (F.count_if(F.col("price") <= F.col("answer")) / F.count("price")).alias("up_to"),
+    )
+    off = 2 * rank_error()
+    within = (F.col("below") <= F.col("p") + off) & (F.col("up_to") >= F.col("p") - off)
+    return found.join(ranks, ["last", "p"]).select(
+        "last", "p", "n", F.col("ends")[0].alias("lowest"), F.col("ends")[1].alias("highest"), within.alias("within")
+    )
+
+
 @query("q20b_offset_join", "WITH" + MOVES_SQL + """
 SELECT brand, CAST(d AS VARCHAR) AS d, popularity AS pop_then, score[d + 7] AS pop_future,
   score[d + 7] - popularity AS delta, popularity - score[d - 7] AS prior_delta
