@@ -7,13 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeline.catalog.fixtures import NOW, REPLY_KEYS_SQL, moment, prediction_log, table
+from gradeline.catalog.fixtures import NOW, REPLY_KEYS_SQL, moment, prediction_log, publication_date, table
 from gradeline.catalog.measures import RATINGS_SQL, nation_ratings, source_engagement, weighted_sentiment
 from gradeline.catalog.registry import query
 from gradeline.functions.scores import CALLS
 from gradeline.plans.quality import (
     GOLD, PREDICTIONS, SILVER, Allowed, NoNulls, RowCount, Unique, call_collapse, duplicate_rows, freshness, run_suite, skip_rate,
 )
+from gradeline.plans.quality_state import QualityState
+from gradeline.session import shared_folder
+from gradeline.sources.tables import Database
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
@@ -72,6 +75,29 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+@query("q25i_incremental_quality", """
+SELECT unnest(['row_count', 'no_nulls', 'no_nulls', 'allowed_values', 'unique_key', 'unique_key']) AS check_name,
+  unnest(['*', 'text', 'lang', 'lang', 'doc_id', 'lang,text']) AS target,
+  unnest(['PASS', CASE WHEN t = 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN l = 0 THEN 'PASS' ELSE 'FAIL' END,
+    CASE WHEN o = 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN n = ids THEN 'PASS' ELSE 'FAIL' END, CASE WHEN n = texts THEN 'PASS' ELSE 'FAIL' END]) AS status,
+  unnest([n, t, l, o, n - ids, n - texts]::DOUBLE[]) AS observed, unnest([1, 0, 0, 0, 0, 0]::DOUBLE[]) AS limit_value
+FROM (SELECT count(*) AS n, count(*) FILTER (text IS NULL) AS t, count(*) FILTER (lang IS NULL) AS l,
+    count(*) FILTER (lang NOT IN ('de', 'en')) AS o, count(DISTINCT doc_id) AS ids, count(DISTINCT (lang, text)) AS texts FROM documents)""")
+def incremental_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on all documents, measured in three loads of days, one of which comes again; copies of texts lie on many days."""
+    documents = table(spark, sf_dir, "documents").withColumn("day", publication_date(F.col("doc_id")))
+    folder = shared_folder(spark, "quality")
+    state = QualityState(
+        Database(spark, f"quality_{folder.rsplit('-', 1)[1]}", folder), "documents",
+        [RowCount(), NoNulls(("text", "lang")), Allowed("lang", ("de", "en")), Unique(("doc_id",)), Unique(("lang", "text"))],
+        "day", lambda days: documents.where(F.col("day").isin(days)),
+    )
+    day = F.dayofmonth("day")
+    for part in (day <= 20, day > 20, day == 5):
+        state.load(documents.where(part))
+    return state.report()
+
+
 @query("q25s_layer_suites", "WITH" + RATINGS_SQL + "," + REPLY_KEYS_SQL + """,
 engaged AS (SELECT source, lang, count(*) AS review_count FROM documents GROUP BY 1, 2),
 facts AS (
