@@ -71,11 +71,11 @@ SELECT horizon_days, round(fall_below, 9) AS fall_below, round(rise_above, 9) AS
   '2024-02-01 07:00:00.000000' AS frozen_at FROM cut""")
 def cutoff_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The terciles, written once: the second attempt, with another horizon, keeps the first row."""
-    path = shared_folder(spark, "cutoffs")
+    folder = shared_folder(spark, "cutoffs")
+    db = Database(spark, f"cutoffs_{folder.rsplit('-', 1)[1]}", folder)
     series = popularity(spark, sf_dir)
-    pop.cutoffs(series, moment(INGESTED_AT)).write.mode("ignore").parquet(path)
-    pop.cutoffs(series, moment(INGESTED_AT), 3).write.mode("ignore").parquet(path)
-    return spark.read.parquet(path).withColumns(
+    db.freeze("cutoffs", lambda: pop.cutoffs(series, moment(INGESTED_AT)))
+    return db.freeze("cutoffs", lambda: pop.cutoffs(series, moment(INGESTED_AT), 3)).withColumns(
         {"fall_below": F.round("fall_below", 9), "rise_above": F.round("rise_above", 9)}
     )
 
