@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,41 +48,82 @@ def packed_days(rarities: DataFrame, requests: DataFrame) -> DataFrame:
     return days.join(weights, ["entity", "block"])
 
 
-def word_scores(hits: list[dict], days: list, weights: list[dict]) -> tuple[list, list, np.ndarray]:
-    """(ids, dates, scores by document and day) of the hits; a document of a later day scores minus infinity."""
-    place = {d: i for i, d in enumerate(days)}
-    words = {w: i for i, w in enumerate(sorted({x["word"] for x in weights}))}
-    idf, mean = np.zeros((len(words), len(days))), np.ones(len(days))
-    for x in weights:
-        idf[words[x["word"]], place[x["as_of"]]] = x["idf"]
-        mean[place[x["as_of"]]] = x["mean"]
-    dates = {h["doc_id"]: h["published_date"] for h in hits}
-    ids = sorted(dates)
-    number = {d: i for i, d in enumerate(ids)}
-    known = [h for h in hits if h["word"] in words]
-    doc = np.array([number[h["doc_id"]] for h in known], np.int64)
-    word = np.array([words[h["word"]] for h in known], np.int64)
-    tf, size = (np.array([h[c] for h in known], np.float64)[:, None] for c in ("tf", "length"))
-    gain = idf[word] * tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * size / mean))
-    scores = np.zeros((len(ids), len(days)))
-    np.add.at(scores, doc, gain)
-    dated = [dates[d] for d in ids]
-    late = np.array(dated, "datetime64[D]")[:, None] > np.array(days, "datetime64[D]")[None, :]
-    return ids, dated, np.where(late, -np.inf, np.round(scores, SCORE_DIGITS) + 0.0)
-
-
-def by_part(
-    packed: DataFrame, asked: DataFrame, use: Callable[[dict, list, list, np.ndarray], list[dict]], schema: pa.Schema, ddl: str
-) -> DataFrame:
-    """``use(row, ids, dates, scores)`` for every part of the hits and block of days of a question."""
+class WordScores:
+    """Scores of the hits (doc_id, published_date, word, tf, length) of a question on some days, column by column.
+
+    ``ids`` are its documents in ascending order, ``dates`` theirs, ``scores`` has a row a day and a column a document; a document of
+    a later day scores minus infinity.
+    """
+
+    def __init__(self, hits: pa.StructArray, days: list, weights: list[dict]):
+        id_, date, word, tf, size = hits.flatten()
+        coded = id_.dictionary_encode()
+        order = pc.array_sort_indices(coded.dictionary).to_numpy()
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        doc = number[coded.indices.to_numpy()]
+        self.ids = coded.dictionary.take(pa.array(order))
+        at = date.cast(pa.int32()).to_numpy()
+        self.dates = np.zeros(len(order), np.int32)
+        self.dates[doc] = at
+
+        place = {d: i for i, d in enumerate(days)}
+        spelt = word.dictionary_encode()
+        words = {w: i for i, w in enumerate(spelt.dictionary.to_pylist())}
+        idf, mean = np.zeros((len(days), len(words))), np.ones(len(days))
+        for x in weights:
+            mean[place[x["as_of"]]] = x["mean"]
+            if x["word"] in words:
+                idf[place[x["as_of"]], words[x["word"]]] = x["idf"]
+        # By date, so that the hits of a day's corpus come first.
+        by_date = np.argsort(at, kind="stable")
+        at, doc, word = at[by_date], doc[by_date], spelt.indices.to_numpy()[by_date]
+        tf, size = (x.to_numpy()[by_date].astype(np.float64) for x in (tf, size))
+        limits = np.array(days, "datetime64[D]").astype(np.int64)
+        self.scores = np.full((len(days), len(order)), -np.inf)
+        for j, n in enumerate(np.searchsorted(at, limits, "right").tolist()):
+            damping = BM25_K1 * (1 - BM25_B + BM25_B * size[:n] / mean[j])
+            gain = idf[j][word[:n]] * tf[:n] * (BM25_K1 + 1) / (tf[:n] + damping)
+            sums = np.bincount(doc[:n], gain, len(order))
+            known = self.dates <= limits[j]
+            self.scores[j, known] = np.round(sums[known], SCORE_DIGITS) + 0.0
+
+    def best(self, day: int, k: int) -> np.ndarray:
+        """Numbers of the ``k`` best documents of a day, the best first; ids ascend, so equal scores go by id."""
+        loss = -self.scores[day]
+        some = np.flatnonzero(loss < np.inf)
+        if len(some) > k:
+            some = some[loss[some] <= np.partition(loss[some], k - 1)[k - 1]]
+        return some[np.argsort(loss[some], kind="stable")[:k]]
+
+    def places(self, day: int, marks: list[dict]) -> np.ndarray:
+        """How many of the marks, (loss, doc_id) in ascending order, come before each document of a day."""
+        here = np.flatnonzero(self.scores[day] > -np.inf)
+        losses = np.array([m["loss"] for m in marks])
+        loss = -self.scores[day][here]
+        place = np.searchsorted(losses, loss, "left")
+        tied = np.flatnonzero(place < np.searchsorted(losses, loss, "right"))
+        if len(tied):  # equal scores: the ids decide
+            ids = self.ids.to_numpy(zero_copy_only=False)
+            for m in marks:
+                equal = tied[loss[tied] == m["loss"]]
+                place[equal] += here[equal] >= np.searchsorted(ids, m["doc_id"], "right")
+        return place
+
+
+def by_part(packed: DataFrame, asked: DataFrame, use: Callable[[dict, WordScores], list], schema: pa.Schema, ddl: str) -> DataFrame:
+    """``use(row, scores)``, columns, for every part of the hits and block of days of a question."""
     reach_package(packed.sparkSession)
     met = packed.join(asked, "entity")
+    entity = schema.field("entity").type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                yield pa.RecordBatch.from_pylist(use(row, *word_scores(row["hits"], row["days"], row["weights"])), schema=schema)
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names if c != "hits"}
+                columns = use(row, WordScores(batch.column("hits")[i].values, row["days"], row["weights"]))
+                entities = pa.array([row["entity"]], entity).take(pa.array(np.zeros(len(columns[0]), np.int64)))
+                yield pa.RecordBatch.from_arrays([entities, *columns], schema=schema)
 
     return met.mapInArrow(run, ddl)
 
@@ -95,15 +137,22 @@ def kinds(packed: DataFrame) -> tuple[tuple[pa.DataType, str], tuple[pa.DataType
     return (to_arrow_type(entity), entity.simpleString()), (to_arrow_type(id_), id_.simpleString())
 
 
+def by_day(days: list, parts: list[np.ndarray]) -> pa.Array:
+    """The days, each as often as its part has members."""
+    return pa.array(days, pa.date32()).take(pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts])))
+
+
+def joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
+
+
 def best_by_words(packed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """(entity, as_of, doc_id, score): the ``k`` best of every part for each day asked."""
 
-    def use(row: dict, ids: list, _: list, scores: np.ndarray) -> list[dict]:
-        order = np.argsort(-scores, axis=0, kind="stable")[:k]  # ids ascend, so equal scores go by id
-        return [
-            {"entity": row["entity"], "as_of": day, "doc_id": ids[i], "score": float(scores[i, j])}
-            for j, day in enumerate(row["days"]) for i in order[:, j].tolist() if scores[i, j] > -np.inf
-        ]
+    def use(row: dict, found: WordScores) -> list:
+        best = [found.best(j, k) for j in range(len(row["days"]))]
+        scores = [found.scores[j][at] for j, at in enumerate(best)]
+        return [by_day(row["days"], best), found.ids.take(pa.array(joined(best, np.int64))), pa.array(joined(scores, np.float64))]
 
     (entity, entity_ddl), (id_, id_ddl) = kinds(packed)
     schema = pa.schema([("entity", entity), ("as_of", pa.date32()), ("doc_id", id_), ("score", pa.float64())])
@@ -113,21 +162,14 @@ def best_by_words(packed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 def word_places(packed: DataFrame, asked: DataFrame) -> DataFrame:
     """(entity, as_of, place, n): how many documents of the day have exactly ``place`` of the request's marks before them."""
 
-    def use(row: dict, ids: list, _: list, scores: np.ndarray) -> list[dict]:
-        out = []
+    def use(row: dict, found: WordScores) -> list:
         marks = {m["as_of"]: m["marks"] for m in row["dated_marks"]}
-        for j, day in enumerate(row["days"]):
-            here = np.flatnonzero(scores[:, j] > -np.inf)
-            if day in marks and len(here):
-                keys = [(m["loss"], m["doc_id"]) for m in marks[day]]
-                losses = np.array([loss for loss, _ in keys])
-                loss = -scores[here, j]
-                place, last = np.searchsorted(losses, loss, "left"), np.searchsorted(losses, loss, "right")
-                for i in np.flatnonzero(place < last).tolist():  # equal scores: the ids decide
-                    place[i] += sum(id_ < ids[here[i]] for _, id_ in keys[place[i] : last[i]])
-                found, n = np.unique(place, return_counts=True)
-                out += [{"entity": row["entity"], "as_of": day, "place": p, "n": c} for p, c in zip(found.tolist(), n.tolist())]
-        return out
+        counted = [
+            np.unique(found.places(j, marks[day]) if day in marks else np.zeros(0, np.int64), return_counts=True)
+            for j, day in enumerate(row["days"])
+        ]
+        places, counts = ([c[i] for c in counted] for i in (0, 1))
+        return [by_day(row["days"], places), pa.array(joined(places, np.int32)), pa.array(joined(counts, np.int64))]
 
     (entity, entity_ddl), _ = kinds(packed)
     schema = pa.schema([("entity", entity), ("as_of", pa.date32()), ("place", pa.int32()), ("n", pa.int64())])

@@ -6,12 +6,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
 from gradeline.catalog import fixtures
-from gradeline.operators import cells
+from gradeline.operators import cells, postings
 from gradeline.operators.cells import CellIndex
 from gradeline.operators.diff import snapshot_diff
 from gradeline.operators.postings import Postings
@@ -135,3 +136,40 @@ def test_fused_search_of_every_day_is_that_of_each_day(spark, rows, tmp_path, mo
     assert index.matches(rows("entity int, word string", (1, "w1"))).count() == sum((t or "").split().count("w1") > 0 for _, d, t, _ in data if d)
     plan = index.matches(rows("entity int, word string", (1, "w1")))._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+
+
+def test_postings_are_stored_by_words_of_blocks(spark, rows, tmp_path):
+    """What is moved and sorted has a row for a word of a block, not one for each text that has the word."""
+    texts = [(i, day(i % 5), "a b b " + ("c" if i % 2 else "")) for i in range(40)] + [(99, day(1), "")]
+    index = Postings(spark, f"{tmp_path}/postings")
+    index.build(rows("doc_id int, published_date date, text_content string", *texts).coalesce(1))
+    assert spark.read.parquet(f"{tmp_path}/postings/postings").count() == 4  # a, b, c and ''
+    held = {tuple(r) for r in index.postings().select("doc_id", "word", "tf", "length").collect()}
+    assert len(held) == 40 * 2 + 20 + 41 and (3, "b", 2, 4) in held and (99, "", 1, 0) in held
+
+
+def test_blocks_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(postings, "BLOCK_WORDS", 20)
+    rng = random.Random(12)
+    texts = [(f"t{i}", day(i % 3), [rng.choice("xyz") for _ in range(rng.choice([0, 1, 7, 45]))]) for i in range(60)]
+    kind = pa.schema([("doc_id", pa.string()), ("published_date", pa.date32()), ("words", pa.list_(pa.string()))])
+    whole = pa.RecordBatch.from_pylist([dict(zip(kind.names, t)) for t in texts], schema=kind)
+    blocks = [b.to_pylist() for b in postings.posting_blocks(iter([whole.slice(0, 25), whole.slice(25, 0), whole.slice(25)]))]
+    assert len(blocks) > 10 and all(len(b) == len({r["word"] for r in b}) for b in blocks)
+    found = sorted((r["word"], d["doc_id"], d["published_date"], d["tf"], d["length"]) for b in blocks for r in b for d in r["docs"])
+    assert found == sorted((w, i, d, t.count(w) if w else 1, len(t)) for i, d, t in texts for w in {*t, ""})
+
+
+def test_word_scores_rank_and_place_ties_by_id():
+    hits = [(i, day(n), w, tf, 4) for i, n, w, tf in [(5, 0, "a", 1), (3, 0, "a", 1), (9, 1, "a", 2), (9, 1, "b", 1), (4, 2, "b", 1), (1, 0, "b", 1)]]
+    names = ["doc_id", "published_date", "word", "tf", "length"]
+    weights = [{"as_of": day(n), "word": w, "idf": 0.5, "mean": 4.0} for n in (0, 1) for w in "ab"]
+    found = dated_search.WordScores(pa.array([dict(zip(names, h)) for h in hits], pa.struct(
+        [("doc_id", pa.int32()), ("published_date", pa.date32()), ("word", pa.string()), ("tf", pa.int32()), ("length", pa.int32())]
+    )), [day(0), day(1)], weights)
+    assert found.ids.to_pylist() == [1, 3, 4, 5, 9]
+    assert [[found.ids[i].as_py() for i in found.best(j, 3)] for j in (0, 1)] == [[1, 3, 5], [9, 1, 3]]
+    one = 0.5 * 2.2 / 2.2
+    marks = [{"loss": -one, "doc_id": 2}, {"loss": -one, "doc_id": 5}]
+    assert found.places(0, marks).tolist() == [0, 1, 1]  # of 1, 3 and 5
+    assert found.places(1, marks).tolist() == [0, 1, 1, 0]  # 9 is better than both
