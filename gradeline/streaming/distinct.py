@@ -9,7 +9,6 @@ replaces just these.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +21,6 @@ from gradeline.streaming.ticks import _exists
 DAY, BATCH = "day", "batch"
 
 
-def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
-
-
 def flagged(ticks: DataFrame, keys: Sequence[str], delay: str, time: str = "ts") -> DataFrame:
     """A stream of all ticks (``_first`` false) and of those the state store sees first (``_first`` true).
 
@@ -43,41 +38,45 @@ def append_distinct(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for a ``flagged`` stream that appends each key once to a table by day and batch.
 
-    ``marks`` is a folder with the newest time seen up to every batch. What Spark drops as late lies more
-    than ``delay`` before the newest time seen so far, so only such ticks, and those without a time, are
-    looked up in the stored days; younger ones that the state did not let through are repeats.
+    ``marks`` is a folder with the newest time seen up to every batch. What Spark drops as late lies ``delay`` or more before the
+    newest time of earlier batches (or before 1970), so only such ticks, and those without a time, are kept and looked up in the
+    stored days; younger ones that the state did not let through are repeats. Before the first mark the batch's own newest time counts.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = keep(batch, "distinct_batch")
-        newest = rows.agg(F.max(time).alias("newest"))
+        newest = None
         if _exists(spark, marks):
             earlier = spark.read.schema(f"newest timestamp, {BATCH} bigint").parquet(marks).where(F.col(BATCH) < batch_id)
-            newest = newest.unionByName(earlier.select("newest")).agg(F.max("newest").alias("newest"))
-        newest = keep(newest.coalesce(1), "distinct_newest")
-
-        first = rows.where("_first").drop("_first")
-        late_before = newest.select(F.col("newest") - F.expr(f"INTERVAL {delay}")).scalar()
-        old = rows.where(~F.col("_first") & (F.col(time).isNull() | (F.col(time) < late_before)))
-        # Copies of a key combine before the shuffle, whatever their number.
-        old = old.drop("_first").dropDuplicates(list(keys)).alias("o")
-        old = old.join(first.select(*keys).alias("f"), _same("o", "f", keys), "left_anti")
-        old = keep(old.withColumn(DAY, F.to_date(time)), "distinct_old")
-        if _exists(spark, path):
-            days = [row[0] for row in old.select(DAY).distinct().collect()]
-            known = F.col(DAY).isin([d for d in days if d is not None])
-            touched = known | F.col(DAY).isNull() if None in days else known
-            stored = spark.read.schema(schema).parquet(path).where((F.col(BATCH) < batch_id) & touched)
-            new = old.alias("o").join(stored.select(*keys).alias("s"), _same("o", "s", keys), "left_anti")
-        else:
-            new = old
-        both = first.withColumn(DAY, F.to_date(time)).unionByName(new).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        replace_partitions(both, path, [DAY, BATCH])
-        newest.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
+            newest = earlier.agg(F.unix_micros(F.max("newest"))).first()[0]
+
+        def late(newest: Column) -> Column:
+            reach = F.greatest(newest - F.expr(f"INTERVAL {delay}"), F.timestamp_seconds(F.lit(0)))
+            return ~F.col("_first") & (F.col(time).isNull() | (F.col(time) <= reach))
+
+        # The newest tick of a batch is let through, or came with an earlier batch; no repeat is newer.
+        marked = F.timestamp_micros(F.lit(newest).cast("long"))
+        rows = keep(batch if newest is None else batch.where(F.col("_first") | late(marked)), "distinct_batch")
+        reached = keep(rows.agg(F.greatest(F.max(time), marked).alias("newest")).coalesce(1), "distinct_newest")
+        first = rows.where("_first").drop("_first").withColumn(DAY, F.to_date(time))
+        old = rows.where(late(reached.scalar() if newest is None else marked)).drop("_first")
+        both, seen = first, first.select(*keys)
+        days = [row[0] for row in old.select(F.to_date(time)).distinct().collect()]
+        if days:
+            if _exists(spark, path):
+                known = F.col(DAY).isin([d for d in days if d is not None])
+                touched = known | F.col(DAY).isNull() if None in days else known
+                seen = seen.unionByName(spark.read.schema(schema).parquet(path).where((F.col(BATCH) < batch_id) & touched).select(*keys))
+            # Equal keys meet in one aggregate, and copies combine before the shuffle, whatever their number.
+            others = [c for c in old.columns if c not in keys]
+            pool = old.withColumn("_seen", F.lit(False)).unionByName(seen.withColumn("_seen", F.lit(True)), allowMissingColumns=True)
+            met = pool.groupBy(*keys).agg(F.max("_seen").alias("_seen"), *[F.first(c).alias(c) for c in others])
+            both = first.unionByName(met.where("NOT _seen").drop("_seen").withColumn(DAY, F.to_date(time)))
+        replace_partitions(both.withColumn(BATCH, F.lit(batch_id).cast("bigint")), path, [DAY, BATCH])
+        reached.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(BATCH).parquet(marks)
-        discard(rows, newest, old)
+        discard(rows, reached)
 
     return add
 

@@ -5,6 +5,8 @@ import random
 from conftest import bag
 from pyspark.sql import functions as F
 
+from gradeline.sources.tables import keep
+from gradeline.streaming import distinct
 from gradeline.streaming.distinct import append_distinct, distinct_ticks
 from gradeline.streaming.ticks import read_ticks
 
@@ -64,3 +66,31 @@ def test_only_old_ticks_are_looked_up(spark, rows, tmp_path):
     add(young.withColumn("ts", F.timestamp_millis("t")), 1)
     stored = spark.read.schema(STORED).parquet(f"{tmp_path}/stored")
     assert sorted(r.t // HOUR for r in stored.collect()) == [47, 50]
+
+
+def test_a_late_tick_as_old_as_the_watermark_is_stored(spark, rows, tmp_path):
+    folder = str(tmp_path)
+    run(spark, folder, rows(LANDED, ("A", 1.0, 50 * HOUR, 1.0)))
+    for _ in range(2):
+        stored = run(spark, folder, rows(LANDED, ("A", 1.0, 48 * HOUR, 1.0), ("A", 1.0, 47 * HOUR, 1.0)))
+    assert sorted(r.t // HOUR for r in stored.collect()) == [47, 48, 50]
+
+
+def test_ticks_before_1970_are_stored(spark, rows, tmp_path):
+    stored = run(spark, str(tmp_path), rows(LANDED, ("A", 1.0, -50 * HOUR, 1.0), ("A", 1.0, -49 * HOUR, 1.0), ("A", 1.0, -49 * HOUR, 1.0)))
+    assert sorted(r.t // HOUR for r in stored.collect()) == [-50, -49]
+
+
+def test_repeats_in_time_are_not_kept(spark, rows, tmp_path, monkeypatch):
+    """Of a later batch only what the state let through or dropped as late is written at all."""
+    kept = {}
+    monkeypatch.setattr(distinct, "keep", lambda df, name: kept.setdefault(name, []).append(keep(df, name)) or kept[name][-1])
+    monkeypatch.setattr(distinct, "discard", lambda *_: None)
+    add = append_distinct(f"{tmp_path}/stored", f"{tmp_path}/marks", KEYS, "2 hours", STORED)
+    ddl = f"{LANDED}, _first boolean"
+    add(rows(ddl, ("A", 1.0, 50 * HOUR, 1.0, True)).withColumn("ts", F.timestamp_millis("t")), 0)
+    ticks = [("A", 1.0, t * HOUR, 1.0, f) for t, f in [(50, False), (49, True), (49, False), (49, False), (60, True), (60, False), (3, False)]]
+    add(rows(ddl, *ticks).withColumn("ts", F.timestamp_millis("t")), 1)
+    assert kept["distinct_batch"][1].count() == 3
+    stored = spark.read.schema(STORED).parquet(f"{tmp_path}/stored")
+    assert sorted(r.t // HOUR for r in stored.collect()) == [3, 49, 50, 60]
