@@ -173,8 +173,8 @@ def shared_stretches(texts: DataFrame, n_bytes: int, frequent) -> DataFrame:
 
 
 def contexts(texts: DataFrame, shared: DataFrame, equal: DataFrame, frequent) -> DataFrame:
-    """(key, hash, id, tie, start, place, body): a row for each shared stretch, with the bytes of its strings and where in
-    them those of the key are. Of the texts that ``equal`` (tie, digest, least) names, those of the smallest id have rows.
+    """(key, often, hash, id, tie, start, place, body): a row for each shared stretch, with the bytes of its strings and where in
+    them those of the key are; ``often`` marks frequent keys. Of the texts that ``equal`` (tie, digest, least) names, those of the smallest id have rows.
 
     Key and hash stand for the bytes; only the first row of a batch that has them carries them.
     """
@@ -187,10 +187,11 @@ def contexts(texts: DataFrame, shared: DataFrame, equal: DataFrame, frequent) ->
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        parts: list[list] = [[np.zeros(0, np.int64)] for _ in range(5)]
+        parts: list[list] = [[np.zeros(0, np.int64)] for _ in range(6)]
         bodies: list[bytes] = []
         for row, data, (keys, starts, n, places) in per_document(batch.column(2).cast(pa.binary()).to_pylist()):
-            wanted = among(keys, frequent.value)
+            often = among(keys, frequent.value)
+            wanted = often.copy()
             listed = batch.column(3)[row]
             if listed.is_valid:
                 chosen = listed.values.to_numpy()
@@ -198,21 +199,22 @@ def contexts(texts: DataFrame, shared: DataFrame, equal: DataFrame, frequent) ->
             starts, ends = starts[wanted], (starts + n)[wanted] + LENGTH - 1
             bodies += [data[a:z] for a, z in zip(starts.tolist(), ends.tolist())]
             for part, values in zip(parts, (
-                keys[wanted].astype(np.int64), np.full(len(starts), ids[row]), np.full(len(starts), ties[row]), starts, places[wanted] - starts
+                keys[wanted].astype(np.int64), np.full(len(starts), ids[row]), np.full(len(starts), ties[row]), starts, places[wanted] - starts,
+                often[wanted],
             )):
                 part.append(values)
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, bodies), np.uint64, len(bodies)).view(np.int64)
         first = np.ones(len(bodies), bool)
         first[np.unique(hashes, return_index=True)[1]] = False  # the mask of what is left out
-        key, id_, tie, start, place = map(np.concatenate, parts)
-        columns = [key, hashes, id_, tie, start.astype(np.int32), place.astype(np.int32)]
+        key, id_, tie, start, place, often = map(np.concatenate, parts)
+        columns = [key, often.astype(bool), hashes, id_, tie, start.astype(np.int32), place.astype(np.int32)]
         return pa.RecordBatch.from_arrays(
             [*map(pa.array, columns), pa.array(bodies, pa.binary(), mask=first) if bodies else pa.array([], pa.binary())],
-            names=["key", "hash", "id", "tie", "start", "place", "body"],
+            names=["key", "often", "hash", "id", "tie", "start", "place", "body"],
         )
 
     return map_batches(joined, ["id", "tie", "text", "places"], run,
-                       "key long, hash long, id long, tie long, start int, place int, body binary", rows=256)
+                       "key long, often boolean, hash long, id long, tie long, start int, place int, body binary", rows=256)
 
 
 def first_owners(bodies: list[bytes], lows: np.ndarray) -> np.ndarray:
@@ -267,27 +269,30 @@ def alike(bodies: list[bytes], places: list[int]) -> list[int]:
     return sorted(stay) if len(stay) > 1 else []
 
 
-def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
+def solved(dealt: DataFrame) -> DataFrame:
     """(key, hash, parts): the stretches of each context's strings that some document of it may lose.
 
-    ``distinct`` has (key, hash, body, place, low, high), the bytes and the smallest and largest id of each context. A part
+    ``dealt`` has (key, hash, body, place, low, high), the bytes and the smallest and largest id of each context. A part
     is (at, n, low): ``n`` strings from number ``at`` on, and the smallest id that has them. All contexts of a key
-    go to one shard.
+    are in one shard, ordered by key.
     """
-    reach_package(distinct.sparkSession)
-
-    def judge(rows: list[tuple]) -> pa.RecordBatch:
-        keys, hashes, bodies, places, lows, highs = zip(*rows)
-        edges = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]] + [len(keys)]
-        compared = np.array(
-            [a + i for a, z in zip(edges, edges[1:]) if z > a + 1 for i in alike(bodies[a:z], places[a:z])], np.int64
-        )
-        low, high = np.array(lows, np.int64), np.array(highs, np.int64)
-        n = np.fromiter(map(len, bodies), np.int64, len(bodies)) - LENGTH + 1
-        whole = np.setdiff1d(np.arange(len(bodies)), compared)
+    reach_package(dealt.sparkSession)
+
+    def judge(rows: pa.Table) -> pa.RecordBatch:
+        keys, hashes, sizes, lows, highs = (rows.column(c).to_numpy() for c in ("key", "hash", "size", "low", "high"))
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        counts = np.diff(np.append(heads, len(keys)))
+        # Bytes of contexts that are alone in their key are not looked at.
+        crowd = np.flatnonzero(np.repeat(counts, counts) > 1)
+        bodies, places = (rows.column(c).take(pa.array(crowd)).to_pylist() for c in ("body", "place"))
+        edges = np.append(0, np.cumsum(counts[counts > 1])).tolist()
+        chosen = np.array([a + i for a, z in zip(edges, edges[1:]) for i in alike(bodies[a:z], places[a:z])], np.int64)
+        compared = crowd[chosen]
+        low, high, n = lows, highs, sizes.astype(np.int64) - LENGTH + 1
+        whole = np.setdiff1d(np.arange(len(keys)), compared)
         context, at, size, owner = whole, np.zeros(len(whole), np.int64), n[whole], low[whole]
         if len(compared):
-            own = first_owners([bodies[i] for i in compared.tolist()], low[compared])
+            own = first_owners([bodies[i] for i in chosen.tolist()], low[compared])
             number = np.repeat(np.arange(len(compared)), n[compared])
             starts = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (number[1:] != number[:-1])))
             begin = np.cumsum(n[compared]) - n[compared]
@@ -305,25 +310,32 @@ def solved(distinct: DataFrame, n_shards: int) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(context)).astype(np.int32)), parts)
         chosen = context[heads]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.array(keys, np.int64)[chosen]), pa.array(np.array(hashes, np.int64)[chosen]), lists], names=["key", "hash", "parts"]
+            [pa.array(keys[chosen]), pa.array(hashes[chosen]), lists], names=["key", "hash", "parts"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        size = 0
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if size >= SHARD_BYTES and row[0] != rows[-1][0]:
-                    yield judge(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[2]) + 1
-        if rows:
-            yield judge(rows)
-
-    columns = ["key", "hash", "body", "place", "low", "high"]
-    dealt = distinct.select(*columns).repartition(n_shards, "key").sortWithinPartitions("key", "hash")
-    return dealt.mapInArrow(run, "key long, hash long, parts array<struct<at: int, n: int, low: bigint>>")
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).to_numpy()
+            bytes_ = np.append(0, np.cumsum(batch.column(2).to_numpy() + 1))
+            low = 0
+            # Places where another key starts: a shard that is large enough ends at the next one.
+            for at in np.flatnonzero(np.append(keys[0] != last, keys[1:] != keys[:-1])).tolist():
+                if size + bytes_[at] - bytes_[low] >= SHARD_BYTES:
+                    yield judge(pa.Table.from_batches([*held, batch.slice(low, at - low)]).combine_chunks())
+                    held, size, low = [], 0, at
+            held.append(batch.slice(low))
+            size, last = size + bytes_[-1] - bytes_[low], keys[-1]
+        if held:
+            yield judge(pa.Table.from_batches(held).combine_chunks())
+
+    columns = ["key", "hash", F.octet_length("body").cast("long").alias("size"), "body", "place", "low", "high"]
+    return dealt.sortWithinPartitions("key", "hash").select(*columns).mapInArrow(
+        run, "key long, hash long, parts array<struct<at: int, n: int, low: bigint>>"
+    )
 
 
 def distinct_contexts(pieces: DataFrame, low: str = "id", high: str = "id") -> DataFrame:
@@ -353,14 +365,36 @@ def single_strings(distinct: DataFrame) -> DataFrame:
                        "key long, hash long, low long, high long, body binary, place int, old_key long, old_hash long, at int")
 
 
-def owners(pieces: DataFrame, n_shards: int) -> DataFrame:
-    """(key, hash, parts) of all contexts; keys with too many contexts are replaced by keys of single strings."""
-    crowds = keep(pieces.groupBy("key").agg(F.count("body").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded_keys")
+def dealt_contexts(pieces: DataFrame, n_shards: int) -> DataFrame:
+    """``distinct_contexts`` dealt by key, for keys that are not frequent: a task has hardly two equal contexts of these, so they
+    move once and combine where they are compared."""
+    return distinct_contexts(pieces.repartition(n_shards, "key"))
+
+
+def crowded(pieces: DataFrame, n_groups: int) -> DataFrame:
+    """Keys with too many contexts. Counting groups of keys first leaves few keys, or none, to be counted themselves."""
+    group = F.pmod(F.col("key"), F.lit(n_groups))
+    large = pieces.groupBy(group.alias("part")).agg(F.count("body").alias("n")).where(F.col("n") > CROWD).select("part")
+    some = pieces.withColumn("part", group).join(F.broadcast(large), "part", "left_semi")
+    return some.groupBy("key").agg(F.count("body").alias("n")).where(F.col("n") > CROWD).select("key")
+
+
+def owners(pieces: DataFrame, n_shards: int, n_often: int = 1) -> DataFrame:
+    """(key, hash, parts) of all contexts; keys with too many contexts are replaced by keys of single strings.
+
+    Contexts of frequent keys combine before they are dealt to ``n_often`` shards, the others are dealt to ``n_shards``.
+    """
+
+    def dealt(some: DataFrame) -> DataFrame:
+        often = distinct_contexts(some.where("often")).repartition(n_often, "key")
+        return solved(dealt_contexts(some.where("NOT often"), n_shards)).unionByName(solved(often))
+
+    crowds = keep(crowded(pieces, 16 * (n_shards + n_often)), "crowded_keys")
     if crowds.isEmpty():
-        return solved(distinct_contexts(pieces), n_shards)
-    plain = solved(distinct_contexts(pieces.join(crowds, "key", "left_anti")), n_shards)
+        return dealt(pieces)
+    plain = dealt(pieces.join(crowds, "key", "left_anti"))
     strings = keep(single_strings(distinct_contexts(pieces.join(crowds, "key", "left_semi"))), "single_strings")
-    found = solved(distinct_contexts(strings, "low", "high"), n_shards).select("key", "hash", F.col("parts")[0]["low"].alias("low"))
+    found = solved(distinct_contexts(strings, "low", "high").repartition(n_shards + n_often, "key")).select("key", "hash", F.col("parts")[0]["low"].alias("low"))
     part = F.struct("at", F.lit(1).alias("n"), "low")
     split = strings.drop("low", "high", "body", "place").join(found, ["key", "hash"]).groupBy("old_key", "old_hash").agg(F.collect_list(part).alias("parts"))
     return plain.unionByName(split.select(F.col("old_key").alias("key"), F.col("old_hash").alias("hash"), "parts"))
@@ -399,13 +433,13 @@ def remove_shared(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     shared = keep(shared_stretches(texts, size, frequent), "shared_stretches")
     pieces = keep(contexts(texts, shared, equal, frequent), "contexts")
     discard(named, equal, shared)
-    bodies = pieces.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
-    found = keep(owners(pieces, max(1, -(-bodies // (16 * SHARD_BYTES)))), "owners")
+    bodies = dict(map(tuple, pieces.groupBy("often").agg(F.sum(F.octet_length("body").cast("long"))).collect()))
+    found = keep(owners(pieces, *(max(1, -(-(bodies.get(often) or 0) // (16 * SHARD_BYTES))) for often in (False, True))), "owners")
     lost = F.transform(
         F.filter("parts", lambda p: p["low"] < F.col("id")), lambda p: F.struct((F.col("start") + p["at"]).alias("start"), p["n"].alias("n"))
     )
     ranges = keep(
-        pieces.drop("body", "place").join(found, ["key", "hash"]).select("id", "tie", lost.alias("lost")).where(F.size("lost") > 0)
+        pieces.drop("often", "body", "place").join(found, ["key", "hash"]).select("id", "tie", lost.alias("lost")).where(F.size("lost") > 0)
         .groupBy("id", "tie").agg(F.flatten(F.collect_list("lost")).alias("lost")), "lost",
     )
     discard(pieces, found)

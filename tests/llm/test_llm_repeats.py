@@ -265,3 +265,22 @@ def test_shared_strings_of_crowded_and_frequent_keys(spark, monkeypatch):
     for name, value in (("CROWD", 3), ("SHARD_BYTES", 500), ("OFTEN", 2), ("BUCKET_STRETCHES", 100)):
         monkeypatch.setattr(shared_strings, name, value)
         assert sorted((tuple(r) for r in shared_strings.removal_report(docs).collect()), key=str) == expected
+
+
+def test_contexts_of_rare_keys_move_once(spark, rows):
+    ddl = "key long, often boolean, hash long, id long, tie long, start int, place int, body binary"
+    body = [b"a" * 60, b"b" * 70]
+    pieces = rows(ddl, *[(k, k == 2, h, 10 * k + h + n, n, 0, 3, body[h] if n else None) for k in range(3) for h in range(2) for n in range(2)])
+    dealt = shared_strings.dealt_contexts(pieces.where("NOT often"), 3)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    found = sorted((r["key"], r["hash"], r["low"], r["high"], bytes(r["body"])) for r in dealt.collect())
+    assert found == [(k, h, 10 * k + h, 10 * k + h + 1, body[h]) for k in range(2) for h in range(2)]
+    parts = {(r["key"], r["hash"]): [tuple(p) for p in r["parts"]] for r in shared_strings.owners(pieces, 3).collect()}
+    assert parts == {(k, h): [(0, 11 + 10 * h, 10 * k + h)] for k in range(3) for h in range(2)}
+    assert shared_strings.crowded(pieces, 2).isEmpty()
+
+
+def test_crowded_keys_are_found_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(shared_strings, "CROWD", 3)
+    pieces = spark.range(40).select(F.expr("if(id < 5, 7L, id - 12)").alias("key"), F.encode(F.lit("x"), "UTF-8").alias("body"))
+    assert [r["key"] for r in shared_strings.crowded(pieces, 4).collect()] == [7]
