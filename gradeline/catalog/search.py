@@ -321,7 +321,9 @@ def hybrid_every_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector and word search fused by rank, for every question and every day at once; texts are split once, into postings."""
     asked, documents = worded_questions(spark, sf_dir), embedded_documents(spark, sf_dir)
     postings = Postings(spark, shared_folder(spark, "postings"))
-    postings.build(documents)
+    # Straight from their table: texts need not be moved to meet their vectors.
+    dated = publication_date(F.col("doc_id")).alias("published_date")
+    postings.build(table(spark, sf_dir, "documents").select("doc_id", dated, F.col("text").alias("text_content")))
     found = hybrid_top_k_as_of(documents, postings, asked, every_day(spark, sf_dir, asked))
     return found.select("entity", "as_of", "doc_id", "semantic_rank", "lexical_rank", F.round("score", 6).alias("score"), "rank")
 
